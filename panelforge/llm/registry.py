@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("op3_language_id", "op5_exact_dedup", "op7_sentencepiece", "op9_token_files", "op10_simhash")
+MODULES = ("op1_secrets", "op3_language_id", "op5_exact_dedup", "op7_sentencepiece", "op9_token_files", "op10_simhash")
 
 
 def _operators():

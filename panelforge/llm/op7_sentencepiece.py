@@ -159,10 +159,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return in_batches(rows, batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
+def digests(decoded: DataFrame, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 from (doc_id, ids, decoded)."""
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    found = [F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")]
+    return decoded.select("doc_id", *found, *(["ids"] if with_ids else []))
 
 
 def default_path() -> str:

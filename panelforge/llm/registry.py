@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("op1_secrets", "op3_language_id", "op5_exact_dedup", "op7_sentencepiece", "op9_token_files", "op10_simhash")
+MODULES = (
+    "op1_secrets", "op2_quality", "op3_language_id", "op4_toxicity", "op5_exact_dedup", "op6_decontamination",
+    "op7_sentencepiece", "op8_html", "op9_token_files", "op10_simhash",
+)
 
 
 def _operators():

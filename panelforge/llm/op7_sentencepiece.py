@@ -20,6 +20,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from .segments import SegmentCache, id_lists
 
 NAME = "op7_sentencepiece"
 MARK = "▁"
+#: Segments up to the last width are encoded in lock step.
+_WIDTHS = (8, 12, 20, 40)
 
 
 def _segment_pattern(pieces: list[str]) -> re.Pattern:
@@ -64,6 +67,23 @@ class BpeModel:
             for i, name in enumerate(names)
         ]
         self.cache = SegmentCache(self.encode_segments)
+        self.word_cache = SegmentCache(self.encode_words)
+        # for agendas in lock step: symbols as numbers (a character that is no piece gets one above all ids), and
+        # every pair of symbols that makes a piece, sorted
+        top = len(names)
+        self.symbol_of = np.arange(0x110000, dtype=np.int64) + top
+        for name, i in self.id_of.items():
+            if len(name) == 1:
+                self.symbol_of[ord(name)] = i
+        pairs = {}
+        for name, rank in self.rank.items():
+            for k in range(1, len(name)):
+                a, b = (self.id_of.get(x, top + ord(x) if len(x) == 1 else -1) for x in (name[:k], name[k:]))
+                if a >= 0 and b >= 0:
+                    pairs[a << 32 | b] = (rank, self.id_of[name])
+        self.pair_key = np.array(sorted(pairs), np.int64)
+        self.pair_rank = np.array([pairs[k][0] for k in self.pair_key.tolist()] or [np.inf])
+        self.pair_id = np.array([pairs[k][1] for k in self.pair_key.tolist()] or [0], np.int64)
 
     def split(self, text: str) -> list[str]:
         """Segments of the normalised text."""
@@ -100,19 +120,90 @@ class BpeModel:
             out += [self.byte_id[b] for b in piece.encode()] if known is None else [known]
         return out
 
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of the piece that two symbols make; an infinite rank if they make none."""
+        key = np.where((a >= 0) & (b >= 0), a << 32 | b, -1)
+        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_rank) - 1)
+        ok = self.pair_key[at] == key if len(self.pair_key) else np.zeros(key.shape, bool)
+        return np.where(ok, self.pair_rank[at], np.inf), self.pair_id[at]
+
+    def _lock_step(self, segments: list[str], width: int) -> list[list[int]]:
+        """``encode_segment`` for segments of at most ``width`` characters: their agendas advance together, each
+        merging its best pair (leftmost first) in every step."""
+        n, sizes = len(segments), np.fromiter(map(len, segments), np.int64, len(segments))
+        code = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "<u4")
+        row, ends = np.repeat(np.arange(n), sizes), np.cumsum(sizes)
+        column = np.arange(len(code)) - np.repeat(ends - sizes, sizes)
+        symbol = np.full((n, width + 1), -1, np.int64)  # the last column stays empty: no neighbour
+        symbol[row, column] = self.symbol_of[code]
+        rank, made = np.full((n, width + 1), np.inf), np.zeros((n, width + 1), np.int64)
+        rank[:, :-1], made[:, :-1] = self._pairs(symbol[:, :-1], symbol[:, 1:])
+        after = np.tile(np.arange(1, width + 2), (n, 1))
+        after[:, -1] = width
+        before = np.tile(np.arange(-1, width), (n, 1))
+        after = np.minimum(after, width)
+        before[:, 0] = width
+        active = np.arange(n)
+        while len(active):
+            i = rank[active].argmin(axis=1)
+            going = rank[active, i] < np.inf
+            active, i = active[going], i[going]
+            j = after[active, i]
+            k, h = after[active, j], before[active, i]
+            symbol[active, i], symbol[active, j] = made[active, i], -1
+            after[active, i], before[active, k] = k, i
+            rank[active, j] = np.inf
+            now = symbol[active, i]
+            rank[active, i], made[active, i] = self._pairs(now, symbol[active, k])
+            left_rank, left_made = self._pairs(symbol[active, h], now)
+            rank[active, h], made[active, h] = left_rank, left_made
+            rank[active, width] = np.inf
+        alive = symbol >= 0
+        flat, stops = symbol[alive], np.cumsum(alive.sum(axis=1))
+        unknown = (symbol >= len(self.piece_bytes)).any(axis=1)
+        out = [x.tolist() for x in np.split(flat, stops[:-1])]
+        for r in np.flatnonzero(unknown):
+            out[r] = [y for x in out[r] for y in ([x] if x < len(self.piece_bytes) else [self.byte_id[b] for b in chr(x - len(self.piece_bytes)).encode()])]
+        return out
+
+    def encode_all(self, segments: list[str]) -> list[list[int]]:
+        """Ids of each segment; short ones in lock step with others of about their length."""
+        out: list[list[int]] = [[]] * len(segments)
+        groups: dict[int, list[int]] = {}
+        for i, x in enumerate(segments):
+            groups.setdefault(next((w for w in _WIDTHS if len(x) <= w), 0), []).append(i)
+        for width, members in groups.items():
+            for at in range(0, len(members), 8192):
+                part = members[at : at + 8192]
+                held = [segments[i] for i in part]
+                found = self._lock_step(held, width) if width else map(self.encode_segment, held)
+                for i, ids in zip(part, found):
+                    out[i] = ids
+        return out
+
     def encode_segments(self, segments: list[str]) -> list[bytes]:
         """Packed ids of each segment, each checked against the library."""
-        found = [self.encode_segment(x) for x in segments]
+        found = self.encode_all(segments)
         # the library puts a mark in front; behind a line end, which no piece spans, a segment stands as it is
         front, lead = ("\n", [self.id_of.get(MARK), self.byte_id[10]]) if self.splits else ("", [])
         theirs = self.library.encode([front + (x if front else x[1:]).replace(MARK, " ") for x in segments], num_threads=1)
         for segment, mine, ids in zip(segments, found, theirs):
             if ids != lead + mine:
                 raise RuntimeError(f"ids differ from the library's for {segment!r}")
-        return [np.array(x, "<i4").tobytes() for x in found]
+        flat = np.fromiter(chain.from_iterable(found), "<i4").tobytes()
+        ends = [4 * n for n in accumulate(map(len, found))]
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Packed ids of words that stand between single blanks."""
+        return self.cache.ids([self.segment.findall(MARK + w) for w in words])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return self.cache.ids([self.split(x) for x in texts])
+        """Packed ids of each text. Words between single blanks go through a cache of their own."""
+        plain = [self.splits and x and x[0] != " " and x[-1] != " " and "  " not in x and MARK not in x for x in texts]
+        by_word = iter(self.word_cache.ids([x.split(" ") for x, p in zip(texts, plain) if p]))
+        other = iter(self.cache.ids([self.split(x) for x, p in zip(texts, plain) if not p]))
+        return [next(by_word if p else other) for p in plain]
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.piece_bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -143,13 +234,18 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return in_batches(rows, batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
+def _lists(column: pa.ListArray) -> list[list[int]]:
+    flat, ends = column.flatten().to_numpy().tolist(), np.cumsum(np.asarray(column.value_lengths())).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The rows of ``encoded`` (doc_id, ids) with the decoded text."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(path)
         for batch in it:
-            ids = batch.column(1).to_pylist()
+            ids = _lists(batch.column(1))
             texts, theirs = [bpe.decode(x) for x in ids], bpe.library.decode(ids, num_threads=1)
             if texts != theirs:
                 raise RuntimeError("a decoded text differs from the library's")

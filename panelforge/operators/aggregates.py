@@ -67,7 +67,7 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def crosstab(df: DataFrame, rows: list[str], column: str, values: list[str]) -> DataFrame:
     """Counts of ``rows`` x ``values``, zero where there is none."""
-    return df.groupBy(*rows).pivot(column, values).agg(F.count("*")).na.fill(0, values)
+    return df.groupBy(*rows).pivot(column, values).agg(F.count(F.lit(1))).na.fill(0, values)
 
 
 def level_counts(units: DataFrame, vintage: str, levels: dict[str, list[str]], by: list[str] | None = None) -> DataFrame:

@@ -82,13 +82,12 @@ def fill_codes(rows: DataFrame, universe: DataFrame, links: DataFrame, block: li
     a reviewed link (block, normalised name) gives its code, which must be in the universe; a single unit of the block
     with the same normalised name gives its code. Several or no candidates are a violation; row order plays no part.
     """
-    known = universe.select(*block, F.col(code).alias("__known")).distinct()
+    known = universe.select(*block, code).distinct().withColumn("__known", F.lit(True))
     named = universe.select(*block, unit_name.alias("__name"), F.col(code).alias("__candidate")).groupBy(*block, "__name").agg(F.collect_set("__candidate").alias("__candidates"))
     ledger = links.select(*block, F.col("name").alias("__name"), F.col("code").alias("__linked"))
     out = rows.withColumn("__name", name)
-    out = out.join(known, [*(out[b] == known[b] for b in block), out[code] == known["__known"]], "left").drop(*(known[b] for b in block))
-    out = out.join(ledger, [*block, "__name"], "left")
-    valid = known.withColumnRenamed("__known", "__linked").withColumn("__valid", F.lit(True))
+    out = out.join(known, [*block, code], "left").join(ledger, [*block, "__name"], "left")
+    valid = known.withColumnsRenamed({code: "__linked", "__known": "__valid"})
     out = out.join(valid, [*block, "__linked"], "left").join(named, [*block, "__name"], "left")
     single = F.when(F.size("__candidates") == 1, F.get("__candidates", F.lit(0)))
     found = F.when(F.col("__known").isNotNull(), F.col(code)).when(F.col("__linked").isNotNull(), F.when(F.col("__valid"), F.col("__linked"))).otherwise(single)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
+from ..operators import reshape
 from ..sources import manifests
 from ..spec import PanelSpec
-from . import pipelines
+from . import pipelines, verification
 from .coverage_queries import _PLACED, placed_orders
 from .registry import query
 
@@ -97,3 +98,54 @@ def indicator_pages(read, spark):
     row = F.concat(F.lit("<tr>"), cells, F.lit("</tr>"))
     pages = part.groupBy(F.col("p_brand").alias("page")).agg(F.array_join(F.array_sort(F.collect_list(F.concat(row, F.lit("\n"), row))), "\n").alias("html"))
     return pipelines.indicators_from_pages(pages, ["page"], "html")[0].select("page", "indicator_id", "indicator", "mandatory", "kind")
+
+
+@query("""SELECT 'not nationwide' AS rule, '2024|' || r_name AS key, '' AS detail FROM region WHERE r_regionkey NOT IN (SELECT n_regionkey FROM nation WHERE n_nationkey % 5 <> 2)
+UNION ALL SELECT 'universe rows', '2024', (SELECT count(*) FROM nation WHERE n_nationkey % 5 <> 2) || '/' || (SELECT count(*) FROM nation) UNION ALL SELECT 'vintage not crawled', '2025', ''""")
+def universe_provenance(read, spark):
+    """Nations as units of a universe from which a fifth is missing, against the whole crawl."""
+    nations = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.lit("2024").alias("year"), F.col("r_name").alias("state"), "n_nationkey")
+    crawl = nations.groupBy("year").agg(F.count("*").alias("rows"), F.count_distinct("state").alias("groups"))
+    controls = nations.select("year", "state").distinct()
+    return verification.universe_provenance(nations.where("n_nationkey % 5 <> 2"), crawl, controls, controls.where("1 = 0"), ["2024", "2025"], "d", "d")
+
+
+@query("""WITH l AS (SELECT l_orderkey AS block_dir, count(*) AS n FROM lineitem GROUP BY 1), s AS (SELECT o_orderkey AS block_dir, CASE WHEN o_orderkey % 40 = 0 THEN n + 1 ELSE n END AS u FROM orders JOIN l ON o_orderkey = block_dir WHERE o_orderkey % 100 <> 7)
+SELECT 'status rows' AS rule, CAST(l.block_dir AS VARCHAR) AS key, n || '/' || n AS detail FROM l LEFT JOIN s USING (block_dir) WHERE s.u IS DISTINCT FROM n""")
+def status_conservation(read, spark):
+    """Orders as blocks whose status files state the number of their items, some of them wrongly or not at all."""
+    items = read("lineitem").select(F.col("l_orderkey").alias("block_dir"))
+    counted = items.groupBy("block_dir").agg(F.count("*").alias("score_rows"))
+    stated = counted.withColumn("unit_rows", F.col("score_rows") + F.when(F.col("block_dir") % 40 == 0, 1).otherwise(0))
+    statuses = stated.where("block_dir % 100 <> 7").withColumn("status", F.lit("done"))
+    return verification.status_conservation(statuses, items, items)
+
+
+@query("""SELECT 'unit in several blocks' AS rule, CAST(l_partkey AS VARCHAR) AS key, CAST(count(DISTINCT l_suppkey) AS VARCHAR) AS detail FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) > 1""")
+def shared_units(read, spark):
+    return verification.shared_units(read("lineitem"), ["l_partkey"], "l_suppkey")
+
+
+@query("""WITH a AS (SELECT DISTINCT o_orderstatus AS before, o_orderkey FROM orders) SELECT before, CASE before WHEN 'O' THEN 'open' ELSE 'final' END AS after, count(*) AS n FROM a WHERE before <> 'P' GROUP BY 1, 2""")
+def changed_measures(read, spark):
+    before = read("orders").select("o_orderkey", F.col("o_orderstatus").alias("slug"))
+    renamed = F.when(F.col("slug") == "O", "open").when(F.col("slug") == "F", "final").otherwise(F.col("slug"))
+    return reshape.changed_measures(before, before.withColumn("slug", renamed), ["o_orderkey"], "slug")
+
+
+@query("""WITH w AS (SELECT user_id, max(value) FILTER (event_type = 'view') AS v, max(value) FILTER (event_type = 'error') AS e FROM events WHERE user_id % 3 > 0 OR event_type <> 'view' GROUP BY user_id),
+m AS (SELECT DISTINCT user_id FROM events)
+SELECT 'measures missing' AS rule, CAST(user_id AS VARCHAR) AS key, CAST((v IS NOT NULL)::INTEGER + (e IS NOT NULL)::INTEGER AS VARCHAR) AS detail FROM m JOIN w USING (user_id) WHERE v IS NULL OR e IS NULL""")
+def missing_measures(read, spark):
+    events = read("events").where("user_id % 3 > 0 or event_type <> 'view'")
+    long = events.groupBy("user_id", "event_type").agg(F.max("value").alias("value"))
+    metadata = read("events").select("user_id").distinct()
+    return reshape.rebuilt_wide(metadata, long, ["user_id"], "event_type", ["view", "error"], {"score": "value"})[1]
+
+
+@query("""SELECT doc_id, source, page AS source_page FROM (SELECT doc_id, source, CAST(doc_id % 20 AS BIGINT) AS page FROM documents) WHERE page < 10""")
+def enriched_rows(read, spark):
+    docs = read("documents").select("doc_id", (F.col("doc_id") % 20).alias("page"))
+    pages = read("documents").select((F.col("doc_id") % 20).alias("page"), "source").where("page < 10").distinct()
+    pages = pages.withColumn("source_page", F.col("page"))
+    return reshape.enriched(docs, pages, ["page"], ["source", "source_page"]).drop("page")

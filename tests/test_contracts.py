@@ -194,3 +194,33 @@ def test_manifest_notices_a_changed_cell(spark):
     manifests.require_manifest({"t": df.repartition(3)}, declared)
     with pytest.raises(con.ContractError):
         manifests.require_manifest({"t": df.withColumn("v", F.when(F.col("id") == 3, 1).otherwise(F.col("v")))}, declared)
+
+
+def test_store(spark):
+    from panelforge.plans import verification
+
+    statuses_ = spark.createDataFrame([("b1", "done", 1, 2), ("b2", "failed", 0, 0)], "block_dir string, status string, unit_rows long, score_rows long")
+    metadata = spark.createDataFrame([("2024", "100", "b1")], "year string, unit string, block_dir string")
+    long = metadata.union(metadata)
+    files = spark.createDataFrame([("p", "h")], "path string, sha256 string")
+    sources = spark.createDataFrame([("p", "h")], "source_path string, source_sha256 string")
+    none = con.holds(spark, True, "x")
+
+    def check(s=statuses_.where("status = 'done'"), m=metadata, stored=files):
+        return rules(verification.store(s, m, long, m, none, files, stored, sources, ["year", "unit"]))
+
+    assert check() == []
+    assert check(s=statuses_) == ["failed block"]
+    assert check(m=metadata.union(metadata.withColumn("block_dir", F.lit("b3")))) == ["status rows", "unit in several blocks"]
+    assert check(stored=files.withColumn("sha256", F.lit("other"))) == ["stale source", "stored files"]
+
+
+def test_universe_build(spark):
+    from panelforge.plans import verification
+
+    units = spark.createDataFrame([("2024", "1"), ("2024", "2")], "year string, unit string")
+    ends = spark.createDataFrame([("2024", 2)], "year string, n long")
+    reviewed = spark.createDataFrame([("2024", "9", "1")], "year string, state_value string, district_value string")
+    key = reviewed.columns
+    assert rules(verification.universe_build(units, ends, reviewed, reviewed, ["year", "unit"], key)) == []
+    assert rules(verification.universe_build(units.union(units), ends, reviewed.where("1 = 0"), reviewed, ["year", "unit"], key)) == ["endpoint rows", "exclusions", "universe key"]

@@ -40,7 +40,11 @@ def published(spark: SparkSession, table_path: str, number: int) -> DataFrame:
 
 def drained_progress(spark: SparkSession, log: DataFrame, key: list[str], group: str) -> DataFrame:
     """Write ``log`` as a log of files, run the stream over all of them, and report its last state."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="spark-")
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-")
     folder = f"{base.rstrip('/')}/progress-{uuid.uuid4().hex}"
     log.write.parquet(f"{folder}/log")
     query = start(spark, f"{folder}/log", log.schema, key, f"{folder}/table", f"{folder}/state", available_now=True)

@@ -68,13 +68,12 @@ class Lexicon:
     @staticmethod
     def _letters(words: list[str]) -> np.ndarray:
         """The set of letters of each word as bits (by code point modulo 64)."""
-        out = np.zeros(len(words), np.uint64)
-        for i, w in enumerate(words):
-            bits = 0
-            for c in set(w):
-                bits |= 1 << (ord(c) & 63)
-            out[i] = bits
-        return out
+        if not words:
+            return np.zeros(0, np.uint64)
+        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        bits = np.uint64(1) << (code & np.uint32(63)).astype(np.uint64)
+        return np.bitwise_or.reduceat(bits, np.cumsum(sizes) - sizes)
 
     def close(self, words: list[str]) -> list[str]:
         """The words that can match some term by length and letters: an edit changes the letter set by two at most."""
@@ -145,12 +144,11 @@ class ToxicityModel:
     def features(self, texts: list[str]) -> np.ndarray:
         lowered = [t.lower() for t in texts]
         found = [set(_WORD.findall(t)) for t in lowered]
-        for words in found:
-            self.learn(words)
+        self.learn(set().union(*found))
         out = np.zeros((len(texts), N_FEATURES))
         out[:, -1] = 1
         for i, words in enumerate(found):
-            if any(w in self.known for w in words):
+            if not self.known.keys().isdisjoint(words):
                 out[i, :-1] = self._context(lowered[i])
         return out
 

@@ -34,6 +34,8 @@ MAX_TRAIN = 20_000
 MAX_TERMS = 400
 MIN_RATIO = 20.0
 WINDOW = 6
+#: Characters on either side in which quotation marks are looked for.
+SIGNS_WINDOW = 200
 #: Words of a worker's cache that are known not to match.
 CACHE_WORDS = 500_000
 _WORD = re.compile(r"[^\W_]+")
@@ -161,7 +163,8 @@ class ToxicityModel:
                 continue
             term, d = self.known[word]
             around = {w for w, _, _ in spans[max(k - WINDOW, 0) : k + WINDOW + 1]}
-            inside = len(_QUOTES.findall(text, text.rfind("\n", 0, a) + 1, a)) % 2 == 1 and bool(_QUOTES.search(text, b, b + 200))
+            line = max(text.rfind("\n", max(a - SIGNS_WINDOW, 0), a) + 1, a - SIGNS_WINDOW, 0)
+            inside = len(_QUOTES.findall(text, line, a)) % 2 == 1 and bool(_QUOTES.search(text, b, b + SIGNS_WINDOW))
             reported = inside or bool(around & REPORTING)
             weight = self.lexicon.weights[term] / (1 + d) * (0.3 if reported else 1) * (1.5 if around & ADDRESSING else 1)
             total += weight

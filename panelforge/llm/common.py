@@ -37,7 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
     temporary folder is made and set for this context.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or _own_folder.get(context.applicationId)
+    stated = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    folder = stated or _own_folder.get(context.applicationId)
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")

@@ -38,6 +38,8 @@ TAU = 3
 SHINGLE = 3
 #: Members of a bucket block: a task compares two blocks at a time.
 BLOCK = 2048
+#: Bucket blocks of at most so many members are compared together, without a forest of their links.
+_SMALL = 8
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -247,18 +249,48 @@ def near_links(nodes: DataFrame, groups: list[list[int]], radius: list[int], tau
     rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("part", "value", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "fp", "home")
 
-    def compare(key: tuple, group: pa.Table) -> pa.Table:
-        low, high = key[2].as_py(), key[3].as_py()
-        fps, mine_in = _as_fps(group["fp"].combine_chunks()), group["mine"].to_numpy()
-        home = group["home"].to_numpy(zero_copy_only=False).astype(bool)
-        found = []
-        # visitors only need the members at home: two visitors of a bucket meet elsewhere
-        for x, y in {(low, high), (high, low)}:
-            found += _join_near(fps[(mine_in == x) & home], fps[mine_in == y], tau)
-        links = np.array(found, np.uint64).reshape(-1, 2).view("<i8")
-        return pa.table({"u": pa.array(links[:, 0]), "v": pa.array(links[:, 1])})
-
-    return rows.groupBy("part", "value", "low", "high").applyInArrow(compare, "u long, v long")
+    placed = rows.repartition("part", "value", "low", "high").sortWithinPartitions("part", "value", "low", "high")
+
+    def compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in itertools.chain(it, [None]):
+            if batch is not None:
+                columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+                rest = columns if rest is None else [np.concatenate(pair) for pair in zip(rest, columns)]
+            if rest is None or not len(rest[0]):
+                continue
+            new = np.any([c[1:] != c[:-1] for c in rest[:4]], axis=0)
+            ends = np.append(np.flatnonzero(new) + 1, [len(rest[0])] if batch is None else [])
+            if not len(ends):
+                continue  # one bucket block so far, and it may go on
+            cut = int(ends[-1])
+            links = _bucket_links([c[:cut] for c in rest], ends.astype(np.int64), tau)
+            rest = [c[cut:] for c in rest]
+            yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["u", "v"])
+
+    return placed.mapInArrow(compare, "u long, v long")
+
+
+def _bucket_links(columns: list[np.ndarray], ends: np.ndarray, tau: int) -> np.ndarray:
+    """Links inside each of the bucket blocks that end at ``ends``; visitors only meet members at home."""
+    _, _, low, high, mine, fp, home = columns
+    fps, sizes = fp.astype("<i8").view("<u8"), np.diff(ends, prepend=0)
+    found = []
+    # small blocks all at once: every member with the next, the one after that, and so on
+    small = np.repeat(sizes <= _SMALL, sizes)
+    block = np.repeat(np.arange(len(sizes)), sizes)
+    for step in range(1, _SMALL):
+        i = np.flatnonzero(small[:-step] & (block[:-step] == block[step:])) if len(fps) > step else np.zeros(0, np.int64)
+        i = i[(home[i] | home[i + step]).astype(bool) & (fps[i] != fps[i + step])]
+        i = i[np.bitwise_count(fps[i] ^ fps[i + step]) <= tau]
+        found.append(np.stack([fps[i], fps[i + step]], axis=1))
+    for k in np.flatnonzero(sizes > _SMALL):
+        at = slice(ends[k] - sizes[k], ends[k])
+        here, own, whose = fps[at], home[at].astype(bool), mine[at]
+        for x, y in {(low[at.start], high[at.start]), (high[at.start], low[at.start])}:
+            links = _join_near(here[(whose == x) & own], here[whose == y], tau)
+            found.append(np.array(links, np.uint64).reshape(-1, 2))
+    return np.concatenate(found).view("<i8") if found else np.zeros((0, 2), np.int64)
 
 
 def link_components(prints: DataFrame, tau: int = TAU, block: int = BLOCK) -> DataFrame:

@@ -39,9 +39,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document left, with the digests of ids and decoded text."""
-    path = op7_sentencepiece.default_path()
-    decoded = op7_sentencepiece.decode(op7_sentencepiece.encode(docs, path), path)
-    return op7_sentencepiece.digests(decoded, with_ids=True)
+    return op7_sentencepiece.digests(op7_sentencepiece.round_trip(docs, op7_sentencepiece.default_path()), with_ids=True)
 
 
 STAGES = [

@@ -32,6 +32,8 @@ from .segments import SegmentCache, id_lists
 
 NAME = "op7_sentencepiece"
 MARK = "▁"
+#: Entries of a generation of each of the two caches of a worker.
+CACHE_ENTRIES = 120_000
 #: Segments up to the last width are encoded in lock step.
 _WIDTHS = (8, 12, 20, 40)
 
@@ -66,8 +68,8 @@ class BpeModel:
             bytes([bytes_of[i]]) if i in bytes_of else b"" if lib.is_control(i) else name.replace(MARK, " ").encode()
             for i, name in enumerate(names)
         ]
-        self.cache = SegmentCache(self.encode_segments)
-        self.word_cache = SegmentCache(self.encode_words)
+        self.cache = SegmentCache(self.encode_segments, CACHE_ENTRIES)
+        self.word_cache = SegmentCache(self.encode_words, CACHE_ENTRIES)
         # for agendas in lock step: symbols as numbers (a character that is no piece gets one above all ids), and
         # every pair of symbols that makes a piece, sorted
         top = len(names)
@@ -239,22 +241,40 @@ def _lists(column: pa.ListArray) -> list[list[int]]:
     return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def _decoded(bpe: BpeModel, column: pa.ListArray) -> pa.Array:
+    ids = _lists(column)
+    texts = [bpe.decode(x) for x in ids]
+    if texts != bpe.library.decode(ids, num_threads=1):
+        raise RuntimeError("a decoded text differs from the library's")
+    return pa.array(texts, pa.string())
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The rows of ``encoded`` (doc_id, ids) with the decoded text."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = model(path)
         for batch in it:
-            ids = _lists(batch.column(1))
-            texts, theirs = [bpe.decode(x) for x in ids], bpe.library.decode(ids, num_threads=1)
-            if texts != theirs:
-                raise RuntimeError("a decoded text differs from the library's")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _decoded(model(path), batch.column(1))], ["doc_id", "ids", "decoded"])
 
     rows = encoded.select("doc_id", "ids")
     return in_batches(rows, batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass, so a task needs one Python worker and the ids cross over once."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = model(path)
+        for batch in it:
+            texts = batch.column(1).to_pylist()
+            for a, b in slices(texts, 2_000_000):
+                ids = id_lists(bpe.encode(texts[a:b]))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], ids, _decoded(bpe, ids)], ["doc_id", "ids", "decoded"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return in_batches(rows, batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
+
+
 def digests(decoded: DataFrame, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 from (doc_id, ids, decoded)."""
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
@@ -269,5 +289,4 @@ def default_path() -> str:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = default_path()
-    return digests(decode(encode(table(spark, sf_dir, "documents"), path), path))
+    return digests(round_trip(table(spark, sf_dir, "documents"), default_path()))

@@ -2,37 +2,62 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 
-#: Entries of a worker's cache; longer segments than CACHED_CHARS are encoded but not kept.
-CACHE_ENTRIES = 400_000
+#: Entries of one generation of a worker's cache (two are held); longer segments than CACHED_CHARS are not kept.
+CACHE_ENTRIES = 300_000
 CACHED_CHARS = 48
 
 
 class SegmentCache:
-    """Ids of segments as packed int32, computed for the new segments of a batch at once."""
+    """Ids of segments as packed int32, computed for the new segments of a batch at once.
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.known = encode, {}
+    When a generation is full it becomes the old one, from which segments that are met again move on, so frequent
+    segments stay while memory is bounded.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int = CACHE_ENTRIES):
+        self.encode, self.entries, self.known, self.old = encode, entries, {}, {}
 
     def ids(self, split_texts: list[list[str]]) -> list[bytes]:
         """The ids of each text (given as its segments), as packed int32."""
         wanted: set[str] = set()
         for parts in split_texts:
             wanted.update(parts)
-        if len(self.known) > CACHE_ENTRIES:
-            self.known = {}
-        new = [x for x in wanted if x not in self.known]
-        now = dict(zip(new, self.encode(new)))
-        large = {x: now.pop(x) for x in new if len(x) > CACHED_CHARS}
-        self.known.update(now)
+        known, large = self._learn(wanted)
         if not large:
-            get = self.known.__getitem__
+            get = known.__getitem__
             return [b"".join(map(get, parts)) for parts in split_texts]
-        return [b"".join([large[x] if x in large else self.known[x] for x in parts]) for parts in split_texts]
+        return [b"".join([large[x] if x in large else known[x] for x in parts]) for parts in split_texts]
+
+    def lists(self, split_texts: pa.ListArray) -> pa.ListArray:
+        """The ids of each text (given as a list of its segments) as lists; only distinct segments become objects."""
+        coded = split_texts.flatten().dictionary_encode()
+        names, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        known, large = self._learn(names)
+        found = [large[x] if x in large else known[x] for x in names] if large else list(map(known.__getitem__, names))
+        each = id_lists(found).take(coded.indices)  # the ids of every segment in place
+        ends = np.concatenate([[0], np.cumsum(np.asarray(each.value_lengths()))])
+        places = np.concatenate([[0], np.cumsum(np.asarray(split_texts.value_lengths()))])
+        return pa.ListArray.from_arrays(pa.array(ends[places].astype(np.int32)), each.flatten())
+
+    def _learn(self, wanted: Iterable[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """The known segments, all of the distinct ``wanted`` among them but for long ones, which come apart."""
+        if len(self.known) > self.entries:
+            self.known, self.old = {}, self.known
+        known, old, new = self.known, self.old, []
+        for x in [x for x in wanted if x not in known]:
+            if x in old:
+                known[x] = old[x]
+            else:
+                new.append(x)
+        now = dict(zip(new, self.encode(new)))
+        large = {x: now.pop(x) for x in new if len(x) > CACHED_CHARS}
+        known.update(now)
+        return known, large
 
 
 def id_lists(packed: list[bytes]) -> pa.ListArray:

@@ -4,10 +4,10 @@ Documents are dealt by ranges of their id before they are tokenised, so text cro
 do. A task writes its range as one file of the ``packed_ids`` source; the number of ids before a document is the
 manifest's number for its file plus its place in the file.
 
-Tokenising uses the tokenizers library on segments. Byte-level pre-tokenisers never join characters across the
-places where a segment starts (a space in front of other text, or single white space), so the ids of a text are
-those of its segments, which a bounded cache holds. Vocabularies with another pre-tokeniser, and texts with control
-characters or special tokens for which that would not hold, are encoded whole.
+Tokenising uses the tokenizers library on the parts between blanks, through a bounded cache. A byte-level pre-tokeniser
+starts a new token at a blank that stands between other characters, so the ids of a text are those of its parts.
+Vocabularies with another pre-tokeniser, and texts with double blanks, control characters or special tokens, for which
+that would not hold, are encoded whole.
 
 Defined results: null and empty texts hold the end id alone. A null id stands before all others. Rows with equal ids
 stand in the order of their texts. An empty table gives a data set without files, which reads as no rows.
@@ -21,9 +21,11 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,12 +35,30 @@ from .segments import SegmentCache, id_lists
 
 NAME = "op9_token_files"
 END_ID = 0
-_SEGMENT = re.compile(r" ?\S+|\s+(?!\S)|\s")
 _CONTROL = re.compile(r"[\x1c-\x1f]")
+_WHITE = re.compile(r"\s")
+#: Mark the part that starts a text, and one that starts a line after a line end; neither has a blank in front. Texts
+#: with control characters are encoded whole, so the marks mean nothing else.
+_FIRST, _LINE = _STARTS = ("\x1c", "\x1d")
+#: Signs that never join a letter in front of them (an apostrophe can), and the first character whose class is not
+#: taken for granted.
+_SIGNS, _FAMILIAR = ".,;:!?%$&*#|", "\u0250"
+#: Parts in one call of the library.
+_JOINED = 1024
+
+
+def _uneven(text: str) -> bool:
+    """Whether some line end does not stand between two other characters."""
+    at, last = text.find("\n"), len(text) - 1
+    while at >= 0:
+        if at in (0, last) or text[at - 1].isspace() or text[at + 1].isspace():
+            return True
+        at = text.find("\n", at + 1)
+    return False
 
 
 class ByteBpe:
-    """A tokenizers file, encoding by segments where that is exact."""
+    """A tokenizers file, encoding by parts between blanks where that is exact."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -48,22 +68,92 @@ class ByteBpe:
             spec = json.load(source)
         self.tokenizer = Tokenizer.from_file(path)
         pre = spec.get("pre_tokenizer") or {}
-        self.splits = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer")
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer")
+        self.splits = plain and len(self.line_end) == 1
         self.special = [x["content"] for x in spec.get("added_tokens", [])]
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.cache = SegmentCache(self.encode_whole)
+        self.model, self.known_signs = self.tokenizer.model, {}
+        # byte-level alphabets write printable bytes as themselves and the others as the characters from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
+        self.cache = SegmentCache(self.encode_parts)
 
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<i4").tobytes() for x in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed int32 ids of each text."""
-        whole = [i for i, x in enumerate(texts) if not self.splits or _CONTROL.search(x) or any(s in x for s in self.special)]
-        out = self.cache.ids([_SEGMENT.findall(x) for x in texts]) if len(whole) < len(texts) else [b""] * len(texts)
-        for i, ids in zip(whole, self.encode_whole([texts[i] for i in whole])):
-            out[i] = ids
-        return out
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts of texts, a blank in front of each but those that start a text or a line.
+
+        A word of letters, with signs behind it or not, is one or two pre-tokens, which go straight to the library's
+        model. Other parts without further white space go through the whole library many at a time, a line end between
+        them: it is a token of its own there, and no other token holds one.
+        """
+        found: list[list[int]] = [[]] * len(parts)
+        tokenise, other = self.model.tokenize, []
+        for i, x in enumerate(parts):
+            start = x.startswith(_STARTS)
+            body = x[1:] if start else x
+            word = body.rstrip(_SIGNS)
+            if not word.isalpha():
+                other.append(i)
+                continue
+            if word.isascii():
+                written = word if start else "Ġ" + word
+            elif max(word) < _FAMILIAR:
+                written = (word if start else " " + word).encode().decode("latin-1").translate(self.alphabet)
+            else:
+                other.append(i)
+                continue
+            ids = [token.id for token in tokenise(written)]
+            found[i] = ids + self.signs(body[len(word) :]) if len(word) < len(body) else ids
+        whole = [parts[i][1:] if parts[i].startswith(_STARTS) else " " + parts[i] for i in other]
+        for i, ids in zip(other, self.encode_joint(whole)):
+            found[i] = ids
+        lines = [i for i, x in enumerate(parts) if x.startswith(_LINE)]
+        for i in lines:
+            found[i] = self.line_end + found[i]
+        flat = np.fromiter(chain.from_iterable(found), "<i4").tobytes()
+        ends = [4 * n for n in accumulate(map(len, found))]
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def signs(self, text: str) -> list[int]:
+        """Ids of signs behind a word: one pre-token."""
+        if text not in self.known_signs:
+            self.known_signs[text] = [x.id for x in self.model.tokenize(text)]
+            if len(self.known_signs) > 10_000:
+                return self.known_signs.pop(text)
+        return self.known_signs[text]
+
+    def encode_joint(self, texts: list[str]) -> list[list[int]]:
+        joint = [len(t) > 1 and _WHITE.search(t, 1) is None and (t[0] == " " or not t[0].isspace()) for t in texts]
+        lines = [t for t, j in zip(texts, joint) if j]
+        by_line: list[list[int]] = []
+        for page in self.tokenizer.encode_batch_fast(["\n".join(lines[k : k + _JOINED]) for k in range(0, len(lines), _JOINED)], add_special_tokens=False):
+            ids = page.ids
+            stops = [*(k for k, x in enumerate(ids) if x == self.line_end[0]), len(ids)]
+            by_line += [ids[a:b] for a, b in zip([0, *(x + 1 for x in stops)], stops)]
+        alone = (x.ids for x in self.tokenizer.encode_batch_fast([t for t, j in zip(texts, joint) if not j], add_special_tokens=False))
+        joined = iter(by_line)
+        return [next(joined if j else alone) for j in joint]
+
+    def encode(self, texts: list[str]) -> pa.ListArray:
+        """The ids of each text."""
+        whole = np.array([not self.splits or "  " in x or bool(_CONTROL.search(x)) or any(s in x for s in self.special) for x in texts], bool)
+        marked = [_FIRST + (x if _uneven(x) else x.replace("\n", " " + _LINE)) for x, w in zip(texts, whole) if not w]
+        found = self.cache.lists(pc.split_pattern(pa.array(marked, pa.string()), " "))
+        if whole.any():
+            found = pa.concat_arrays([found, id_lists(self.encode_whole([x for x, w in zip(texts, whole) if w]))])
+            found = found.take(pa.array(np.argsort(np.concatenate([np.flatnonzero(~whole), np.flatnonzero(whole)]))))
+        return found
+
+
+def closed(lists: pa.ListArray, end_id: int) -> pa.ListArray:
+    """Every list with one more id at its end."""
+    ends = np.cumsum(np.asarray(lists.value_lengths()))
+    flat = np.insert(lists.flatten().to_numpy(), ends, end_id)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]).astype(np.int32)), pa.array(flat))
 
 
 _tokenizers: dict[str, ByteBpe] = {}
@@ -78,15 +168,13 @@ def tokenizer(path: str) -> ByteBpe:
 
 def tokenise(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
     """(doc_id, ids) of (doc_id, text), row by row in the given order, each closed by ``end_id``."""
-    end = b"" if end_id is None else np.array([end_id], "<i4").tobytes()
-
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         for batch in it:
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts, 2_000_000):
-                ids = [x + end for x in bpe.encode(texts[a:b])]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], id_lists(ids)], ["doc_id", "ids"])
+                ids = bpe.encode(texts[a:b])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], ids if end_id is None else closed(ids, end_id)], ["doc_id", "ids"])
 
     return in_batches(docs.select("doc_id", "text"), batches, "doc_id long, ids array<int>")
 

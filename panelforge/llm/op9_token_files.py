@@ -19,7 +19,6 @@ import json
 import os
 import re
 import uuid
-import zlib
 from collections.abc import Iterator
 from itertools import accumulate, chain
 
@@ -35,7 +34,6 @@ from .segments import SegmentCache, id_lists
 
 NAME = "op9_token_files"
 END_ID = 0
-_CONTROL = re.compile(r"[\x1c-\x1f]")
 _WHITE = re.compile(r"\s")
 #: Mark the part that starts a text, and one that starts a line after a line end; neither has a blank in front. Texts
 #: with control characters are encoded whole, so the marks mean nothing else.
@@ -71,7 +69,8 @@ class ByteBpe:
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer")
         self.splits = plain and len(self.line_end) == 1
-        self.special = [x["content"] for x in spec.get("added_tokens", [])]
+        #: Texts with any of these are encoded whole.
+        self.apart = [*"\x1c\x1d\x1e\x1f", *(x["content"] for x in spec.get("added_tokens", []))]
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.model, self.known_signs = self.tokenizer.model, {}
         # byte-level alphabets write printable bytes as themselves and the others as the characters from 256 on
@@ -106,8 +105,13 @@ class ByteBpe:
             else:
                 other.append(i)
                 continue
-            ids = [token.id for token in tokenise(written)]
-            found[i] = ids + self.signs(body[len(word) :]) if len(word) < len(body) else ids
+            if len(word) == len(body):
+                found[i] = [token.id for token in tokenise(written)]
+                continue
+            stem = x[: len(x) - len(body) + len(word)]
+            seen = None if x.startswith(_LINE) else self.cache.known.get(stem) or self.cache.old.get(stem)
+            ids = [token.id for token in tokenise(written)] if seen is None else np.frombuffer(seen, "<i4").tolist()
+            found[i] = [*ids, *self.signs(body[len(word) :])]
         whole = [parts[i][1:] if parts[i].startswith(_STARTS) else " " + parts[i] for i in other]
         for i, ids in zip(other, self.encode_joint(whole)):
             found[i] = ids
@@ -140,7 +144,7 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> pa.ListArray:
         """The ids of each text."""
-        whole = np.array([not self.splits or "  " in x or bool(_CONTROL.search(x)) or any(s in x for s in self.special) for x in texts], bool)
+        whole = np.array([not self.splits or "  " in x or any(s in x for s in self.apart) for x in texts], bool)
         marked = [_FIRST + (x if _uneven(x) else x.replace("\n", " " + _LINE)) for x, w in zip(texts, whole) if not w]
         found = self.cache.lists(pc.split_pattern(pa.array(marked, pa.string()), " "))
         if whole.any():
@@ -189,25 +193,16 @@ def write_ids(docs: DataFrame, folder: str, path: str, end_id: int | None = END_
     ids.write.format("packed_ids").mode("append").option("bits", width(tokenizer(path).vocabulary)).save(folder)
 
 
-def read_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, ids) of a folder written by ``write_ids``."""
+def read_ids(spark: SparkSession, folder: str, layout: str = "array") -> DataFrame:
+    """(doc_id, start, ids) of a folder written by ``write_ids``; layout ``array`` or ``bytes``."""
     spark.dataSource.register(PackedIds)
-    return spark.read.format("packed_ids").load(folder)
+    return spark.read.format("packed_ids").option("layout", layout).load(folder)
 
 
 def digests(rows: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit integers)."""
-
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            lists = batch.column(2)
-            flat, sizes = lists.flatten().to_numpy().astype("<u4"), np.asarray(lists.value_lengths())
-            ends = np.cumsum(sizes)
-            crc = [zlib.crc32(flat[b - n : b].tobytes()) for b, n in zip(ends, sizes)]
-            columns = [batch.column(0), batch.column(1), pa.array(sizes.astype(np.int64)), pa.array(crc, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return in_batches(rows.select("doc_id", "start", "ids"), batches, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    """doc_id, start, n_tokens and ids_crc32 of rows read with the layout ``bytes``."""
+    n = (F.octet_length("ids") / 4).cast("long")
+    return rows.select("doc_id", "start", n.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
 def default_path() -> str:
@@ -219,4 +214,4 @@ def default_path() -> str:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/ids-{uuid.uuid4().hex}"
     write_ids(table(spark, sf_dir, "documents"), folder, default_path())
-    return digests(read_ids(spark, folder))
+    return digests(read_ids(spark, folder, "bytes"))

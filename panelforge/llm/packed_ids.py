@@ -186,8 +186,8 @@ class _File(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path.rstrip("/")
+    def __init__(self, path: str, as_bytes: bool):
+        self.path, self.as_bytes = path.rstrip("/"), as_bytes
 
     def partitions(self) -> list[_File]:
         fs, place = _open(self.path)
@@ -203,8 +203,11 @@ class _Reader(DataSourceReader):
         a = 0
         while a < file.n_docs:
             b = max(a + 1, int(np.searchsorted(starts, starts[a] + _BATCH_IDS, "right")) - 1)
-            ids = file.ids(int(starts[a]), int(starts[b])).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array((starts[a : b + 1] - starts[a]).astype(np.int32)), pa.array(ids))
+            ids, ends = file.ids(int(starts[a]), int(starts[b])).astype("<u4"), (starts[a : b + 1] - starts[a]).astype(np.int32)
+            if self.as_bytes:
+                lists = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((ends * 4).tobytes()), pa.py_buffer(ids.tobytes())])
+            else:
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.view(np.int32)))
             doc_ids = file.docs["doc_id"].slice(a, b - a).combine_chunks()
             yield pa.RecordBatch.from_arrays([doc_ids.cast(pa.int64()), pa.array(starts[a:b] + partition.before), lists], ["doc_id", "start", "ids"])
             a = b
@@ -212,17 +215,24 @@ class _Reader(DataSourceReader):
 
 
 class PackedIds(DataSource):
-    """Options: ``path``; for writing ``bits`` and ``block_ids``. Rows: doc_id, start (ids before it), ids."""
+    """Options: ``path``; for writing ``bits`` and ``block_ids``; for reading ``layout``.
+
+    Rows: doc_id, start (ids before it), ids. With the layout ``bytes`` the ids are little-endian unsigned 32-bit
+    integers in one binary value, else an array.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "packed_ids"
 
     def schema(self) -> str:
-        return "doc_id long, start long, ids array<int>"
+        return f"doc_id long, start long, ids {'binary' if self._as_bytes() else 'array<int>'}"
+
+    def _as_bytes(self) -> bool:
+        return self.options.get("layout") == "bytes"
 
     def writer(self, schema, overwrite: bool) -> _Writer:
         return _Writer(self.options["path"], int(self.options["bits"]), int(self.options.get("block_ids", BLOCK_IDS)))
 
     def reader(self, schema) -> _Reader:
-        return _Reader(self.options["path"])
+        return _Reader(self.options["path"], self._as_bytes())

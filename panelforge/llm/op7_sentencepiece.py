@@ -33,7 +33,7 @@ from .segments import SegmentCache, id_lists
 NAME = "op7_sentencepiece"
 MARK = "▁"
 #: Entries of a generation of each of the two caches of a worker.
-CACHE_ENTRIES = 120_000
+CACHE_ENTRIES = 180_000
 #: Segments up to the last width are encoded in lock step.
 _WIDTHS = (8, 12, 20, 40)
 

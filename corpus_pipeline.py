@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import op3_language_id, op5_exact_dedup, op6_decontamination, op7_sentencepiece, op10_simhash
+from panelforge.llm import op3_language_id, op5_exact_dedup, op6_decontamination, op7_sentencepiece, similar_sets
 from panelforge.llm.common import table, written
 
 #: Documents whose language is less likely than this are rejected.
@@ -28,8 +28,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each SimHash component: the one with the smallest id."""
-    return op10_simhash.keep_representatives(docs)
+    """Keeps one document of each group linked by five-word Jaccard similarity 0.8 or more: the one with the smallest id."""
+    return similar_sets.keep_representatives(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,10 +29,11 @@ _TOKEN = re.compile(
     r"<!--(?:.*?--!?>|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>?)", re.S
 )
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_HIDING = re.compile(r"(?:^|[\s\"'/])hidden(?=[\s=/>]|$)|style\s*=\s*(?:\"[^\"]*|'[^']*|[^\s>]*)(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
-_OPEN = re.compile(r"(?:^|[\s\"'/])open(?=[\s=/>]|$)", re.I)
-_START = re.compile(r"\bstart\s*=\s*[\"']?(-?\d{1,9})", re.I)
-_SPAN = re.compile(r"\bcolspan\s*=\s*[\"']?(\d{1,3})", re.I)
+_READ = re.compile("hidden|style|open|start|colspan", re.I)
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]*)))?")
+_NOT_CSS = re.compile(r"/\*.*?(?:\*/|$)|\"[^\"]*\"?|'[^']*'?|\([^)]*\)?", re.S)
+_START = re.compile(r"\s*(-?\d{1,9})")
+_SPAN = re.compile(r"\s*(\d{1,3})")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas svg math textarea select".split())
@@ -108,6 +109,29 @@ class _Text:
         return self.lines
 
 
+def _attributes(source: str) -> dict[str, str]:
+    """The attributes of a start tag by lower-case name, the first of a name counting; none if no name that is read occurs."""
+    out: dict[str, str] = {}
+    if _READ.search(source):
+        for m in _ATTRIBUTE.finditer(source):
+            out.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+    return out
+
+
+def _hides(attributes: dict[str, str]) -> bool:
+    """Whether an element with these attributes is not shown."""
+    if "hidden" in attributes:
+        return True
+    found: dict[str, tuple[bool, str]] = {}
+    for part in _NOT_CSS.sub(" ", attributes.get("style", "")).lower().split(";"):
+        name, _, value = part.partition(":")
+        value, mark, _ = value.partition("!")
+        name = name.strip()
+        if mark or not found.get(name, (False, ""))[0]:  # the last one counts, but important ones go first
+            found[name] = bool(mark), value.strip()
+    return found.get("display", (False, ""))[1] == "none" or found.get("visibility", (False, ""))[1] == "hidden"
+
+
 class _Element:
     __slots__ = ("tag", "shown", "pre", "count", "indent", "outer", "rows", "span", "folded")
 
@@ -143,7 +167,7 @@ class _Builder:
         self.text = _Text()
         self.open: list[_Element] = [_Element("", True, False)]
 
-    def start(self, tag: str, attributes: str) -> None:
+    def start(self, tag: str, attributes: dict[str, str]) -> None:
         top = self.open[-1]
         if BLOCKS.get(tag) is not None and tag not in ("html", "body", "option", "optgroup", "tr", "caption"):
             self.close_one("p", _SCOPE | {"button", "object"})
@@ -154,12 +178,12 @@ class _Builder:
                 self.close_any(CELLS | {"tr"}, frozenset(("table",)))
                 self.close_any(ROW_GROUPS if tag in ROW_GROUPS else frozenset(), frozenset(("table",)))
         if tag in CELLS and self.open[-1].tag != "tr" and any(e.tag == "table" for e in self.open):
-            self.start("tr", "")
+            self.start("tr", {})
         if tag in BLOCKS and tag not in ("head", "html") and self.open[-1].tag == "head":
             self.end("head")
         top = self.open[-1]
-        shown = top.shown and tag not in UNSEEN and (not top.folded or tag == "summary") and not (attributes and _HIDING.search(attributes))
-        if tag == "dialog" and not _OPEN.search(attributes):
+        shown = top.shown and tag not in UNSEEN and (not top.folded or tag == "summary") and not (attributes and _hides(attributes))
+        if tag == "dialog" and "open" not in attributes:
             shown = False
         if tag in VOID:
             if shown and tag == "br":
@@ -172,9 +196,9 @@ class _Builder:
         if not shown:
             return
         if tag == "details":
-            e.folded = not _OPEN.search(attributes)
+            e.folded = "open" not in attributes
         if tag in CELLS:
-            found = _SPAN.search(attributes)
+            found = _SPAN.match(attributes.get("colspan", ""))
             e.span, e.outer, self.text = max(1, int(found[1])) if found else 1, self.text, _Text()
         elif tag == "tr":
             table = self.table()
@@ -190,7 +214,7 @@ class _Builder:
         if tag == "table":
             e.rows = []
         elif tag == "ol":
-            found = _START.search(attributes)
+            found = _START.match(attributes.get("start", ""))
             e.count = int(found[1]) - 1 if found else 0
         elif tag == "li":
             parent = next((x for x in reversed(self.open[:-1]) if x.tag in LISTS), None)
@@ -306,7 +330,7 @@ def render(page: str) -> str:
             b.end(tag)
             continue
         attributes = found[3]
-        b.start(tag, attributes if len(attributes) > 1 else "")
+        b.start(tag, _attributes(attributes))
         if tag in RAW:
             close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(page, at)
             at = close.start() if close else n

@@ -69,12 +69,23 @@ def drop_written(df: DataFrame) -> None:
         target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def in_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with small batches, so that long texts do not fill a worker's memory."""
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose Arrow batches from here on hold few rows and bytes; the session's own setting wins if it has one."""
     conf = df.sparkSession.conf
     if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(function, schema)
+    return df
+
+
+def in_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with small batches, so that long texts do not fill a worker's memory."""
+    return small_batches(df).mapInArrow(function, schema)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full URI of ``path``: one without a scheme is on the session's default file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
 
 
 def slices(texts: list[str], most_chars: int) -> Iterable[tuple[int, int]]:

@@ -8,8 +8,10 @@ block k starts at ``block_offsets[k]``, so any range of ids is read with one see
     trailer: bits, block_ids (uint32), n_ids, n_docs, n_blocks, documents offset, block offsets' offset (uint64), magic
 
 Writing is safe when tasks fail or run twice: each attempt writes a file of its own, and the manifest, put in place
-last, names the files of the attempts that count. Files are ordered by their first document, and the manifest has
-the number of ids before each file. Paths may be of any file system that pyarrow knows.
+last, names the files of the attempts that count; the next commit deletes what others left. Files are in the
+order of the partitions that wrote them, and the manifest has the number of ids before each file. Appending puts the
+new files behind those that the manifest names, overwriting replaces them. One job at a time may write to a folder.
+Paths are full URIs of any file system that pyarrow knows; a bare path would mean another disk on each executor.
 """
 
 from __future__ import annotations
@@ -17,12 +19,13 @@ from __future__ import annotations
 import json
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 MAGIC = b"PKIDS001"
@@ -64,14 +67,16 @@ def unpack(data: bytes, n: int, bits: int) -> np.ndarray:
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    if ":/" not in path:
+        raise ValueError(f"{path} has no scheme; give a URI, as common.qualified makes one")
+    return pafs.FileSystem.from_uri(path)
 
 
 class PackedFile:
-    """Random access to one file."""
+    """Random access to one file; a path without a scheme is on this machine."""
 
     def __init__(self, path: str):
-        fs, place = _open(path)
+        fs, place = _open(path) if ":/" in path else (pafs.LocalFileSystem(), path)
         self.source = fs.open_input_file(place)
         self.source.seek(self.source.size() - _TRAILER.size)
         self.bits, self.block_ids, self.n_ids, self.n_docs, n_blocks, docs_at, blocks_at, magic = _TRAILER.unpack(self.source.read(_TRAILER.size))
@@ -101,19 +106,32 @@ class PackedFile:
 @dataclass
 class _Written(WriterCommitMessage):
     name: str | None
-    first: int | None
+    partition: int
     n_ids: int
     n_docs: int
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, bits: int, block_ids: int):
-        self.path, self.bits, self.block_ids = path.rstrip("/"), bits, block_ids
+    #: Makes (doc_id, ids) of the rows to be written.
+    prepare: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = staticmethod(iter)
+
+    def __init__(self, path: str, bits: int, block_ids: int, overwrite: bool):
+        self.path, self.bits, self.block_ids, self.overwrite = path.rstrip("/"), bits, block_ids, overwrite
+        self.job = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         fs, place = _open(self.path)
-        name = f"ids-{uuid.uuid4().hex}.pack"
-        sink, doc_ids, sizes, offsets, held, n_held, n_ids = None, [], [], [len(MAGIC)], [], 0, 0
+        name = f"ids-{self.job}-{uuid.uuid4().hex}.pack"
+        try:
+            n_ids, n_docs = self._write(fs, place, name, self.prepare(iterator))
+        except BaseException:
+            _delete(fs, [f"{place}/{name}"])
+            raise
+        context = TaskContext.get()
+        return _Written(name if n_docs else None, context.partitionId() if context else 0, n_ids, n_docs)
+
+    def _write(self, fs: pafs.FileSystem, place: str, name: str, batches: Iterator[pa.RecordBatch]) -> tuple[int, int]:
+        sink, doc_ids, sizes, offsets, held, n_held = None, [], [], [len(MAGIC)], [], 0
 
         def flush(everything: bool) -> None:
             nonlocal held, n_held
@@ -126,57 +144,80 @@ class _Writer(DataSourceArrowWriter):
                     offsets.append(offsets[-1] + len(data))
                 held, n_held = [flat[cut:]], len(flat) - cut
 
-        for batch in iterator:
-            if not batch.num_rows:
-                continue
+        try:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                if sink is None:
+                    fs.create_dir(place, recursive=True)
+                    sink = fs.open_output_stream(f"{place}/{name}")
+                    sink.write(MAGIC)
+                column = batch.column("ids")
+                flat = column.flatten().to_numpy(zero_copy_only=False)
+                if len(flat) and (flat.min() < 0 or int(flat.max()) >> self.bits):
+                    raise ValueError(f"an id does not fit in {self.bits} bits")
+                doc_ids.append(batch.column("doc_id"))
+                sizes.append(np.asarray(column.value_lengths().fill_null(0)))
+                held.append(flat)
+                n_held += len(flat)
+                flush(False)
             if sink is None:
-                fs.create_dir(place, recursive=True)
-                sink = fs.open_output_stream(f"{place}/{name}")
-                sink.write(MAGIC)
-            column = batch.column("ids")
-            flat = column.flatten().to_numpy(zero_copy_only=False)
-            if len(flat) and (flat.min() < 0 or int(flat.max()) >> self.bits):
-                raise ValueError(f"an id does not fit in {self.bits} bits")
-            doc_ids.append(batch.column("doc_id"))
-            sizes.append(np.asarray(column.value_lengths().fill_null(0)))
-            held.append(flat)
-            n_held += len(flat)
-            n_ids += len(flat)
-            flush(False)
-        if sink is None:
-            return _Written(None, None, 0, 0)
-        flush(True)
-        lengths = np.concatenate(sizes).astype(np.int64)
-        docs = pa.table({"doc_id": pa.chunked_array(doc_ids), "start": pa.array(np.cumsum(lengths) - lengths)})
-        buffer = pa.BufferOutputStream()
-        with pa.ipc.new_stream(buffer, docs.schema) as stream:
-            stream.write_table(docs)
-        listed = buffer.getvalue()
-        sink.write(listed)
-        sink.write(np.array(offsets, "<u8").tobytes())
-        docs_at = offsets[-1]
-        sink.write(_TRAILER.pack(self.bits, self.block_ids, n_ids, len(lengths), len(offsets) - 1, docs_at, docs_at + listed.size, MAGIC))
-        sink.close()
-        return _Written(name, docs["doc_id"][0].as_py(), n_ids, len(lengths))
+                return 0, 0
+            flush(True)
+            lengths = np.concatenate(sizes).astype(np.int64)
+            docs = pa.table({"doc_id": pa.chunked_array(doc_ids), "start": pa.array(np.cumsum(lengths) - lengths)})
+            buffer = pa.BufferOutputStream()
+            with pa.ipc.new_stream(buffer, docs.schema) as stream:
+                stream.write_table(docs)
+            listed = buffer.getvalue()
+            sink.write(listed)
+            sink.write(np.array(offsets, "<u8").tobytes())
+            n_ids, docs_at = int(lengths.sum()), offsets[-1]
+            sink.write(_TRAILER.pack(self.bits, self.block_ids, n_ids, len(lengths), len(offsets) - 1, docs_at, docs_at + listed.size, MAGIC))
+        finally:
+            if sink is not None:
+                sink.close()
+        return n_ids, len(lengths)
+
+    def _left_over(self, fs: pafs.FileSystem, place: str, kept: set[str], prefix: str = "ids-") -> list[str]:
+        """Files that do not count."""
+        found = fs.get_file_info(pafs.FileSelector(place, allow_not_found=True))
+        return [x.path for x in found if x.base_name.startswith(prefix) and x.base_name not in kept]
 
     def commit(self, messages: list[_Written]) -> None:
         fs, place = _open(self.path)
         fs.create_dir(place, recursive=True)
-        done = [m for m in messages if m is not None and m.name]
-        done.sort(key=lambda m: (m.first is not None, m.first or 0))
-        files, before = [], 0
+        old = read_manifest(fs, place)
+        files = [] if self.overwrite else old
+        before = files[-1]["before"] + files[-1]["n_ids"] if files else 0
+        done = sorted((m for m in messages if m is not None and m.name), key=lambda m: m.partition)
         for m in done:
-            files.append({"name": m.name, "before": before, "n_ids": m.n_ids, "n_docs": m.n_docs})
+            files = [*files, {"name": m.name, "before": before, "n_ids": m.n_ids, "n_docs": m.n_docs}]
             before += m.n_ids
         with fs.open_output_stream(f"{place}/manifest.json.tmp") as out:
-            out.write(json.dumps({"bits": self.bits, "n_ids": before, "files": files}).encode())
+            out.write(json.dumps({"n_ids": before, "files": files}).encode())
         fs.move(f"{place}/manifest.json.tmp", f"{place}/manifest.json")
+        _delete(fs, self._left_over(fs, place, {f["name"] for f in files}))
 
     def abort(self, messages: list[_Written]) -> None:
         fs, place = _open(self.path)
-        for m in messages:
-            if m is not None and m.name:
-                fs.delete_file(f"{place}/{m.name}")
+        _delete(fs, self._left_over(fs, place, set(), f"ids-{self.job}-"))
+
+
+def _delete(fs: pafs.FileSystem, paths: list[str]) -> None:
+    for path in paths:
+        try:
+            fs.delete_file(path)
+        except FileNotFoundError:
+            pass  # never begun, or gone already
+
+
+def read_manifest(fs: pafs.FileSystem, place: str) -> list[dict]:
+    """The files of a data set in order; none if there is no manifest yet."""
+    if fs.get_file_info(f"{place}/manifest.json").type == pafs.FileType.NotFound:
+        return []
+    with fs.open_input_stream(f"{place}/manifest.json") as source:
+        return json.loads(source.read())["files"]
 
 
 @dataclass
@@ -190,10 +231,7 @@ class _Reader(DataSourceReader):
         self.path, self.as_bytes = path.rstrip("/"), as_bytes
 
     def partitions(self) -> list[_File]:
-        fs, place = _open(self.path)
-        with fs.open_input_stream(f"{place}/manifest.json") as source:
-            files = json.loads(source.read())["files"]
-        return [_File(f["name"], f["before"]) for f in files] or [_File("", 0)]
+        return [_File(f["name"], f["before"]) for f in read_manifest(*_open(self.path))] or [_File("", 0)]
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
         if not partition.name:
@@ -232,7 +270,7 @@ class PackedIds(DataSource):
         return self.options.get("layout") == "bytes"
 
     def writer(self, schema, overwrite: bool) -> _Writer:
-        return _Writer(self.options["path"], int(self.options["bits"]), int(self.options.get("block_ids", BLOCK_IDS)))
+        return _Writer(self.options["path"], int(self.options["bits"]), int(self.options.get("block_ids", BLOCK_IDS)), overwrite)
 
     def reader(self, schema) -> _Reader:
         return _Reader(self.options["path"], self._as_bytes())

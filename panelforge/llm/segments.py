@@ -12,6 +12,34 @@ CACHE_ENTRIES = 300_000
 CACHED_CHARS = 48
 
 
+class Generations:
+    """A bounded map from segments to their packed ids.
+
+    When a generation is full it becomes the old one, from which segments that are met again move on, so frequent
+    segments stay while memory is bounded. Segments of more than CACHED_CHARS are never kept.
+    """
+
+    def __init__(self, entries: int = CACHE_ENTRIES):
+        self.entries, self.known, self.old = entries, {}, {}
+
+    def look_up(self, names: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """What is known of each name, and the places of those that are new."""
+        if len(self.known) > self.entries:
+            self.known, self.old = {}, self.known
+        known, old, new = self.known, self.old, []
+        found = list(map(known.get, names))
+        for i in [i for i, x in enumerate(found) if x is None]:
+            x = old.get(names[i])
+            if x is None:
+                new.append(i)
+            else:
+                known[names[i]] = found[i] = x
+        return found, new
+
+    def add(self, names: list[str], ids: list[bytes]) -> None:
+        self.known.update((x, y) for x, y in zip(names, ids) if len(x) <= CACHED_CHARS)
+
+
 class SegmentCache:
     """Ids of segments as packed int32, computed for the new segments of a batch at once.
 
@@ -33,17 +61,6 @@ class SegmentCache:
             return [b"".join(map(get, parts)) for parts in split_texts]
         return [b"".join([large[x] if x in large else known[x] for x in parts]) for parts in split_texts]
 
-    def lists(self, split_texts: pa.ListArray) -> pa.ListArray:
-        """The ids of each text (given as a list of its segments) as lists; only distinct segments become objects."""
-        coded = split_texts.flatten().dictionary_encode()
-        names, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        known, large = self._learn(names)
-        found = [large[x] if x in large else known[x] for x in names] if large else list(map(known.__getitem__, names))
-        each = id_lists(found).take(coded.indices)  # the ids of every segment in place
-        ends = np.concatenate([[0], np.cumsum(np.asarray(each.value_lengths()))])
-        places = np.concatenate([[0], np.cumsum(np.asarray(split_texts.value_lengths()))])
-        return pa.ListArray.from_arrays(pa.array(ends[places].astype(np.int32)), each.flatten())
-
     def _learn(self, wanted: Iterable[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
         """The known segments, all of the distinct ``wanted`` among them but for long ones, which come apart."""
         if len(self.known) > self.entries:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,10 @@ def shared_folder(spark: SparkSession) -> str:
 _own_folder: dict[str, str] = {}
 
 
+#: Tables made by ``written`` and not deleted yet, in the scopes that are open; the first scope is the application's.
+_made: list[list[DataFrame]] = [[]]
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
@@ -57,6 +62,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
+    _made[-1].append(out)
     return out
 
 
@@ -67,6 +73,40 @@ def drop_written(df: DataFrame) -> None:
         jvm = df.sparkSession._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+        for scope in _made:
+            scope[:] = [x for x in scope if x is not df]
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], None]]:
+    """Delete at the end what ``written`` makes inside, but for the tables given to the function that it yields."""
+    held: list[DataFrame] = []
+    outer = _made[-1]
+    _made.append(held)
+
+    def keep(df: DataFrame) -> None:
+        held[:] = [x for x in held if x is not df]
+        outer.append(df)
+
+    try:
+        yield keep
+    finally:
+        _made[:] = [x for x in _made if x is not held]
+        for df in held:
+            drop_written(df)
+
+
+def drop_all_written() -> None:
+    """Delete every table that is left. Results of this subpackage are lazy and read such tables, so call it when they
+    have been used."""
+    for scope in _made:
+        for df in list(scope):
+            drop_written(df)
+
+
+def fresh(name: str) -> str:
+    """A column name that no table has."""
+    return f"__{name}_{uuid.uuid4().hex}"
 
 
 def small_batches(df: DataFrame) -> DataFrame:

@@ -31,7 +31,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v): component is the smallest node reachable.
 
     Nodes must be comparable and not null. Each round ends in a table in the shared folder. No node's neighbours are
-    ever gathered: a round only takes minima, so a node with very many edges costs no more memory than another.
+    ever gathered: a round only takes minima, so a node with very many edges costs no more memory than another. The
+    result reads a table that ``drop_written`` of the result deletes.
     """
     current = written(edges.where("u <> v").select("u", "v").distinct(), "edges")
     before = None
@@ -47,4 +48,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    out = current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    out._written_path = current._written_path
+    return out

@@ -16,7 +16,8 @@
 
 Defined results: null and white-space-only texts have fingerprint zero and link like any other. Rows with repeated
 ids are fingerprinted one by one, and a component takes the smallest id. Rows with a null id get a fingerprint and the component of
-their group (null if no row in it has an id). An empty table gives no rows. Other columns never take part.
+their group (null if no row in it has an id). Very long texts are read whole. An empty table gives no rows. Other
+columns never take part, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,10 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop_written, in_batches, table, text_or_empty, written
+from . import similar_sets
+from .common import drop_written, fresh, in_batches, table, text_or_empty, written
 from .components import components
 
 NAME = "op10_simhash"
@@ -312,10 +314,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their component, with all their columns."""
-    stay = near_duplicates(docs, id_col, text_col).where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["__id"]), "left_semi")
+def near_pairs(prints: DataFrame, tau: int = TAU, block: int = BLOCK) -> DataFrame:
+    """(u, v): nodes of ``prints`` (node, fp) that equal fingerprints, or links between near ones, bring together."""
+    heads = written(prints.groupBy("fp").agg(F.min("node").alias("head")), "fps")
+    n, counts = bit_counts(heads)
+    groups = partitions(n, counts)
+    radius = thresholds(groups, n, counts, collision_counts(heads, groups), tau)
+    links = near_links(heads, groups, radius, tau, block)
+    ends = [heads.select(F.col("fp").alias(c), F.col("head").alias(f"node_{c}")) for c in "uv"]
+    far = links.join(ends[0], "u").join(ends[1], "v").select(F.col("node_u").alias("u"), F.col("node_v").alias("v"))
+    same = prints.select("fp", "node").distinct().join(heads, "fp").where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v"))
+    return far.union(same).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def keep_representatives(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = similar_sets.SHINGLE, least: float = similar_sets.LEAST,
+    tau: int = TAU, block: int = BLOCK,
+) -> DataFrame:
+    """One row of ``docs``, with all its columns, for each group of texts linked by sets of ``size``-word shingles with
+    Jaccard similarity ``least`` or more.
+
+    Fingerprints of the sets that are at most ``tau`` bits apart give the first pairs, confirmed by the exact
+    similarity. Bits alone find few sets of similarity 0.8 (they differ in about ten of 64), so ``similar_sets`` finds
+    the links that are left, exactly. The row with the smallest id stays, null after all others, of equal ids the one
+    with the smallest hash of its text, of equal rows any one.
+    """
+    found = written(similar_sets.prints(docs, id_col, text_col, size, least), "shingles")
+    joined = similar_sets.link_components(docs, found, id_col, text_col, size, least, block, near_pairs(found, tau, block))
+    roots = found.join(joined, "node", "left").select("doc_id", "text_hash", F.coalesce("component", "node").alias("root"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    names = roots.groupBy("root").agg(F.min(row).alias("name"), F.count("*").alias("n")).where("n > 1")
+    other = ~(F.col("doc_id").eqNullSafe(F.col("name.doc_id")) & (F.col("text_hash") == F.col("name.text_hash")))
+    key, of_id, of_text = fresh("key"), fresh("id"), fresh("text")
+    columns = [F.col("doc_id").alias(of_id), F.col("text_hash").alias(of_text)]
+    gone = written(roots.join(names, "root").where(other).select(*columns).distinct(), "gone")
+    repeated = written(roots.groupBy("doc_id", "text_hash").count().where("count > 1").select(*columns), "repeated")
+    keyed = docs.withColumn(key, similar_sets.text_hash(text_col))
+
+    def join(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return rows.join(keys, F.col(key).eqNullSafe(F.col(of_text)) & rows[id_col].eqNullSafe(keys[of_id]), how)
+
+    kept = join(keyed, gone, "left_anti")
+    if not repeated.isEmpty():
+        first = Window.partitionBy(id_col, key).orderBy(F.lit(0))
+        nth = fresh("nth")
+        once = join(kept, repeated, "left_semi").withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).drop(nth)
+        kept = join(kept, repeated, "left_anti").unionByName(once)
+    return kept.drop(key)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Texts whose sets of word shingles are alike: an exact set-similarity join, then components.
+"""Texts whose sets of word shingles are alike: an exact set-similarity join, then links between sets.
 
 1. The shingles of a text are hashed to 64 bits; equal sets are one node, named by a hash of the set.
 2. All shingles stand in one order: those that a sample of the texts shows to be common come last, by their count, and
@@ -6,15 +6,15 @@
    n - ceil(least * n) + 1 shingles of each (prefix filter). Any order gives the same pairs, so the sample only saves work.
 3. Each shingle of a prefix is a bucket. Buckets with one node fall away; of the pairs in the others those remain whose
    sizes, and whose places of the shared shingle, leave room for enough common shingles. Neither test loses a pair.
-4. A sketch counts the shingles of a set in classes by hash; the sum of the lesser counts bounds the common shingles from
-   above, so it refuses no similar pair either. The pairs left are confirmed by the exact similarity of their whole sets. First every bucket
-   offers its members with one of them; links found so join most of a large group. Then it offers all pairs not joined yet, in blocks of bounded size.
-5. Links become components by minima; the smallest id of a component names it.
+4. A sketch holds, for classes of shingles by hash, whether an odd number of the set falls in each. Where two sketches
+   differ the sets differ, so the differing bits bound the shingles that are not common from below, and no similar pair is
+   refused. The pairs left are confirmed by the exact similarity of their whole sets.
+5. Pairs that a caller has found by other means are confirmed first. Then every bucket offers its members with one of
+   them; links found so join most of a large group. Last it offers all pairs not joined yet, in blocks of bounded size.
 
 Defined results: texts shorter than a shingle are one shingle; null and white-space-only texts are alike. Only ASCII
-letters change case and only ASCII white space parts words. Null ids count as one id. Of an id with several rows all stay
-if one does. An empty table gives no rows. No pair of similar texts is lost, except that two shingles or two sets with
-equal 64-bit hashes count as equal.
+letters change case and only ASCII white space parts words. An empty table gives no rows. Very long texts are read whole.
+No pair of similar texts is lost, except that two shingles or two sets with equal 64-bit hashes count as equal.
 """
 
 from __future__ import annotations
@@ -35,8 +35,6 @@ SHINGLE = 5
 LEAST = 0.8
 #: One text of so many is read to find common shingles, of which at most so many are held.
 SAMPLE, MAX_COMMON = 16, 200_000
-#: Rounds in which a bucket offers its members with one of them only.
-STARS = 2
 #: Members of a bucket block: a task compares two blocks at a time.
 BLOCK = 2048
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -71,19 +69,28 @@ def prefix(found: np.ndarray, common: np.ndarray, rank: np.ndarray, least: float
 
 
 def sketch(found: np.ndarray) -> np.ndarray:
-    """Shingles in each class by the low bits of the hash, four to eight on average; 255 stands for any larger count."""
-    classes = 1 << max((len(found) // 4).bit_length() - 1, 0)
-    counts = np.bincount((found & np.uint64(classes - 1)).astype(np.int64), minlength=classes)
-    return np.minimum(counts, 255).astype(np.uint8)
+    """The size of the set, then one bit for each class by the low bits of the hash: whether an odd number falls in it.
+    There are two to four classes for each shingle, 64 at least; 64-bit words."""
+    classes = 1 << max((2 * len(found) - 1).bit_length(), 6)
+    odd = np.bincount((found & np.uint64(classes - 1)).astype(np.int64), minlength=classes).astype(np.uint8) & 1
+    return np.concatenate([np.array([len(found)], np.uint64), np.packbits(odd, bitorder="little").view("<u8")])
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (without their sizes, one in a row) with classes put together until ``words`` words are left."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, words), axis=1)
+
+
+def _apart(size_a, size_b, least: float):
+    """The most shingles that two similar sets may have besides the common ones."""
+    return (1 - least) / (1 + least) * (size_a + size_b) + _EPS
 
 
 def may_be_similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    """Whether the sketches of two sets leave room for enough common shingles."""
-    if max(a.max(), b.max()) == 255:
-        return True
-    classes = min(len(a), len(b))
-    a, b = (x.reshape(-1, classes).sum(axis=0, dtype=np.int64) for x in (a, b))
-    return np.minimum(a, b).sum() >= least / (1 + least) * (a.sum() + b.sum()) - _EPS
+    """Whether two sketches may belong to similar sets."""
+    words = min(len(a), len(b)) - 1
+    differ = np.bitwise_count(folded(a[None, 1:], words) ^ folded(b[None, 1:], words)).sum()
+    return bool(differ <= _apart(int(a[0]), int(b[0]), least))
 
 
 def common_shingles(docs: DataFrame, text_col: str, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,22 +115,34 @@ def common_shingles(docs: DataFrame, text_col: str, size: int) -> tuple[np.ndarr
     return token[by_token], rank[by_token]
 
 
+def fingerprint_of(found: np.ndarray) -> int:
+    """64 bits, each set if more than half of the shingle hashes have it set; as a signed number."""
+    ones = np.unpackbits(found.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(found), bitorder="little").view("<i8")[0])
+
+
 def prints(docs: DataFrame, id_col: str, text_col: str, size: int, least: float) -> DataFrame:
-    """(doc_id, node, size, sketch, prefix) for every row of ``docs``."""
+    """(doc_id, text_hash, node, fp, size, sketch, prefix) for every row of ``docs``."""
     held = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text_col, size))
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, rank = held.value
         for batch in it:
-            found = [shingles(x, size) for x in batch.column(1).to_pylist()]
+            found = [shingles(x, size) for x in batch.column(2).to_pylist()]
             first = [prefix(x, common, rank, least) for x in found]
             ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
             values = np.concatenate(first).view(np.int64) if first else np.zeros(0, np.int64)
-            columns = [batch.column(0), pa.array(list(map(_node, found)), pa.int64()), pa.array(list(map(len, found)), pa.int32()), pa.array([sketch(x).tobytes() for x in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["doc_id", "node", "size", "sketch", "prefix"])
+            numbers = [pa.array(list(map(f, found)), kind) for f, kind in ((_node, pa.int64()), (fingerprint_of, pa.int64()), (len, pa.int32()))]
+            sketches = pa.array([sketch(x).tobytes() for x in found], pa.binary())
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *numbers, sketches, lists], ["doc_id", "text_hash", "node", "fp", "size", "sketch", "prefix"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).select("doc_id", text_hash("text"), "text")
+    return in_batches(rows, batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, node long, fp long, size int, sketch binary, prefix array<long>")
+
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return in_batches(rows, batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node long, size int, sketch binary, prefix array<long>")
+def text_hash(text: str | Column) -> Column:
+    return F.xxhash64(text_or_empty(text)).alias("text_hash")
 
 
 def buckets(found: DataFrame) -> DataFrame:
@@ -175,13 +194,14 @@ def star_pairs(members: DataFrame, least: float, seed: int) -> DataFrame:
     return pairs.select(*_pairs(F.col("node"), F.col("m.node"))).distinct()
 
 
-def all_pairs(members: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
-    """(u, v): all pairs of a bucket that can be similar and are not joined yet."""
+def all_pairs(members: DataFrame, sketches: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """(u, v): all pairs of a bucket that can be similar, by their sketches too, and are not joined yet."""
     sizes = members.groupBy("token").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"))
     open_ = sizes.where("a <> b").select("token", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     rows = members.join(open_, "token").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("token", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "size", "place", "label")
+    rows = rows.join(sketches.withColumnRenamed("fact", "sketch"), "node")
+    rows = rows.select("token", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "size", "place", "label", "sketch")
     placed = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
 
     def compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,20 +226,47 @@ def all_pairs(members: DataFrame, least: float, block: int = BLOCK) -> DataFrame
 
 
 def _block_pairs(columns: list[np.ndarray], least: float) -> np.ndarray:
-    _, low, high, mine, node, size, place, label = columns
+    _, low, high, mine, node, size, place, label, sketches = columns
     a, b = np.flatnonzero(mine == low[0]), np.flatnonzero(mine == high[0])
-    found = [np.zeros((0, 2), np.int64)]
+    found, tables = [np.zeros((0, 2), np.int64)], _Sketches(sketches)
     for start in range(0, len(a), 256):
         i = a[start : start + 256, None]
         can = (label[i] != label[b]) & _room(size[i], place[i], size[b], place[b], least)
         if low[0] == high[0]:
             can &= node[i] < node[b]
         x, y = np.nonzero(can)
-        x, y = node[i[x, 0]], node[b[y]]
+        x, y = i[x, 0], b[y]
+        near = tables.differ(x, y) <= _apart(size[x].astype(np.int64), size[y], least)
+        x, y = node[x[near]], node[y[near]]
         found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
     return np.concatenate(found)
 
 
+class _Sketches:
+    """The sketches of a block in tables by their length."""
+
+    def __init__(self, packed: np.ndarray):
+        self.words = np.fromiter(map(len, packed), np.int64, len(packed)) // 8 - 1
+        self.row, self.tables = np.zeros(len(packed), np.int64), {}
+        for n in np.unique(self.words).tolist():
+            which = np.flatnonzero(self.words == n)
+            self.row[which] = np.arange(len(which))
+            self.tables[n] = np.frombuffer(b"".join(packed[which].tolist()), "<u8").reshape(-1, n + 1)[:, 1:]
+
+    def differ(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """In how many classes the sketches ``x`` and ``y`` differ, pair by pair."""
+        out = np.zeros(len(x), np.int64)
+        shape = self.words[x] * (1 << 32) + self.words[y]
+        for key in np.unique(shape).tolist():
+            m, n = key >> 32, key & 0xFFFFFFFF
+            pairs = np.flatnonzero(shape == key)
+            for at in range(0, len(pairs), max(1, (1 << 20) // max(m, n))):
+                part = pairs[at : at + max(1, (1 << 20) // max(m, n))]
+                left, right = (folded(self.tables[k][self.row[i[part]]], min(m, n)) for k, i in ((m, x), (n, y)))
+                out[part] = np.bitwise_count(left ^ right).sum(axis=1)
+        return out
+
+
 def whole_sets(docs: DataFrame, found: DataFrame, nodes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """(node, hashes): the sets of ``nodes`` (node), read again from the texts."""
 
@@ -252,33 +299,31 @@ def _similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     return common >= least * (len(both) - common) - _EPS
 
 
-def link_components(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, size: int, least: float, block: int = BLOCK) -> DataFrame:
-    """(node, component) for every node that is similar to another."""
+def link_components(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, size: int, least: float, block: int = BLOCK, first: DataFrame | None = None) -> DataFrame:
+    """(node, component) for every node that is similar to another; ``first`` (u, v) are pairs to try before the others."""
     members = written(buckets(found), "buckets")
-    sketches = found.select("node", F.col("sketch").alias("fact"))
+    sketches = written(found.groupBy("node").agg(F.first("sketch").alias("fact")), "sketches")
+    kept = [members, sketches]
     links = joined = tried = None
-    for turn in range(STARS + 1):
+    for turn in ("first", "star", "star", "all") if first is not None else ("star", "star", "all"):
         labelled = members.withColumn("label", F.col("node"))
         if joined is not None:
             labelled = members.join(joined, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-        pairs = star_pairs(labelled, least, turn) if turn < STARS else all_pairs(labelled, least, block)
-        near = _where(pairs, sketches, lambda a, b: may_be_similar(a, b, least), "u1")
+        if turn == "all":
+            near = all_pairs(labelled, sketches, least, block)
+        else:
+            pairs = first if turn == "first" else star_pairs(labelled, least, len(kept))
+            near = _where(pairs, sketches, lambda a, b: may_be_similar(a, b, least), "<u8")
         near = written(near if tried is None else near.join(tried, ["u", "v"], "left_anti"), "near")
         nodes = near.select(F.explode(F.array("u", "v")).alias("node")).distinct()
         sets = written(whole_sets(docs, found, nodes, id_col, text_col, size), "sets")
         new = written(_where(near, sets.withColumnRenamed("hashes", "fact"), lambda a, b: _similar(a, b, least), "<u8"), "links")
         drop_written(sets)
         links, tried = (new, near) if links is None else (links.union(new), tried.union(near))
-        joined = written(components(links), "joined")
+        kept += [near, new]
+        if joined is not None:
+            drop_written(joined)
+        joined = components(links)
+    for df in kept:
+        drop_written(df)
     return joined
-
-
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, least: float = LEAST, block: int = BLOCK) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, with all their columns."""
-    found = written(prints(docs, id_col, text_col, size, least), "shingles")
-    joined = link_components(docs, found, id_col, text_col, size, least, block)
-    roots = found.select("doc_id", "node").join(joined, "node", "left").select("doc_id", F.coalesce("component", "node").alias("root"))
-    names = roots.groupBy("root").agg(F.min("doc_id").alias("name"), F.count("*").alias("n")).where("n > 1")
-    marked = roots.join(names, "root", "left").select("doc_id", (F.col("n").isNull() | F.col("doc_id").eqNullSafe(F.col("name"))).alias("stays"))
-    gone = written(marked.groupBy("doc_id").agg(F.max("stays").alias("stays")).where("not stays").select(F.col("doc_id").alias("__id")), "gone")
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]), "left_anti")

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import op3_language_id, op5_exact_dedup, op6_decontamination, op7_sentencepiece, similar_sets
-from panelforge.llm.common import table, written
+from panelforge.llm import op3_language_id, op5_exact_dedup, op6_decontamination, op7_sentencepiece, op10_simhash
+from panelforge.llm.common import drop_written, scratch, table, written
 
 #: Documents whose language is less likely than this are rejected.
 MIN_LANGUAGE_SCORE = 0.5
@@ -29,7 +29,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked by five-word Jaccard similarity 0.8 or more: the one with the smallest id."""
-    return similar_sets.keep_representatives(docs)
+    return op10_simhash.keep_representatives(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,5 +58,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch() as keep:  # what a stage has written for itself goes when its result is there
+            after = written(stage(spark, docs, sf_dir), f"stage-{name}")
+            keep(after)
+        drop_written(docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)

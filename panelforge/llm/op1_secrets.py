@@ -4,13 +4,14 @@
    tokens that mix cases and digits. Places are prefix sums over ``split`` pieces and matches, in code points.
 2. Every candidate value is hashed. Hashes are counted by distinct owner and repository over the whole corpus, each
    step partially aggregated before its shuffle, so a value that is copied everywhere crosses the network a few times.
-3. A value of few owners that looks live (no placeholder words, enough different characters) is owner-specific; a
-   value of many owners is widely copied. A mixed token on its own is too weak a sign, so it becomes a span only if
-   it is owner-specific; base spans stay whatever their frequency.
+3. A value that looks live (no placeholder words, enough different characters) is owner-specific if it has few owners
+   and few repositories; one with many of either is widely copied. A mixed token on its own is too weak a sign, so it
+   becomes a span only if it is owner-specific; base spans stay whatever their frequency.
 
 Defined results: null counts as the empty text. Each row of the input gives one row, repeated rows repeated results.
 A null repository or owner counts as one value. Spans sort by start, then by kind in the order assign, access, hex,
-token. An empty table gives no rows. Other columns never take part.
+token. Very long texts are read whole; places are prefix sums in three levels, so many matches in one text cost little
+more than their number. An empty table gives no rows. Other columns never take part, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 #: A match shorter than required inside a run of the same characters is the whole run, so these may ask for the length.
 KINDS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}", "token": r"[A-Za-z0-9+/_-]{24,}"}
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|redacted|your[_-]?|xxxx|0000|1234567"
-#: Values of at most so many owners are owner-specific.
-MAX_OWNERS = 2
+#: Values of at most so many owners and repositories are owner-specific.
+MAX_OWNERS, MAX_REPOS = 2, 8
 _GROUP = 64
+#: Of a value in the corpus: uses, distinct repositories, distinct owners.
+FREQUENCIES = ("n_uses", "n_repos", "n_owners")
 
 
 def _spans(text: Column, kind: str) -> tuple[Column, Column]:
@@ -38,31 +41,47 @@ def _spans(text: Column, kind: str) -> tuple[Column, Column]:
     return F.when(hit, F.split(text, KINDS[kind], -1)).otherwise(none), F.when(hit, F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(none)
 
 
+def _sum(sizes: Column) -> Column:
+    return F.aggregate(sizes, F.lit(0), lambda a, x: a + x)
+
+
+def _group_sums(sizes: str) -> Column:
+    """The sums of groups of _GROUP entries."""
+    groups = F.sequence(F.lit(0), F.ceil(F.size(sizes) / _GROUP).cast("int"))
+    return F.transform(groups, lambda g: _sum(F.slice(sizes, g * _GROUP + 1, F.lit(_GROUP))))
+
+
+def _before(groups_before: str, sizes: str, i: Column) -> Column:
+    """The sum of the entries of ``sizes`` before place ``i``, from the sums before each group."""
+    group = F.floor(i / _GROUP).cast("int")
+    return F.get(groups_before, group) + _sum(F.slice(sizes, group * _GROUP + 1, i % _GROUP))
+
+
+def _sums_before(sizes: str) -> Column:
+    """For each entry the sum of those before it, by adding them all: for short arrays."""
+    return F.transform(sizes, lambda _, i: _sum(F.slice(sizes, F.lit(1), i)))
+
+
+def _all_before(groups_before: str, sizes: str) -> Column:
+    return F.transform(sizes, lambda _, i: _before(groups_before, sizes, i))
+
+
 def candidates(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner: Column) -> DataFrame:
     """Row number, id, repo, owner and the candidate spans of every row of ``docs``."""
     rows = docs.select(F.col(id_col).alias("doc_id"), repo.cast("string").alias("repo"), owner.cast("string").alias("owner"), text_or_empty(text_col).alias("text"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     found = {f"{kind}_{what}": c for kind in KINDS for what, c in zip(("pieces", "matches"), _spans(F.col("text"), kind))}
     rows = rows.withColumns(found).drop("text")
-    # prefix sums in two levels: sums of groups of _GROUP lengths, and inside a group
+    # prefix sums in three levels: sums of groups of _GROUP lengths, of groups of _GROUP groups, and inside a group
     rows = rows.withColumns({f"{k}_sizes": F.zip_with(f"{k}_pieces", f"{k}_matches", lambda p, m: F.length(p) + F.coalesce(F.length(m), F.lit(0))) for k in KINDS})
-
-    def sums(k: str) -> Column:
-        groups = F.sequence(F.lit(0), F.ceil(F.size(f"{k}_sizes") / _GROUP).cast("int"))
-        return F.transform(groups, lambda g: F.aggregate(F.slice(f"{k}_sizes", g * _GROUP + 1, F.lit(_GROUP)), F.lit(0), lambda a, x: a + x))
-
-    rows = rows.withColumns({f"{k}_sums": sums(k) for k in KINDS})
-
-    def before(k: str) -> Column:
-        return F.transform(f"{k}_sums", lambda _, g: F.aggregate(F.slice(f"{k}_sums", F.lit(1), g), F.lit(0), lambda a, x: a + x))
-
-    rows = rows.withColumns({f"{k}_before": before(k) for k in KINDS})
+    rows = rows.withColumns({f"{k}_sums": _group_sums(f"{k}_sizes") for k in KINDS})
+    rows = rows.withColumns({f"{k}_high": _group_sums(f"{k}_sums") for k in KINDS})
+    rows = rows.withColumns({f"{k}_high_before": _sums_before(f"{k}_high") for k in KINDS})
+    rows = rows.withColumns({f"{k}_before": _all_before(f"{k}_high_before", f"{k}_sums") for k in KINDS})
 
     def span(k: str, order: int) -> Column:
         def one(match: Column, i: Column) -> Column:
-            group = F.floor(i / _GROUP).cast("int")
-            inside = F.aggregate(F.slice(f"{k}_sizes", group * _GROUP + 1, i % _GROUP), F.lit(0), lambda a, x: a + x)
-            start = F.get(f"{k}_before", group) + inside + F.length(F.get(f"{k}_pieces", i))
+            start = _before(f"{k}_before", f"{k}_sizes", i) + F.length(F.get(f"{k}_pieces", i))
             value = F.regexp_extract(match, ASSIGN, 2) if k == "assign" else match
             return F.struct(start.alias("start"), F.lit(order).alias("rank"), F.lit(k).alias("kind"), (start + F.length(match)).alias("end"), value.alias("value"))
 
@@ -81,14 +100,14 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner:
     return rows.withColumn("token", apart)
 
 
-def ownership(found: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+def ownership(found: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """For each secret hash: uses, repositories, owners and verdict (owner_specific, widely_copied or placeholder)."""
     uses = found.select("repo", "owner", F.explode(F.concat("base", "token")).alias("s"))
     uses = uses.select("repo", "owner", F.sha2("s.value", 256).alias("secret"), live_looking(F.col("s.value")).alias("live"))
     by_repo = uses.groupBy("secret", "live", "owner", "repo").agg(F.count("*").alias("n"))
     by_owner = by_repo.groupBy("secret", "live", "owner").agg(F.sum("n").alias("n"), F.count("*").alias("repos"))
     total = by_owner.groupBy("secret", "live").agg(F.sum("n").alias("n_uses"), F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners"))
-    verdict = F.when(~F.col("live"), "placeholder").when(F.col("n_owners") <= max_owners, "owner_specific").otherwise("widely_copied")
+    verdict = F.when(~F.col("live"), "placeholder").when((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos), "owner_specific").otherwise("widely_copied")
     return total.select("secret", "n_uses", "n_repos", "n_owners", verdict.alias("verdict"))
 
 
@@ -101,23 +120,25 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None, owner: Column | None = None, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, counts by kind, base_spans, all_spans, n_owner_specific, n_widely_copied."""
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None, owner: Column | None = None, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, counts by kind, base_spans, all_spans, n_owner_specific, n_widely_copied, and
+    the most uses, repositories and owners that any candidate value of the row has in the corpus."""
     nothing = F.lit(None).cast("string")
     found = written(candidates(docs, id_col, text_col, nothing if repo is None else repo, nothing if owner is None else owner), "secrets")
     span = F.explode(F.concat("base", "token")).alias("s")
     uses = found.where("size(base) + size(token) > 0").select("row", span).withColumn("secret", F.sha2("s.value", 256))
-    judged = uses.join(ownership(found, max_owners).select("secret", "verdict"), "secret")
+    judged = uses.join(ownership(found, max_owners, max_repos), "secret")
     own, token = F.col("verdict") == "owner_specific", F.col("s.kind") == "token"
     by_row = judged.groupBy("row").agg(
         F.count_if(own).alias("n_owner_specific"),
         F.count_if(F.col("verdict") == "widely_copied").alias("n_widely_copied"),
+        *(F.max(c).alias(c) for c in FREQUENCIES),
         F.collect_list(F.when(own & token, F.col("s"))).alias("added"),
     )
     out = found.join(by_row, "row", "left")
     none = F.slice("token", 1, 0)
     every = F.array_sort(F.concat("base", F.coalesce("added", none)))
-    zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_owner_specific", "n_widely_copied")}
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_owner_specific", "n_widely_copied", *FREQUENCIES)}
     return out.withColumns(zero | {"all_spans": every}).select("doc_id", "n_assign", "n_access", "n_hex", F.col("base").alias("base_spans"), "all_spans", *zero)
 
 
@@ -126,7 +147,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(docs, repo=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2(_listed(F.col("base_spans")), 256).alias("base_sha256"),
-        _listed(F.col("all_spans")).alias("spans"), "n_owner_specific", "n_widely_copied",
+        _listed(F.col("all_spans")).alias("spans"), "n_owner_specific", "n_widely_copied", *FREQUENCIES,
     )
 
 
@@ -160,20 +181,23 @@ WITH d AS (
   SELECT * FROM cand c WHERE kind <> 'token'
     OR NOT EXISTS (SELECT 1 FROM cand b WHERE b.rid = c.rid AND b.kind <> 'token' AND b.start < c.stop AND c.start < b.stop)
 ), freq AS (
-  SELECT secret, live, count(DISTINCT coalesce(owner, '')) AS owners FROM kept JOIN d USING (rid) GROUP BY secret, live
+  SELECT secret, live, count(*) AS uses, count(DISTINCT coalesce(owner, '')) AS owners, count(DISTINCT coalesce(owner, '') || ' ' || repo) AS repos
+  FROM kept JOIN d USING (rid) GROUP BY secret, live
 ), judged AS (
-  SELECT kept.*, CASE WHEN NOT kept.live THEN 'placeholder' WHEN owners <= {MAX_OWNERS} THEN 'owner_specific' ELSE 'widely_copied' END AS verdict
+  SELECT kept.*, uses, repos, owners, CASE WHEN NOT kept.live THEN 'placeholder' WHEN owners <= {MAX_OWNERS} AND repos <= {MAX_REPOS} THEN 'owner_specific' ELSE 'widely_copied' END AS verdict
   FROM kept JOIN freq USING (secret)
 ), byrow AS (
   SELECT rid,
     count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
     string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (kind <> 'token') AS base,
     string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (kind <> 'token' OR verdict = 'owner_specific') AS spans,
-    count(*) FILTER (verdict = 'owner_specific') AS n_owner_specific, count(*) FILTER (verdict = 'widely_copied') AS n_widely_copied
+    count(*) FILTER (verdict = 'owner_specific') AS n_owner_specific, count(*) FILTER (verdict = 'widely_copied') AS n_widely_copied,
+    max(uses) AS n_uses, max(repos) AS n_repos, max(owners) AS n_owners
   FROM judged GROUP BY rid
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(n_owner_specific, 0) AS n_owner_specific, coalesce(n_widely_copied, 0) AS n_widely_copied
+       coalesce(n_owner_specific, 0) AS n_owner_specific, coalesce(n_widely_copied, 0) AS n_widely_copied,
+       coalesce(n_uses, 0) AS n_uses, coalesce(n_repos, 0) AS n_repos, coalesce(n_owners, 0) AS n_owners
 FROM d LEFT JOIN byrow USING (rid)
 """

@@ -1,16 +1,19 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Training sums n-gram counts in each task and then in Spark by (language, bucket), over every labelled row. The
-log-probability matrix (buckets x languages) is broadcast; its size is fixed by ``buckets`` and checked. Scoring is
-a sparse product in numpy: the n-grams of a batch are the column indices of a CSR matrix, gathered from the matrix
-and summed for each text. Long texts are read in overlapping pieces, so memory is bounded and no text is cut.
+log-probability matrix (buckets x languages) is broadcast; its size is bounded: where a table has so many languages that
+the matrix would pass MATRIX_LIMIT, buckets are halved until it fits. Scoring is a sparse product in numpy: the rows of
+the matrix that the n-grams of a batch name are gathered and summed for each text. Log-probabilities are whole numbers
+of 2**-20, so sums are exact: they depend neither on the batch that a text stands in nor on how it is cut.
 
 N-grams are pairs and triples of letters and word borders: texts are lower-cased and every run of other characters
-counts as one border.
+counts as one border, as do both ends. Long texts are read in pieces that hand on their last two signs, so every n-gram
+counts once, memory is bounded and no text is cut.
 
-Defined results: a text that is null or has no letter gives ``und`` with score 0, and so does every text if no row
-has a language. Equal scores go to the language first in code-point order. Rows with null language only score.
-Repeated rows count as often as they occur in training. An empty table gives no rows.
+Defined results: a text that is null or has no letter (``str.isalpha``) gives ``und`` with score 0, and so does every
+text if no row has a language. Equal scores go to the language first in code-point order. Rows with null language only
+score. Repeated rows count as often as they occur in training. An empty table gives no rows. Other columns never take
+part, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,60 +32,94 @@ NAME = "op3_language_id"
 BUCKETS = 1 << 15
 ALPHA = 0.05
 UNKNOWN = "und"
-#: Most bytes of the broadcast matrix.
-MATRIX_LIMIT = 64 << 20
+#: Most bytes of the broadcast matrix, and the fewest buckets that it may be cut to.
+MATRIX_LIMIT, FEWEST_BUCKETS = 64 << 20, 64
+#: Log-probabilities are multiples of one over this.
+_UNIT = 1 << 20
+#: Characters that are read together; a longer text is read in pieces.
 _PIECE = 200_000
+_BORDER = 32
 _letters: list[np.ndarray] = []
 
 
-def _is_letter() -> np.ndarray:
-    if not _letters:  # by code point; above the table nothing counts as a letter
-        _letters.append(np.fromiter((chr(i).isalpha() for i in range(0x32000)), bool, 0x32000))
-    return _letters[0]
+def _is_letter(code: np.ndarray) -> np.ndarray:
+    if not _letters:  # by code point, all of Unicode
+        _letters.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000))
+    return _letters[0][code]
 
 
-def grams(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of each n-gram, n-grams of each text) over short texts."""
-    lowered = [" " + t.lower() + "  " for t in texts]
-    sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
-    code = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4")
-    letter = _is_letter()[np.minimum(code, 0x31FFF)] & (code < 0x32000)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    c = np.where(letter, code, 32)
-    stay = letter.copy()  # of each run of other characters the first one stays, as the border
-    stay[1:] |= letter[:-1] & (owner[1:] == owner[:-1])
-    starts = np.zeros(len(texts), np.int64)
-    starts[1:] = np.cumsum(sizes)[:-1]
-    stay[starts] = True
-    c, owner = c[stay].astype(np.uint32), owner[stay]
-    if len(c) < 3:
-        return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _hashed(c: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the pairs and of the triples that start at each place of ``c``."""
     shift = np.uint32(32 - buckets.bit_length() + 1)
     two = c[:-1] * np.uint32(0x9E3779B1) + c[1:] * np.uint32(0x85EBCA77)
     three = two[:-1] * np.uint32(0xC2B2AE3D) + c[2:] * np.uint32(0x27D4EB2F)
     three ^= three >> np.uint32(15)
-    ok2 = owner[:-1] == owner[1:]
-    ok3 = owner[:-2] == owner[2:]
-    found = np.stack([(two[:-1] * np.uint32(0x2545F491)) >> shift, (three * np.uint32(0x9E3779B1)) >> shift], axis=1)
-    ok = np.stack([ok2[:-1], ok3], axis=1)
-    counts = np.bincount(np.repeat(owner[:-2], 2), ok.ravel(), len(texts)).astype(np.int64)
-    return found[ok].astype(np.int64), counts
+    return ((two * np.uint32(0x2545F491)) >> shift).astype(np.int64), ((three * np.uint32(0x9E3779B1)) >> shift).astype(np.int64)
 
 
-def _pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
-    """Groups of (index of text, piece of text), each group of bounded size; pieces of a text overlap by a border."""
-    index, held, size = [], [], 0
+def _short(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, bucket) of each n-gram of short texts, in order of the texts, and which texts have letters."""
+    lowered = [f" {t.lower()} " for t in texts]
+    sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
+    code = _codes("".join(lowered))
+    letter, owner = _is_letter(code), np.repeat(np.arange(len(texts)), sizes)
+    stay = letter.copy()  # of each run of other characters the first one stays, as the border
+    stay[1:] |= letter[:-1]
+    stay[np.cumsum(sizes) - sizes] = True
+    c, owner = np.where(letter, code, _BORDER)[stay].astype(np.uint32), owner[stay]
+    if len(c) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(texts), bool)
+    two, three = _hashed(c, buckets)
+    ok2, ok3 = owner[:-1] == owner[1:], owner[:-2] == owner[2:]
+    whose = np.concatenate([owner[:-1][ok2], owner[:-2][ok3]])
+    order = np.argsort(whose, kind="stable")
+    return whose[order], np.concatenate([two[ok2], three[ok3]])[order], np.bincount(owner[c != _BORDER], minlength=len(texts)) > 0
+
+
+def _long(text: str, buckets: int) -> Iterator[tuple[np.ndarray, bool]]:
+    """(buckets of the n-grams, whether there are letters) of pieces of one text; together they are those of ``_short``."""
+    lowered = text.lower()
+    last, open_word = np.array([_BORDER], np.uint32), False
+    for at in range(0, len(lowered) + 1, _PIECE):
+        code = _codes(lowered[at : at + _PIECE])
+        if at + _PIECE > len(lowered):
+            code = np.append(code, np.uint32(_BORDER))  # the border at the end
+        letter = _is_letter(code)
+        stay = letter.copy()
+        stay[1:] |= letter[:-1]
+        stay[0] |= open_word
+        open_word = bool(letter[-1])
+        c = np.concatenate([last, np.where(letter, code, _BORDER)[stay].astype(np.uint32)])
+        two, three = _hashed(c, buckets) if len(c) > 1 else (np.zeros(0, np.int64),) * 2
+        yield np.concatenate([two[len(last) - 1 :], three]), bool(letter.any())
+        last = c[-2:]
+
+
+def grams(texts: list[str], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text of each n-gram in ascending order, its bucket, texts with a letter) over groups of bounded size."""
+    held, size = [], 0
+
+    def close() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        whose, found, seen = _short([texts[i] for i in held], buckets)
+        index = np.array(held)
+        return index[whose], found, index[seen]
+
     for i, text in enumerate(texts):
-        for at in range(0, max(len(text), 1), _PIECE):
-            piece = text[max(at - 2, 0) : at + _PIECE] if at else text[:_PIECE]
-            index.append(i)
-            held.append(piece)
-            size += len(piece)
-            if size >= _PIECE:
-                yield np.array(index), held
-                index, held, size = [], [], 0
+        if len(text) > _PIECE:
+            for found, seen in _long(text, buckets):
+                yield np.full(len(found), i), found, np.array([i] if seen else [], np.int64)
+            continue
+        held.append(i)
+        size += len(text)
+        if size >= _PIECE:
+            yield close()
+            held, size = [], 0
     if held:
-        yield np.array(index), held
+        yield close()
 
 
 def count_grams(rows: DataFrame, buckets: int) -> DataFrame:
@@ -92,13 +129,14 @@ def count_grams(rows: DataFrame, buckets: int) -> DataFrame:
         totals: dict[str, np.ndarray] = {}
         for batch in it:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for index, held in _pieces(texts):
-                found, counts = grams(held, buckets)
-                names = sorted({langs[i] for i in index})
-                which = np.repeat([names.index(langs[i]) for i in index], counts).astype(np.int64)
-                sums = np.bincount(which * buckets + found, minlength=len(names) * buckets).reshape(len(names), buckets)
-                for name, row in zip(names, sums):
-                    totals[name] = totals.get(name, 0) + row
+            names = sorted(set(langs))
+            at = {x: k for k, x in enumerate(names)}
+            number = np.array([at[x] for x in langs], np.int64)
+            for whose, found, _ in grams(texts, buckets):
+                used, which = np.unique(number[whose], return_inverse=True)
+                sums = np.bincount(which * buckets + found, minlength=len(used) * buckets).reshape(len(used), buckets)
+                for k, row in zip(used.tolist(), sums):
+                    totals[names[k]] = totals.get(names[k], 0) + row
         for name, row in totals.items():
             at = np.flatnonzero(row)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at.astype(np.int32)), pa.array(row[at])], ["lang", "bucket", "n"])
@@ -110,38 +148,40 @@ def count_grams(rows: DataFrame, buckets: int) -> DataFrame:
 @dataclass
 class LanguageModel:
     langs: list[str]
-    log_prob: np.ndarray  # buckets x languages
-    prior: np.ndarray
+    log_prob: np.ndarray  # buckets x languages, in units
+    prior: np.ndarray  # in units
 
     def score(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and posterior probability of each text."""
-        total = np.zeros((len(texts), max(len(self.langs), 1)))
+        total = np.zeros((len(texts), max(len(self.langs), 1)), np.int64)
         seen = np.zeros(len(texts), bool)
-        letter = _is_letter()
-        for index, held in _pieces(texts) if self.langs else ():
-            found, counts = grams(held, len(self.log_prob))
-            full = np.flatnonzero(counts)
-            if len(full):
-                ends = np.cumsum(counts[full])
-                sums = np.add.reduceat(self.log_prob[found], np.concatenate([[0], ends[:-1]]), axis=0)
-                np.add.at(total, index[full], sums)
-                seen[index[full]] = True
-        for i in np.flatnonzero(seen):  # n-grams can be borders only
-            seen[i] = any(ord(x) < len(letter) and letter[ord(x)] for x in texts[i])
+        for whose, found, letters in grams(texts, len(self.log_prob)) if self.langs else ():
+            if len(whose):
+                starts = np.flatnonzero(np.append(True, whose[1:] != whose[:-1]))
+                total[whose[starts]] += np.add.reduceat(self.log_prob[found], starts, axis=0, dtype=np.int64)
+            seen[letters] = True
         total += self.prior if self.langs else 0
         best = total.argmax(axis=1)
-        share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+        share = 1 / np.exp((total - total.max(axis=1, keepdims=True)) / _UNIT).sum(axis=1)
         return [self.langs[b] if s else UNKNOWN for b, s in zip(best, seen)], np.where(seen, share, 0.0)
 
 
+def units(log_prob: np.ndarray) -> np.ndarray:
+    """Log-probabilities as whole numbers of 1 / _UNIT."""
+    return np.rint(log_prob * _UNIT).astype(np.int32)
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS, alpha: float = ALPHA) -> LanguageModel:
     """Fit on all rows of ``docs`` with a language."""
     if buckets & (buckets - 1):
         raise ValueError("buckets must be a power of two")
     rows = docs.where(F.col(lang_col).isNotNull()).select(text_or_empty(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    known = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy("lang").limit(MATRIX_LIMIT // (8 * buckets) + 1).collect()}
-    if len(known) * buckets * 8 > MATRIX_LIMIT:
-        raise ValueError(f"{len(known)} languages or more x {buckets} buckets exceed the broadcast limit; use fewer buckets")
+    most = MATRIX_LIMIT // (4 * FEWEST_BUCKETS)
+    known = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy("lang").limit(most + 1).collect()}
+    if len(known) > most:
+        raise ValueError(f"more than {most} languages exceed the broadcast limit")
+    while buckets > FEWEST_BUCKETS and len(known) * buckets * 4 > MATRIX_LIMIT:
+        buckets //= 2
     langs = sorted(known)
     at = {name: i for i, name in enumerate(langs)}
     counts = np.zeros((buckets, len(langs)))
@@ -151,7 +191,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", bucke
         counts[sums["bucket"].to_numpy(), column] = sums["n"].to_numpy()
     log_prob = np.log(counts + alpha) - np.log(counts.sum(axis=0) + alpha * buckets)
     total = sum(known.values())
-    return LanguageModel(langs, np.ascontiguousarray(log_prob), np.log(np.array([known[x] / total for x in langs])))
+    return LanguageModel(langs, np.ascontiguousarray(units(log_prob)), units(np.log(np.array([known[x] / total for x in langs]))))
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

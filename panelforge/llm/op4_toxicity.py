@@ -1,16 +1,20 @@
 """Toxicity: a learned lexicon in a trie, Levenshtein automata for misspellings, context windows against quotation.
 
-1. Training rows are a sample of at most ``max_train`` labelled rows (a documented bound), chosen by a hash of the id.
-2. The lexicon holds the words that toxic training texts have far more often than others (log-likelihood ratio), with
-   varied words before them, so that a passage copied into many toxic texts does not fill it. Its size is bounded.
+1. Training rows are a sample of at most ``max_train`` labelled ids (a documented bound), chosen by a hash of the id,
+   with one text each.
+2. The lexicon holds the words, of any length, that toxic training texts have far more often than others
+   (log-likelihood ratio), with varied words before them, so that a passage copied into many toxic texts does not fill
+   it. It holds at most ``max_terms`` terms (a documented bound of the model).
 3. A word matches a term if the Levenshtein automaton of the word, run along the trie, accepts: no edit for terms up to
    four letters, one up to seven, two beyond. States are bit sets, one for each number of edits.
-4. Every match looks at the words and signs around it: inside quotation marks or near a reporting word it counts less,
-   near a second-person word more. A logistic model over sums of these weights gives the score.
+4. Every match looks at the words and signs around it: inside quotation marks of its line or near a reporting word it
+   counts less, near a second-person word more. A logistic model over sums of these weights gives the score.
 
 All rows are scored on whole texts. Defined results: null and empty texts have no match and get the score of such
-texts. Several labels of an id count by their mean (toxic from 0.5 on). Without labels of both kinds the score is the
-share of toxic labels, 0 without any. Ties in the lexicon's order go by the word. An empty table gives no rows.
+texts. Several labels of an id count by their mean (toxic from 0.5 on). Of rows that share an id the one with the
+smallest hash of its text trains; each is scored by itself, so repeated rows get equal scores. Without labels of both
+kinds the score is the share of toxic labels, 0 without any. Ties in the lexicon's order go by the word. An empty table
+gives no rows. Other columns never take part, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +22,8 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,13 +38,13 @@ NAME = "op4_toxicity"
 MAX_TRAIN = 20_000
 MAX_TERMS = 400
 MIN_RATIO = 20.0
+#: Different words before a term in toxic training texts, and how many there are in effect (by their shares) at least.
+MIN_BEFORE, MIN_EFFECTIVE = 3, 2.0
 WINDOW = 6
-#: Characters on either side in which quotation marks are looked for.
-SIGNS_WINDOW = 200
-#: Words of a worker's cache that are known not to match.
+#: Words of a worker's cache, known to match or not to match.
 CACHE_WORDS = 500_000
 _WORD = re.compile(r"[^\W_]+")
-_QUOTES = re.compile("[\"“”„«»]")
+_MARKS = re.compile("[\"“”„«»\n]")
 #: Words that report speech, and words that address somebody, in the languages served.
 REPORTING = frozenset("said says called calls wrote writes quoted quotes quote word term according sagte schrieb nannte wort zitat dit disait écrit appelé mot dijo escribió llamó palabra".split())
 ADDRESSING = frozenset("you your yours youre ur du dich dir dein deine ihr euch tu toi te ton ta vous votre tú ti usted ustedes eres vosotros".split())
@@ -118,6 +123,28 @@ class Lexicon:
         return None if best is None else (best[2], best[0])
 
 
+def quoted_at(text: str) -> Callable[[int, int], bool]:
+    """Whether a place stands in quotation marks: an odd number of marks of its line before it, and one behind it.
+
+    The marks of the text are found once, so the work is in proportion to its length however many places are asked for.
+    """
+    quotes, lines, before = [], [], [0]
+    for m in _MARKS.finditer(text):
+        if m[0] == "\n":
+            lines.append(m.start())
+            before.append(len(quotes))
+        else:
+            quotes.append(m.start())
+    before.append(len(quotes))
+
+    def inside(a: int, b: int) -> bool:
+        line = bisect_left(lines, a)
+        left, right = bisect_left(quotes, a), bisect_left(quotes, b)
+        return (left - before[line]) % 2 == 1 and right < before[line + 1]
+
+    return inside
+
+
 @dataclass
 class ToxicityModel:
     lexicon: Lexicon
@@ -135,8 +162,9 @@ class ToxicityModel:
     def learn(self, words: set[str]) -> None:
         """Match the words not met before."""
         new = [w for w in words - self.passed if w not in self.known]
-        if len(self.passed) > CACHE_WORDS:
-            self.passed = set()
+        if len(self.passed) + len(self.known) > CACHE_WORDS:
+            new = list(words)
+            self.passed, self.known = set(), {}
         for w in self.lexicon.close(new):
             found = self.lexicon.match(w)
             if found:
@@ -157,15 +185,14 @@ class ToxicityModel:
     def _context(self, text: str) -> list[float]:
         """Sums over the matches of a text, each weighed by its window."""
         spans = [(m.group(), m.start(), m.end()) for m in _WORD.finditer(text)]
+        inside = quoted_at(text)
         total = top = quoted = exact = fuzzy = 0.0
         for k, (word, a, b) in enumerate(spans):
             if word not in self.known:
                 continue
             term, d = self.known[word]
             around = {w for w, _, _ in spans[max(k - WINDOW, 0) : k + WINDOW + 1]}
-            line = max(text.rfind("\n", max(a - SIGNS_WINDOW, 0), a) + 1, a - SIGNS_WINDOW, 0)
-            inside = len(_QUOTES.findall(text, line, a)) % 2 == 1 and bool(_QUOTES.search(text, b, b + SIGNS_WINDOW))
-            reported = inside or bool(around & REPORTING)
+            reported = inside(a, b) or bool(around & REPORTING)
             weight = self.lexicon.weights[term] / (1 + d) * (0.3 if reported else 1) * (1.5 if around & ADDRESSING else 1)
             total += weight
             top = max(top, weight)
@@ -178,7 +205,8 @@ class ToxicityModel:
 
 
 def lexicon_counts(sample: DataFrame) -> DataFrame:
-    """(word, toxic, n, before): toxic and all texts with the word, and different words in front of it in toxic texts."""
+    """(word, toxic, n, before, effective): toxic and all texts with the word; different words in front of it in toxic
+    texts, and the number of equally frequent ones that would vary as much."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -186,15 +214,15 @@ def lexicon_counts(sample: DataFrame) -> DataFrame:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = _WORD.findall(text.lower())
                 first = dict(zip(reversed(found), reversed(["", *found[:-1]])))
-                first = {w: p for w, p in first.items() if 4 <= len(w) <= 40}
                 words += first
                 before += [zlib.crc32(p.encode("utf-8", "surrogatepass")) for p in first.values()]
                 toxic += [int(label)] * len(first)
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(toxic, pa.int32()), pa.array(before, pa.int64())], ["word", "toxic", "before"])
 
     rows = in_batches(sample, batches, "word string, toxic int, before long")
-    varied = F.approx_count_distinct(F.when(F.col("toxic") == 1, F.col("before")))
-    return rows.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"), varied.alias("before"))
+    by_before = rows.groupBy("word", "before").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"))
+    share = F.sum("toxic") / F.sqrt(F.sum(F.col("toxic") * F.col("toxic")))
+    return by_before.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"), F.count_if(F.col("toxic") > 0).alias("before"), (share * share).alias("effective"))
 
 
 def learn_lexicon(sample: DataFrame, n: int, n_toxic: int, max_terms: int = MAX_TERMS) -> Lexicon:
@@ -202,7 +230,7 @@ def learn_lexicon(sample: DataFrame, n: int, n_toxic: int, max_terms: int = MAX_
     share = n_toxic / n
     a, b = F.col("toxic"), F.col("n") - F.col("toxic")
     ratio = 2 * (a * F.log(a / (F.col("n") * share)) + F.when(b > 0, b * F.log(b / (F.col("n") * (1 - share)))).otherwise(0))
-    terms = lexicon_counts(sample).where((a >= 3) & (a / F.col("n") >= 0.8) & (F.col("before") >= F.greatest(F.lit(3), 0.3 * a)))
+    terms = lexicon_counts(sample).where((a >= 3) & (a / F.col("n") >= 0.8) & (F.col("before") >= MIN_BEFORE) & (F.col("effective") >= MIN_EFFECTIVE))
     terms = terms.withColumn("ratio", ratio).where(F.col("ratio") >= MIN_RATIO).orderBy(F.desc("ratio"), "word").limit(max_terms).collect()
     odds = math.log(share / (1 - share))
     return Lexicon({r["word"]: math.log((r["toxic"] + 0.5) / (r["n"] - r["toxic"] + 0.5)) - odds for r in terms})
@@ -225,11 +253,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarra
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
-    """Fit on at most ``max_train`` labelled rows: those of ``labels`` (doc_id, label) with the smallest id hashes."""
+    """Fit on at most ``max_train`` labelled ids: those of ``labels`` (doc_id, label) with the smallest hashes."""
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     # at most max_train pairs of numbers, whatever the size of the tables
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
-    sample = written(rows.select("text", (F.col("label") >= 0.5).cast("int").alias("toxic")), "toxic-train")
+    one = rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label"))
+    sample = written(one.select("text", (F.col("label") >= 0.5).cast("int").alias("toxic")), "toxic-train")
     n, n_toxic = sample.agg(F.count("*"), F.sum("toxic")).first()
     constant = np.zeros(N_FEATURES)
     if not n or n_toxic in (0, n):
@@ -243,7 +272,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_col
             x = held.value.features(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), batch.column(1)], [*(f"f{k}" for k in range(N_FEATURES)), "toxic"])
 
-    # the distinct feature rows of a bounded sample
+    # at most max_train rows of a few numbers
     schema = ", ".join(f"f{k} double" for k in range(N_FEATURES)) + ", toxic int"
     seen = in_batches(sample, batches, schema).toArrow()
     model.weights = fit_logistic(np.stack([seen[f"f{k}"].to_numpy() for k in range(N_FEATURES)], axis=1), seen["toxic"].to_numpy())

@@ -4,11 +4,11 @@ Texts are equal when they are identical after each run of ASCII white space beca
 The hash (MD5 of the normalised text) is the join key. The byte comparison is the grouping itself: classes are made
 by (hash, normalised text), so two texts that collide fall into different classes. The partial aggregate on the map
 side leaves one text for each class and task, so a group that holds a third of all rows crosses the network as a
-few rows. Only where a hash really has two texts does the way back compare texts again.
+few rows. The way back goes by hash and SHA-256, which texts that collide do not share.
 
 Defined results: empty tables give no rows. A repeated row (same id, same text) is counted in ``group_size``; exactly
-one of the repetitions is kept. Null ids lose against any id; among null ids alone one row is kept. Other columns
-never take part, whatever their names.
+one of the repetitions is kept. Null ids lose against any id; among null ids alone one row is kept. Very long texts are
+compared whole. Other columns never take part, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty
+from .common import fresh, table, text_or_empty
 
 NAME = "op5_exact_dedup"
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -38,7 +38,7 @@ def normalised(text: str | Column = "text") -> Column:
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per class of equal texts: content_hash (16 bytes), body, keep_id, group_size, texts_with_hash."""
+    """One row per class of equal texts: content_hash (16 bytes), body, keep_id, group_size."""
     rows = docs.select(F.col(id_col).alias("id"), normalised(text_col).alias("body"))
     rows = rows.select("id", "body", F.unhex(F.md5("body")).alias("content_hash"))
     return rows.groupBy("content_hash", "body").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
@@ -74,11 +74,12 @@ def _row_key(id_value: Column, body: Column) -> Column:
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    stay = classes(docs, id_col, text_col).select(_row_key(F.col("keep_id"), F.col("body")).alias("__row_key"))
-    keyed = docs.withColumn("__row_key", _row_key(F.col(id_col), normalised(text_col)))
-    first = Window.partitionBy("__row_key").orderBy(F.lit(0))
-    kept = keyed.join(stay, "__row_key", "left_semi").withColumn("__nth", F.row_number().over(first))
-    return kept.where("__nth = 1").drop("__row_key", "__nth")
+    key, nth = fresh("key"), fresh("nth")
+    stay = classes(docs, id_col, text_col).select(_row_key(F.col("keep_id"), F.col("body")).alias(key))
+    keyed = docs.withColumn(key, _row_key(F.col(id_col), normalised(text_col)))
+    first = Window.partitionBy(key).orderBy(F.lit(0))
+    kept = keyed.join(stay, key, "left_semi").withColumn(nth, F.row_number().over(first))
+    return kept.where(F.col(nth) == 1).drop(key, nth)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

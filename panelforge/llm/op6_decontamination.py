@@ -1,19 +1,24 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words are the lower-cased runs between ASCII punctuation and white space. A seed is a run of ``min_match`` (five)
-words that a document shares with a benchmark item. Seeds are joined through a table of the benchmark's seed hashes
-that is broadcast in blocks of bounded size: a benchmark larger than one block is matched block by block, each
-against all documents. Only items whose seeds could cover ``threshold`` of their words go on.
+Words are the lower-cased runs between ASCII punctuation and white space. A seed is a run of ``min_match`` (five) words.
 
-Tiling follows running Karp-Rabin matching: windows of a search length are hashed, equal windows are extended to the
-longest unmarked match, and the longest matches are marked first, then the search length falls to ``min_match``.
-Marked words are used once, so a passage whose parts were reordered still adds up. A document is contaminated by an
-item if tiles cover at least ``threshold`` (0.8) of the item's words.
+1. Items with the same words are one from here on. Their seeds become a table; a seed that many items hold says little,
+   so every item goes without its commonest ones, but for as many as any contaminated document must share.
+2. One scan of the documents hashes their seeds and passes on those that a bit filter of the item seeds knows; the filter
+   is broadcast and has a fixed greatest size, beyond which it only passes on more. Equal texts count once.
+3. Seeds passed on are joined with the items' seeds; pairs that share enough of them are candidates. No group is ever
+   gathered: the join and the count are plain Spark operations.
+4. Every candidate pair is tiled. The longest match of unmarked words is found by running Karp-Rabin: windows of a
+   length are hashed on both sides, the length is searched by halving, and all matches of the greatest length are
+   compared word by word and marked, until none of ``min_match`` words is left. A text of one repeated word costs no
+   more than another. Marked words are used once, so a passage whose parts were reordered still adds up.
+
+A document is contaminated by an item if tiles cover at least ``threshold`` (0.8) of the item's words.
 
 Defined results: null and empty texts match nothing. Items of fewer than ``min_match`` words are too short to tell
 and match nothing. Repeated documents and repeated items give one row for each pair; so do items with equal text.
-Ties between equally long matches go to the earlier place in the item, then in the document. An empty table on
-either side gives no rows. Other columns never take part.
+Ties between equally long matches go to the earlier place in the item, then in the document. Very long texts are read
+whole. An empty table on either side gives no rows. Other columns never take part, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,23 +26,23 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import in_batches, table, text_or_empty
+from .common import broadcast_if_small, fresh, in_batches, table, text_or_empty, written
 
 NAME = "op6_decontamination"
 MIN_MATCH = 5
 THRESHOLD = 0.8
-#: Bytes of benchmark text in one broadcast block.
-BLOCK_BYTES = 4 << 20
+#: Bits of the broadcast filter: sixteen for each seed of the benchmark, but within these bounds.
+FILTER_BITS = (1 << 22, 1 << 27)
 _SPACES = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BLOOM = 1 << 22
+_ODD = tuple(map(np.uint64, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)))
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def words(text: str) -> list[bytes]:
@@ -56,33 +61,23 @@ def rolling(ids: np.ndarray, size: int) -> np.ndarray:
 # ---- greedy string tiling
 
 
-def _free_windows(marked: np.ndarray, size: int) -> np.ndarray:
-    """Starts of windows of ``size`` without a marked word."""
-    sums = np.concatenate([[0], np.cumsum(marked)])
-    return np.flatnonzero(sums[size:] == sums[:-size]) if len(marked) >= size else np.zeros(0, np.int64)
+class _Windows:
+    """Karp-Rabin hashes of the windows of any length of a sequence of numbers, modulo 2**64."""
 
+    def __init__(self, ids: np.ndarray):
+        n = len(ids)
+        with np.errstate(over="ignore"):
+            power, self.inverse = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, b)]).astype(np.uint64)) for b in (_BASE, _INVERSE))
+            self.sums = np.concatenate([[np.uint64(0)], np.cumsum((ids.astype(np.uint64) + np.uint64(1)) * power[:n], dtype=np.uint64)])
 
-def _matches(a: np.ndarray, b: np.ndarray, used_a: np.ndarray, used_b: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """Maximal unmarked matches of at least ``size`` words as (-length, start in a, start in b)."""
-    at_a, at_b = _free_windows(used_a, size), _free_windows(used_b | (b < 0), size)
-    if not len(at_a) or not len(at_b):
-        return []
-    hash_a, hash_b = rolling(a, size)[at_a], rolling(b, size)[at_b]
-    shared = np.isin(hash_b, hash_a)
-    places = defaultdict(list)
-    for h, i in zip(hash_a.tolist(), at_a.tolist()):
-        places[h].append(i)
-    found = set()
-    for h, j in zip(hash_b[shared].tolist(), at_b[shared].tolist()):
-        for i in places[h]:
-            if i and j and a[i - 1] == b[j - 1] and not used_a[i - 1] and not used_b[j - 1]:
-                continue  # part of a match that starts earlier
-            k = 0
-            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not used_a[i + k] and not used_b[j + k]:
-                k += 1
-            if k >= size:
-                found.add((-k, i, j))
-    return sorted(found)
+    def free(self, used: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, hashes) of the windows of ``size`` without a used place."""
+        if size > len(used):
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        count = np.concatenate([[0], np.cumsum(used)])
+        at = np.flatnonzero(count[size:] == count[:-size])
+        with np.errstate(over="ignore"):
+            return at, (self.sums[at + size] - self.sums[at]) * self.inverse[at]
 
 
 def tiles(item: list[bytes], doc: list[bytes], min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
@@ -90,139 +85,205 @@ def tiles(item: list[bytes], doc: list[bytes], min_match: int = MIN_MATCH) -> li
     number = {w: k for k, w in enumerate(dict.fromkeys(item))}
     a = np.array([number[w] for w in item], np.int64)
     b = np.array([number.get(w, -1) for w in doc], np.int64)
-    used_a, used_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
-    out, size = [], max(min_match, min(20, len(a)))
-    while True:
-        found = _matches(a, b, used_a, used_b, size)
-        if found and -found[0][0] > 2 * size:
-            size = -found[0][0]
+    windows_a, windows_b = _Windows(a), _Windows(b)
+    used_a, used_b, out = np.zeros(len(a), bool), b < 0, []
+    most = min(len(a), len(b))
+    while most >= min_match:
+        # the greatest length at which some unmarked window is on both sides: if one of a length is, a shorter one is
+        low, high = min_match - 1, most
+        while low < high:
+            size = (low + high + 1) // 2
+            if np.isin(windows_b.free(used_b, size)[1], windows_a.free(used_a, size)[1]).any():
+                low = size
+            else:
+                high = size - 1
+        if low < min_match:
+            break
+        _mark(a, b, windows_a.free(used_a, low), windows_b.free(used_b, low), used_a, used_b, low, out)
+        most = low - 1
+    return out
+
+
+def _mark(a, b, free_a, free_b, used_a, used_b, size: int, out: list) -> None:
+    """Mark the matches of ``size`` words in order of their place in ``a``, then in ``b``."""
+    (at_a, hash_a), (at_b, hash_b) = free_a, free_b
+    both = np.isin(hash_b, hash_a)
+    places = defaultdict(list)
+    for h, j in zip(hash_b[both][::-1].tolist(), at_b[both][::-1].tolist()):
+        places[h].append(j)  # the first place last
+    end = 0
+    for h, i in zip(hash_a.tolist(), at_a.tolist()):
+        if i < end or h not in places:
             continue
-        cut = False  # a match that another one cut may still hold shorter matches of this length
-        for k, i, j in found:
-            k = -k
-            if used_a[i : i + k].any() or used_b[j : j + k].any():
-                cut = True
+        left, unlike = places[h], []
+        while left:
+            j = left.pop()
+            if used_b[j : j + size].any():
+                continue  # never free again
+            if not np.array_equal(a[i : i + size], b[j : j + size]):
+                unlike.append(j)  # equal hashes of unequal words
                 continue
-            used_a[i : i + k] = used_b[j : j + k] = True
-            out.append((i, j, k))
-        if cut:
-            continue
-        if size == min_match:
-            return out
-        size = max(min_match, size // 2)
-
-
-# ---- the benchmark as a broadcast index
-
-
-@dataclass
-class SeedIndex:
-    item_ids: list
-    items: list[list[bytes]]
-    seeds: np.ndarray  # sorted hashes
-    item_of: np.ndarray  # by seed
-    place_of: np.ndarray
-    bloom: np.ndarray
-
-    @classmethod
-    def of(cls, rows: list[tuple], min_match: int) -> SeedIndex:
-        ids, items, hashes, owner, place = [], [], [], [], []
-        for item_id, text in rows:
-            found = words(text or "")
-            if len(found) >= min_match:
-                seeds = rolling(np.fromiter(map(zlib.crc32, found), np.uint32), min_match)
-                hashes.append(seeds)
-                owner.append(np.full(len(seeds), len(items)))
-                place.append(np.arange(len(seeds)))
-                ids.append(item_id)
-                items.append(found)
-        hashes, owner, place = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (hashes, owner, place))
-        order = np.argsort(hashes, kind="stable")
-        bloom = np.zeros(_BLOOM, bool)
-        bloom[hashes % np.uint64(_BLOOM)] = True
-        return cls(ids, items, hashes[order], owner[order].astype(np.int64), place[order].astype(np.int64), bloom)
-
-    def candidates(self, doc: list[bytes], min_match: int, threshold: float) -> list[int]:
-        """Items whose shared seeds could cover ``threshold`` of their words."""
-        hashes = rolling(np.fromiter(map(zlib.crc32, doc), np.uint32, len(doc)), min_match)
-        hits = np.unique(hashes[self.bloom[hashes % np.uint64(_BLOOM)]])
-        first, last = np.searchsorted(self.seeds, hits, "left"), np.searchsorted(self.seeds, hits, "right")
-        places = defaultdict(set)
-        for lo, hi in zip(first[last > first].tolist(), last[last > first].tolist()):
-            for k in range(lo, hi):
-                places[int(self.item_of[k])].update(range(self.place_of[k], self.place_of[k] + min_match))
-        return sorted(i for i, covered in places.items() if len(covered) >= threshold * len(self.items[i]))
-
-
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, min_match: int, block_bytes: int) -> Iterator[SeedIndex]:
-    """Seed indexes over all of the benchmark, each of about ``block_bytes`` of text."""
+            used_a[i : i + size] = used_b[j : j + size] = True
+            out.append((i, j, size))
+            end = i + size
+            break
+        left += unlike[::-1]
+
+
+def matched(item: list[bytes], doc: list[bytes], min_match: int = MIN_MATCH, threshold: float = THRESHOLD) -> tuple | None:
+    """What ``contaminations`` returns of one pair, from item_words on; nothing if too few words are covered."""
+    found = tiles(item, doc, min_match)
+    covered = sum(k for *_, k in found)
+    if not found or covered < threshold * len(item):
+        return None
+    in_doc = [i for i, _, _ in sorted(found, key=lambda t: t[1])]
+    span = min(j for _, j, _ in found), max(j + k for _, j, k in found)
+    return len(item), covered, covered / len(item), len(found), max(k for *_, k in found), in_doc != sorted(in_doc), *span
+
+
+# ---- candidates by a join of seeds
+
+
+def seeds_of(found: list[bytes], min_match: int) -> np.ndarray:
+    return rolling(np.fromiter(map(zlib.crc32, found), np.uint32, len(found)), min_match)
+
+
+def item_tables(benchmark: DataFrame, id_col: str, text_col: str, min_match: int) -> DataFrame:
+    """(item_id, item, words, seeds): ``item`` names the words, which are joined by blanks; items too short are left out."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            found = [words(x) for x in batch.column(1).to_pylist()]
+            keep = [i for i, x in enumerate(found) if len(x) >= min_match]
+            seeds = [seeds_of(found[i], min_match).view(np.int64) for i in keep]
+            joined = pa.array([b" ".join(found[i]).decode("utf-8", "replace") for i in keep], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), joined, pa.array(seeds, pa.list_(pa.int64()))], ["item_id", "words", "seeds"])
+
     rows = benchmark.select(F.col(id_col).alias("item_id"), text_or_empty(text_col).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // block_bytes)
-    for k in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield SeedIndex.of([tuple(r) for r in part.collect()], min_match)
+    found = in_batches(rows, batches, f"item_id {rows.schema['item_id'].dataType.simpleString()}, words string, seeds array<long>")
+    return found.withColumn("item", F.md5("words"))
+
+
+def needed_seeds(items: DataFrame, min_match: int, threshold: float) -> DataFrame:
+    """(seed, item, place, need): the seeds to look for, and how many of an item's a contaminated document must share.
+
+    Tiles that cover T words of an item share at least T / min_match of its seeds. Half of so many, the commonest ones,
+    are left out, and so many fewer are needed.
+    """
+    # items with the same words have the same seeds
+    one = items.groupBy("item").agg(F.first("seeds").alias("seeds"))
+    must = F.ceil(F.ceil((F.size("seeds") + min_match - 1) * threshold - 1e-9) / min_match).cast("int")
+    rows = one.select("item", F.greatest(must, F.lit(1)).alias("must"), F.posexplode("seeds").alias("place", "seed"))
+    common = rows.groupBy("seed").agg(F.count_distinct("item").alias("n"))
+    ranked = rows.join(common, "seed").withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("n"), "place")))
+    left_out = F.floor(F.col("must") / 2).cast("int")
+    return ranked.where(F.col("rank") > left_out).select("seed", "item", "place", (F.col("must") - left_out).alias("need"))
+
+
+def _places(seeds: np.ndarray, bits: int, odd: np.uint64) -> np.ndarray:
+    """A bit of a filter for each seed; there is one for each number of ``_ODD``."""
+    return (seeds * odd) >> np.uint64(65 - bits.bit_length())
+
+
+def seed_filter(seeds: DataFrame, bits: tuple[int, int] = FILTER_BITS) -> np.ndarray:
+    """The bit filter of (seed, ..) as bytes; a power of two of bits within ``bits``."""
+    n = seeds.count()
+    size = min(max(1 << (16 * max(n, 1) - 1).bit_length(), bits[0]), bits[1])
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            seeds = batch.column(0).to_numpy().view(np.uint64)
+            at = np.concatenate([_places(seeds, size, odd) for odd in _ODD])
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(5)).astype(np.int64)), pa.array(np.int64(1) << (at & np.uint64(31)).astype(np.int64))], ["cell", "bit"])
+
+    cells = seeds.select("seed").mapInArrow(batches, "cell long, bit long")
+    rows = cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER_BITS[1] / 32 rows
+    out = np.zeros(size // 32, "<u4")
+    out[rows["cell"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint32)
+    return out.view(np.uint8)
+
+
+def shared_seeds(docs: DataFrame, text_col: str, bits: np.ndarray, min_match: int) -> DataFrame:
+    """(text_key, seed): distinct seeds of every text that pass the filter."""
+    held = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = held.value
+        for batch in it:
+            hits = []
+            for text in batch.column(1).to_pylist():
+                seeds = seeds_of(words(text), min_match)
+                for odd in _ODD:
+                    place = _places(seeds, 8 * len(known), odd)
+                    seeds = seeds[(known[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
+                hits.append(np.unique(seeds))
+            if hits:
+                which = np.repeat(np.arange(len(hits)), [len(x) for x in hits])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(which)), pa.array(np.concatenate(hits).view(np.int64))], ["text_key", "seed"])
+
+    rows = docs.select(text_key(text_col).alias("text_key"), text_or_empty(text_col).alias("text"))
+    return in_batches(rows, batches, "text_key string, seed long").distinct()
+
+
+def text_key(text_col: str) -> Column:
+    return F.md5(text_or_empty(text_col))
+
+
+def _matched_rows(rows: DataFrame, extra: str, min_match: int, threshold: float) -> DataFrame:
+    """The rows (.., item_words, text) whose text the item contaminates, with what ``matched`` says of them."""
+    names = [x.split()[0] for x in extra.split(", ")]
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            found = [matched(i.encode().split(b" "), words(t), min_match, threshold) for i, t in zip(batch.column("item_text").to_pylist(), batch.column("text").to_pylist())]
+            keep = [k for k, x in enumerate(found) if x is not None]
+            columns = list(zip(*(found[k] for k in keep))) or [()] * len(names)
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+            kept = batch.drop_columns(["item_text", "text"]).take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, k) for c, k in zip(columns, kinds))], [*kept.schema.names, *names])
+
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("item_text", "text"))
+    return in_batches(rows, batches, f"{kept}, {extra}")
+
+
+_FOUND = "item_words long, matched_words long, coverage double, n_tiles long, longest_tile long, reordered boolean, first_word long, last_word long"
+
+
+def contaminated_texts(
+    docs: DataFrame, benchmark: DataFrame, min_match: int, threshold: float, filter_bits: tuple[int, int], text_col: str, item_col: str, item_text_col: str,
+) -> tuple[DataFrame, DataFrame]:
+    """(text_key, item, ...) for each contaminated pair of distinct texts, and the items (item_id, item)."""
+    items = written(item_tables(benchmark, item_col, item_text_col, min_match), "items")
+    seeds = written(needed_seeds(items, min_match, threshold), "seeds")
+    hits = shared_seeds(docs, text_col, seed_filter(seeds, filter_bits), min_match)
+    shared = hits.join(seeds, "seed").groupBy("text_key", "item").agg(F.count_distinct("place").alias("n"), F.first("need").alias("need"))
+    pairs = written(shared.where("n >= need").select("text_key", "item"), "pairs")
+    texts = docs.select(text_key(text_col).alias("text_key"), text_or_empty(text_col).alias("text"))
+    wanted = broadcast_if_small(written(pairs.select("text_key").distinct(), "keys"))
+    texts = texts.join(wanted, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+    sides = items.groupBy("item").agg(F.first("words").alias("item_text"))
+    rows = pairs.join(sides, "item").join(texts, "text_key").select("text_key", "item", "item_text", "text")
+    return written(_matched_rows(rows, _FOUND, min_match, threshold), "matched"), items.select("item_id", "item")
 
 
 def contaminations(
-    docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES,
+    docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD, filter_bits: tuple[int, int] = FILTER_BITS,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """One row for each contaminated pair: doc_id, item_id, item_words, matched_words, coverage, n_tiles, longest_tile,
     reordered, first_word and last_word (places of the tiles in the document, end exclusive)."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    kind, item_kind = rows.schema["doc_id"].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id {item_kind}, item_words long, matched_words long, coverage double, n_tiles long, longest_tile long, reordered boolean, first_word long, last_word long"
-    out = None
-    for index in blocks(benchmark, item_col, item_text_col, min_match, block_bytes):
-        held = spark.sparkContext.broadcast(index)
-
-        def batches(it: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            names = [x.split()[0] for x in schema.split(", ")]
-            for batch in it:
-                columns: list[list] = [[] for _ in names]
-                for row, text in enumerate(batch.column(1).to_pylist()):
-                    for found in matches_of(held.value, text, min_match, threshold):
-                        for column, value in zip(columns, (row, *found)):
-                            column.append(value)
-                doc_ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
-                kinds = [None, None, *[pa.int64()] * 2, pa.float64(), *[pa.int64()] * 2, pa.bool_(), *[pa.int64()] * 2]
-                yield pa.RecordBatch.from_arrays([doc_ids, *(pa.array(c, k) for c, k in zip(columns[1:], kinds[1:]))], names)
-
-        found = in_batches(rows, batches, schema)
-        out = found if out is None else out.unionAll(found)
-    return spark.createDataFrame([], schema) if out is None else out
-
-
-def matches_of(index: SeedIndex, text: str, min_match: int = MIN_MATCH, threshold: float = THRESHOLD) -> list[tuple]:
-    """What ``contaminations`` returns of one text, from item_id on."""
-    doc, out = words(text), []
-    if len(doc) < min_match or not len(index.seeds):
-        return out
-    for i in index.candidates(doc, min_match, threshold):
-        item = index.items[i]
-        found = tiles(item, doc, min_match)
-        matched = sum(k for *_, k in found)
-        if matched >= threshold * len(item):
-            in_doc = [i for i, _, _ in sorted(found, key=lambda t: t[1])]
-            span = min(j for _, j, _ in found), max(j + k for _, j, k in found)
-            out.append((index.item_ids[i], len(item), matched, matched / len(item), len(found), max(k for *_, k in found), in_doc != sorted(in_doc), *span))
-    return out
-
-
-def keep_clean(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` that no item contaminates, with all their columns, in one pass for each benchmark block."""
-    for index in blocks(benchmark, "item_id", "text", min_match, block_bytes):
-        held = docs.sparkSession.sparkContext.broadcast(index)
-
-        def batches(it: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in it:
-                texts = batch.column(text_col).to_pylist()
-                yield batch.filter(pa.array([not matches_of(held.value, x or "", min_match, threshold) for x in texts], pa.bool_()))
-
-        docs = in_batches(docs, batches, docs.schema)
-    return docs
+    found, items = contaminated_texts(docs, benchmark, min_match, threshold, filter_bits, text_col, item_col, item_text_col)
+    ids = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("text_key"))
+    ids = ids.join(broadcast_if_small(found.select("text_key").distinct()), "text_key", "left_semi")
+    return ids.join(found, "text_key").join(items, "item").select("doc_id", "item_id", *(x.split()[0] for x in _FOUND.split(", ")))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD, text_col: str = "text", filter_bits: tuple[int, int] = FILTER_BITS) -> DataFrame:
+    """The rows of ``docs`` that no item contaminates, with all their columns."""
+    found, _ = contaminated_texts(docs, benchmark, min_match, threshold, filter_bits, text_col, "item_id", "text")
+    key = fresh("key")
+    dirty = broadcast_if_small(written(found.select(F.col("text_key").alias(key)).distinct(), "dirty"))
+    return docs.join(dirty, text_key(text_col) == F.col(key), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

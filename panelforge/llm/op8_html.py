@@ -2,21 +2,29 @@
 
 The builder opens and closes elements as browsers do for common markup: optional end tags (p, li, dt, dd, option, table
 parts), misnested and missing end tags, void and raw-text elements. Nothing of an element that is not shown is emitted:
-head, scripts, styles, templates, ``hidden``, inline ``display:none`` or ``visibility:hidden``, closed ``dialog`` and the
-body of closed ``details``. Everything else is, with the layout kept: block elements start lines, blocks with margins are
-set apart by a blank line, list items carry their mark or number and indent, table cells are padded to the widths of
-their columns, and white space collapses except in ``pre``.
+head, scripts, styles, templates, ``hidden``, inline ``display:none``, closed ``dialog``, the body of closed ``details``,
+what stands in for frames, media and canvases where they fail, and ``noscript``; text under inline ``visibility:hidden`` is
+left out where nothing inside makes it visible again. Everything else is emitted: also the options that a ``select`` shows,
+the text of ``textarea``, ``math``, ``svg`` text elements and the content of ``object``. Values of attributes (alt, value,
+placeholder) are no text of the page. The layout is kept: block elements start lines, blocks with margins are set apart by
+a blank line, list items carry their mark or number and indent (up to ``MOST_INDENT`` columns, deeper ones stay there),
+table cells with their column and row spans are padded to the widths of their columns (wide East Asian characters count
+two), and white space collapses except in ``pre`` and ``textarea``.
 
 Defined results: null and empty pages give an empty text. Any string gives a text: unknown tags are inline, stray end
-tags and unclosed comments end where a browser's would, and open elements close at the end. Rows are handled one by
-one; repeated rows give repeated results. An empty table gives no rows. Other columns never take part.
+tags and unclosed comments end where a browser's would, and open elements close at the end. Very long and deeply nested
+pages are read whole; open elements are found by tag, so the work is in proportion to the page. Rows are handled one by
+one; repeated rows give repeated results. An empty table gives no rows. Other columns never take part, whatever their
+names.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+import unicodedata
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,14 +37,18 @@ _TOKEN = re.compile(
     r"<!--(?:.*?--!?>|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>?)", re.S
 )
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_READ = re.compile("hidden|style|open|start|colspan", re.I)
+_READ = re.compile("hidden|style|open|start|span|selected|multiple|size|value", re.I)
 _ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]*)))?")
 _NOT_CSS = re.compile(r"/\*.*?(?:\*/|$)|\"[^\"]*\"?|'[^']*'?|\([^)]*\)?", re.S)
 _START = re.compile(r"\s*(-?\d{1,9})")
-_SPAN = re.compile(r"\s*(\d{1,3})")
+_SPAN = re.compile(r"\s*(\d{1,5})")
+#: Columns and rows that a cell can span, as in browsers; columns that list items and quotations can be moved in.
+MOST_COLUMNS, MOST_ROWS, MOST_INDENT = 1000, 65534, 64
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas svg math textarea select".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist audio video canvas".split())
+#: Not shown inside svg and math.
+UNSEEN_DRAWN = frozenset("desc defs metadata symbol annotation annotation-xml".split())
 #: Blocks, with the blank lines that their margins ask for.
 BLOCKS = dict.fromkeys("html body div section article aside header footer main nav address form fieldset legend center details summary dialog hgroup search li dt dd caption option optgroup tr".split(), 0)
 BLOCKS |= dict.fromkeys("p h1 h2 h3 h4 h5 h6 ul ol menu dl table blockquote pre figure figcaption hr listing".split(), 1)
@@ -44,6 +56,7 @@ LISTS = frozenset(("ul", "ol", "menu"))
 CELLS = frozenset(("td", "th"))
 ROW_GROUPS = frozenset(("thead", "tbody", "tfoot"))
 _SCOPE = frozenset(("table", "td", "th", "caption", "template", "html"))
+_P, _P_SCOPE, _TABLE = frozenset(("p",)), _SCOPE | {"button", "object"}, frozenset(("table",))
 #: Open elements that a start tag closes, and the elements at which the search for them stops.
 _CLOSES = {
     "li": (frozenset(("li",)), LISTS | _SCOPE),
@@ -118,185 +131,256 @@ def _attributes(source: str) -> dict[str, str]:
     return out
 
 
-def _hides(attributes: dict[str, str]) -> bool:
-    """Whether an element with these attributes is not shown."""
-    if "hidden" in attributes:
-        return True
+def _css(attributes: dict[str, str]) -> dict[str, str]:
+    """The declarations of the style attribute; the last one of a name counts, but important ones go first."""
     found: dict[str, tuple[bool, str]] = {}
     for part in _NOT_CSS.sub(" ", attributes.get("style", "")).lower().split(";"):
         name, _, value = part.partition(":")
         value, mark, _ = value.partition("!")
         name = name.strip()
-        if mark or not found.get(name, (False, ""))[0]:  # the last one counts, but important ones go first
+        if mark or not found.get(name, (False, ""))[0]:
             found[name] = bool(mark), value.strip()
-    return found.get("display", (False, ""))[1] == "none" or found.get("visibility", (False, ""))[1] == "hidden"
+    return {name: value for name, (_, value) in found.items()}
+
+
+def _number(pattern: re.Pattern, value: str, default: int) -> int:
+    found = pattern.match(value)
+    return int(found[1]) if found else default
 
 
 class _Element:
-    __slots__ = ("tag", "shown", "pre", "count", "indent", "outer", "rows", "span", "folded")
-
-    def __init__(self, tag: str, shown: bool, pre: bool):
-        self.tag, self.shown, self.pre = tag, shown, pre
-        self.count, self.indent, self.outer, self.rows, self.span, self.folded = 0, None, None, None, 1, False
-
-
-def _grid(rows: list[list[tuple[int, list[str]]]]) -> list[str]:
-    """Rows of (columns, lines) cells with every column padded to its widest cell; a wide cell may fill its columns."""
-    widths: list[int] = []
-    for row in rows:
-        at = 0
-        for span, lines in row:
-            widths += [0] * (at + span - len(widths))
-            if span == 1:
-                widths[at] = max([widths[at], *map(len, lines)])
-            at += span
+    __slots__ = ("tag", "shown", "visible", "drawn", "pre", "count", "indent", "outer", "rows", "spans", "folded", "options", "every", "selected")
+
+    def __init__(self, tag: str, above: _Element | None):
+        self.tag = tag
+        self.shown, self.visible, self.drawn, self.pre = (above.shown, above.visible, above.drawn, above.pre) if above else (True, True, False, False)
+        self.count, self.indent, self.outer, self.rows, self.spans, self.folded = 0, None, None, None, (1, 1), False
+        self.options, self.every, self.selected = None, False, False
+
+
+def _width(text: str) -> int:
+    """Columns that a line takes."""
+    if text.isascii():
+        return len(text)
+    return sum(2 if unicodedata.east_asian_width(c) in "WF" else 0 if unicodedata.combining(c) or unicodedata.category(c) in ("Mn", "Me", "Cf") else 1 for c in text)
+
+
+def _grid(rows: list[tuple[int, list]]) -> list[str]:
+    """Rows of (row group, cells) with every column padded to its widest cell; cells are (columns, rows, lines).
+
+    A cell stands in the first columns that are free; the rows below it leave its columns empty. A cell over several
+    columns that is wider than they are widens the last of them.
+    """
+    placed, covered, group = [], {}, None  # covered: columns taken by cells above, with the rows that are left
+    for here, cells in rows:
+        if here != group:
+            covered, group = {}, here  # no cell reaches over the end of its row group
+        at, line = 0, []
+        below = {c: n - 1 for c, n in covered.items() if n > 1}
+        for columns, deep, lines in cells:
+            while at in covered:
+                at += 1
+            free = 1
+            while free < columns and at + free not in covered:
+                free += 1
+            line.append((at, free, lines))
+            if deep > 1:
+                below.update(dict.fromkeys(range(at, at + free), deep - 1))
+            at += free
+        placed.append(line)
+        covered = below
+    widths: dict[int, int] = {}
+    for line in placed:
+        for at, columns, lines in line:
+            if columns == 1:
+                widths[at] = max(widths.get(at, 0), *map(_width, lines), 0)
+    room = lambda at, columns: sum(widths.get(c, 0) for c in range(at, at + columns)) + 2 * (columns - 1)
+    for line in placed:
+        for at, columns, lines in line:
+            if columns > 1 and (more := max([0, *map(_width, lines)]) - room(at, columns)) > 0:
+                widths[at + columns - 1] = widths.get(at + columns - 1, 0) + more
+    ends, total = {}, 0  # where each column starts
+    for c in range(max([0, *(at + columns for line in placed for at, columns, _ in line)])):
+        ends[c] = total
+        total += widths.get(c, 0) + 2
     out = []
-    for row in rows:
-        for k in range(max([1, *(len(lines) for _, lines in row)]) if row else 0):
-            at, line = 0, ""
-            for span, lines in row:
-                room = sum(widths[at : at + span]) + 2 * (span - 1)
-                line += (lines[k] if k < len(lines) else "").ljust(room) + "  "
-                at += span
-            out.append(line.rstrip(" "))
+    for line in placed:
+        for k in range(max([1, *(len(lines) for _, _, lines in line)]) if line else 0):
+            text, used = [], 0
+            for at, _, lines in line:
+                if k < len(lines) and lines[k]:
+                    text += [" " * (ends[at] - used), lines[k]]
+                    used = ends[at] + _width(lines[k])
+            out.append("".join(text).rstrip(" "))
     return out
 
 
 class _Builder:
     def __init__(self) -> None:
         self.text = _Text()
-        self.open: list[_Element] = [_Element("", True, False)]
+        self.open: list[_Element] = [_Element("", None)]
+        #: Places of the open elements by tag, and the open tables that are shown.
+        self.at: dict[str, list[int]] = {}
+        self.tables: list[_Element] = []
+        self.groups = 0
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The place of the innermost open element of ``tags``; 0 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def push(self, e: _Element) -> None:
+        self.at.setdefault(e.tag, []).append(len(self.open))
+        self.open.append(e)
 
     def start(self, tag: str, attributes: dict[str, str]) -> None:
-        top = self.open[-1]
         if BLOCKS.get(tag) is not None and tag not in ("html", "body", "option", "optgroup", "tr", "caption"):
-            self.close_one("p", _SCOPE | {"button", "object"})
+            self.close_any(_P, _P_SCOPE)
         if tag in _CLOSES:
             closing, stop = _CLOSES[tag]
             self.close_any(closing, stop)
             if tag in ROW_GROUPS or tag == "tr":
-                self.close_any(CELLS | {"tr"}, frozenset(("table",)))
-                self.close_any(ROW_GROUPS if tag in ROW_GROUPS else frozenset(), frozenset(("table",)))
-        if tag in CELLS and self.open[-1].tag != "tr" and any(e.tag == "table" for e in self.open):
+                self.close_any(CELLS | {"tr"}, _TABLE)
+                if tag in ROW_GROUPS:
+                    self.close_any(ROW_GROUPS, _TABLE)
+        if tag in CELLS and self.open[-1].tag != "tr" and self.at.get("table"):
             self.start("tr", {})
         if tag in BLOCKS and tag not in ("head", "html") and self.open[-1].tag == "head":
             self.end("head")
         top = self.open[-1]
-        shown = top.shown and tag not in UNSEEN and (not top.folded or tag == "summary") and not (attributes and _hides(attributes))
+        e = _Element(tag, top)
+        e.shown = top.shown and tag not in UNSEEN and (not top.folded or tag == "summary") and "hidden" not in attributes
+        if top.drawn:
+            e.shown = e.shown and tag not in UNSEEN_DRAWN
         if tag == "dialog" and "open" not in attributes:
-            shown = False
+            e.shown = False
+        if "style" in attributes:
+            css = _css(attributes)
+            e.shown = e.shown and css.get("display") != "none"
+            e.visible = {"hidden": False, "collapse": False, "visible": True}.get(css.get("visibility"), e.visible)
         if tag in VOID:
-            if shown and tag == "br":
+            if e.shown and tag == "br":
                 self.text.end_line(True)
-            elif shown and tag == "hr":
+            elif e.shown and tag == "hr":
                 self.text.block(1)
             return
-        e = _Element(tag, shown, top.pre or tag in ("pre", "listing"))
-        self.open.append(e)
-        if not shown:
+        e.pre = top.pre or tag in ("pre", "listing", "textarea")
+        e.drawn = top.drawn or tag in ("svg", "math")
+        if tag == "svg":
+            e.visible = False  # of a drawing only its text elements are text
+        elif tag in ("text", "foreignobject") and top.drawn:
+            e.visible = True
+        self.push(e)
+        if not e.shown:
             return
         if tag == "details":
             e.folded = "open" not in attributes
         if tag in CELLS:
-            found = _SPAN.match(attributes.get("colspan", ""))
-            e.span, e.outer, self.text = max(1, int(found[1])) if found else 1, self.text, _Text()
+            columns, rows = _number(_SPAN, attributes.get("colspan", ""), 1), _number(_SPAN, attributes.get("rowspan", ""), 1)
+            e.spans = min(max(columns, 1), MOST_COLUMNS), min(rows or MOST_ROWS, MOST_ROWS)
+            e.outer, self.text = self.text, _Text()
+        elif tag == "select":
+            e.options, e.every = [], "multiple" in attributes or _number(_SPAN, attributes.get("size", ""), 1) > 1
+            e.outer, self.text = self.text, _Text()
+        elif tag == "option" and self.at.get("select"):
+            e.outer, self.text, e.selected = self.text, _Text(), "selected" in attributes
         elif tag == "tr":
-            table = self.table()
-            if table is not None:
-                table.rows.append([])
+            if self.tables:
+                self.tables[-1].rows.append((self.groups, []))
             else:
                 self.text.block(0)
+        elif tag in ROW_GROUPS:
+            self.groups += 1
         elif tag in BLOCKS:
-            margin = BLOCKS[tag]
-            if tag in LISTS and any(x.tag in LISTS for x in self.open[:-1]):
-                margin = 0
-            self.text.block(margin)
+            self.text.block(self.margin(tag))
         if tag == "table":
             e.rows = []
+            self.tables.append(e)
+            self.groups += 1
         elif tag == "ol":
-            found = _START.match(attributes.get("start", ""))
-            e.count = int(found[1]) - 1 if found else 0
+            e.count = _number(_START, attributes.get("start", ""), 1) - 1
         elif tag == "li":
-            parent = next((x for x in reversed(self.open[:-1]) if x.tag in LISTS), None)
+            parent = self.open[self.last(LISTS)]
             mark = "- "
-            if parent is not None and parent.tag == "ol":
-                parent.count += 1
+            if parent.tag == "ol":
+                parent.count = _number(_START, attributes.get("value", ""), parent.count + 1)
                 mark = f"{parent.count}. "
-            self.enter(e, mark)
+            self.enter(e, mark if e.visible else " " * len(mark))
         elif tag in ("dd", "blockquote"):
             self.enter(e, "  ")
 
+    def margin(self, tag: str) -> int:
+        """Blank lines around a block; lists inside lists have none."""
+        inner = tag in LISTS and any(places and places[0] < len(self.open) - 1 for places in map(self.at.get, LISTS))
+        return 0 if inner else BLOCKS[tag]
+
     def enter(self, e: _Element, mark: str) -> None:
         e.indent = self.text.indent
-        self.text.indent += " " * len(mark)
+        self.text.indent = (self.text.indent + " " * len(mark))[: max(MOST_INDENT, len(mark))]
         self.text.mark = mark
 
-    def table(self) -> _Element | None:
-        return next((x for x in reversed(self.open) if x.rows is not None), None)
-
     def pop(self) -> None:
-        e = self.open.pop()
+        e = self.open[-1]
+        margin = self.margin(e.tag) if e.shown and e.tag in BLOCKS else 0
+        self.open.pop()
+        self.at[e.tag].pop()
         if not e.shown:
             return
         if e.outer is not None:
             lines, self.text = self.text.done(), e.outer
-            table = self.table()
-            if table is not None:
+            if e.tag == "option":
+                options = self.open[self.last(("select",))].options
+                if options is not None:
+                    options.append((e.selected, " ".join(lines)))
+            elif e.tag == "select":
+                chosen = [t for s, t in e.options if s or e.every] or [t for _, t in e.options[:1]]
+                for k, text in enumerate(chosen if e.every else chosen[-1:]):
+                    self.text.end_line() if k else None
+                    self.text.add(text)
+            elif self.tables:
+                table = self.tables[-1]
                 if not table.rows:
-                    table.rows.append([])
-                table.rows[-1].append((e.span, lines))
+                    table.rows.append((self.groups, []))
+                table.rows[-1][1].append((*e.spans, lines))
             else:
                 for line in lines:
                     self.text.add(line)
                     self.text.end_line()
             return
         if e.rows is not None:
+            self.tables.pop()
             for line in _grid(e.rows):
                 self.text.now.append(line)
                 self.text.end_line()
         if e.tag in BLOCKS:
-            margin = BLOCKS[e.tag]
-            if e.tag in LISTS and any(x.tag in LISTS for x in self.open):
-                margin = 0
             self.text.block(margin)
             if e.indent is not None:
-                if self.text.mark and e.tag == "li":
+                if self.text.mark.strip() and e.tag == "li":
                     self.text.end_line(True)  # an item without text still shows its mark
                 self.text.indent, self.text.mark = e.indent, ""
 
     def close_any(self, tags: frozenset, stop: frozenset) -> None:
         """Close the outermost open element of ``tags`` inside the innermost of ``stop``."""
-        found = None
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag in tags:
-                found = k
-            elif self.open[k].tag in stop:
-                break
-        while found is not None and len(self.open) > found:
+        floor = self.last(stop - tags)
+        found = [places[k] for places in map(self.at.get, tags) if places and (k := bisect_right(places, floor)) < len(places)]
+        while found and len(self.open) > min(found):
             self.pop()
 
-    def close_one(self, tag: str, stop: frozenset) -> None:
-        self.close_any(frozenset((tag,)), stop)
-
     def end(self, tag: str) -> None:
-        if tag in ("br", "p") and not any(e.tag == tag for e in self.open):
+        if tag in ("br", "p") and not self.at.get(tag):
             if self.open[-1].shown:
                 self.text.end_line() if tag == "br" else self.text.block(1)
             return
         if tag in ("html", "body"):
             return  # what follows is still shown
-        stop = frozenset(("table",)) if tag in ROW_GROUPS or tag in CELLS or tag in ("tr", "caption") else frozenset() if tag == "table" else CELLS | {"caption", "table"}
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag == tag:
-                while len(self.open) > k:
-                    self.pop()
-                return
-            if self.open[k].tag in stop:
-                return
+        stop = _TABLE if tag in ROW_GROUPS or tag in CELLS or tag in ("tr", "caption") else frozenset() if tag == "table" else CELLS | {"caption", "table"}
+        place = self.last((tag,))
+        if place and place >= self.last(stop):
+            while len(self.open) > place:
+                self.pop()
 
     def characters(self, text: str) -> None:
         e = self.open[-1]
-        if not e.shown or e.folded:
+        if not e.shown or e.folded or not e.visible or e.options is not None:
             return
         if e.rows is not None or e.tag == "tr" or e.tag in ROW_GROUPS:
             if not text.strip(" \t\n\r\f"):
@@ -333,9 +417,14 @@ def render(page: str) -> str:
         b.start(tag, _attributes(attributes))
         if tag in RAW:
             close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(page, at)
-            at = close.start() if close else n
-        elif attributes.endswith("/>") and tag in ("svg", "math"):
-            b.end(tag)
+            stop = close.start() if close else n
+            if tag == "textarea":
+                b.characters(page[at:stop].removeprefix("\n"))
+            elif tag == "xmp":
+                b.characters(page[at:stop].replace("&", "&amp;"))
+            at = stop
+        elif attributes.endswith("/>") and b.open[-1].tag == tag and b.open[-1].drawn:
+            b.pop()  # elements of svg and math may close themselves
         if tag in ("pre", "listing") and page.startswith("\n", at):
             at += 1
     while len(b.open) > 1:

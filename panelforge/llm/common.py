@@ -11,8 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch sent to Python: whole texts can be long, so batches stay far below Spark's default.
-BATCH_ROWS = 512
+#: Rows and bytes in an Arrow batch sent to Python: whole texts can be long, so batches stay far below Spark's defaults.
+BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
+#: Settings with Spark's default for them and the value that takes its place.
+_BATCH_SETTINGS = (
+    ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", str(BATCH_ROWS)),
+    ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", str(BATCH_BYTES)),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,16 +109,30 @@ def drop_all_written() -> None:
             drop_written(df)
 
 
+#: Rows of a few numbers or a short key that are broadcast at most; larger tables are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(keys: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``keys``, rows of bounded width, with a hint to broadcast them if they are counted to be few."""
+    return F.broadcast(keys) if keys.limit(most_rows + 1).count() <= most_rows else keys
+
+
 def fresh(name: str) -> str:
     """A column name that no table has."""
     return f"__{name}_{uuid.uuid4().hex}"
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, whose Arrow batches from here on hold few rows and bytes; the session's own setting wins if it has one."""
+    """``df``; the session's Arrow batches from here on hold few rows and bytes.
+
+    Spark reads these settings when a plan runs, so they stay set for the session. A value that differs from Spark's
+    default is the user's and is left alone.
+    """
     conf = df.sparkSession.conf
-    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for name, default, value in _BATCH_SETTINGS:
+        if conf.get(name, default) == default:
+            conf.set(name, value)
     return df
 
 

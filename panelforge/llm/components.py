@@ -1,7 +1,14 @@
-"""Connected components of an edge table by alternating large-star and small-star steps, all in joins and grouping."""
+"""Connected components of an edge table by alternating large-star and small-star steps, all in joins and grouping.
+
+Each task first joins the edges that it holds into stars, in bounded memory, so that few rounds over all edges are left.
+"""
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,14 +34,47 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v")))
 
 
+#: Edges that a task joins at a time.
+_HELD = 1 << 18
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For every _HELD edges of a task: each node with the smallest node that it reaches by them."""
+
+    def joined(us: list[int], vs: list[int]) -> pa.RecordBatch:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for u, v in zip(us, vs):
+            a, b = root(u), root(v)
+            parent[max(a, b)] = min(a, b)
+        ends = {x: root(x) for x in parent}
+        stars = [(x, r) for x, r in ends.items() if x != r]
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in stars], pa.int64()), pa.array([r for _, r in stars], pa.int64())], ["u", "v"])
+
+    held: tuple[list[int], list[int]] = ([], [])
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            held[0].extend(batch.column(0).to_pylist())
+            held[1].extend(batch.column(1).to_pylist())
+        if held[0] and (batch is None or len(held[0]) >= _HELD):
+            yield joined(*held)
+            held = ([], [])
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of ``edges`` (u, v): component is the smallest node reachable.
+    """(node, component) for every node of ``edges`` (u, v), longs that are not null: component is the smallest reachable.
 
-    Nodes must be comparable and not null. Each round ends in a table in the shared folder. No node's neighbours are
+    Each round ends in a table in the shared folder. No node's neighbours are
     ever gathered: a round only takes minima, so a node with very many edges costs no more memory than another. The
     result reads a table that ``drop_written`` of the result deletes.
     """
-    current = written(edges.where("u <> v").select("u", "v").distinct(), "edges")
+    rows = edges.where("u <> v").select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v"))
+    current = written(rows.mapInArrow(_stars, "u long, v long").distinct(), "edges")
     before = None
     for _ in range(most_rounds):
         stars = _small_star(_large_star(current).where("u <> v").distinct()).where("u <> v").distinct()

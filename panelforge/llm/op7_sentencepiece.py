@@ -11,7 +11,8 @@ Every segment is checked against the sentencepiece library when it is first enco
 the library's decode(), in the Arrow batch it belongs to; a difference is an error.
 
 Defined results: null and empty texts have no ids and decode to the empty text. Ids decode to the normalised text.
-Rows are handled one by one, so repeated rows give repeated results. An empty table gives no rows.
+Very long texts are encoded whole. Rows are handled one by one, so repeated rows give repeated results. An empty table
+gives no rows. Other columns never take part, whatever their names.
 """
 
 from __future__ import annotations

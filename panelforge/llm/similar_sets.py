@@ -9,8 +9,10 @@
 4. A sketch holds, for classes of shingles by hash, whether an odd number of the set falls in each. Where two sketches
    differ the sets differ, so the differing bits bound the shingles that are not common from below, and no similar pair is
    refused. The pairs left are confirmed by the exact similarity of their whole sets.
-5. Pairs that a caller has found by other means are confirmed first. Then every bucket offers its members with one of
-   them; links found so join most of a large group. Last it offers all pairs not joined yet, in blocks of bounded size.
+5. First every bucket offers its members with one of them, which is the same for only some of the buckets of a group, and
+   a caller can add pairs found by other means. Then it offers a few pairs of any two parts that links do not join yet:
+   that joins most of what is alike. Last it offers all pairs of parts that are still apart, so none is lost. Buckets are
+   compared in blocks of bounded size.
 
 Defined results: texts shorter than a shingle are one shingle; null and white-space-only texts are alike. Only ASCII
 letters change case and only ASCII white space parts words. An empty table gives no rows. Very long texts are read whole.
@@ -35,6 +37,8 @@ SHINGLE = 5
 LEAST = 0.8
 #: One text of so many is read to find common shingles, of which at most so many are held.
 SAMPLE, MAX_COMMON = 16, 200_000
+#: Different members that the buckets of one group offer first; pairs of two parts in a block that are tried before all.
+CENTRES, FEW = 8, 4
 #: Members of a bucket block: a task compares two blocks at a time.
 BLOCK = 2048
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -185,17 +189,18 @@ def _pairs(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
 
-def star_pairs(members: DataFrame, least: float, seed: int) -> DataFrame:
+def star_pairs(members: DataFrame, least: float) -> DataFrame:
     """(u, v): every member of a bucket with one of them, if they can be similar and are not joined yet."""
-    order = F.xxhash64("node", F.lit(seed))
+    order = F.xxhash64("node", F.pmod("token", F.lit(CENTRES)))
     middle = members.groupBy("token").agg(F.min_by(F.struct("node", "size", "place", "label"), order).alias("m"))
     pairs = members.join(middle, "token").where((F.col("label") != F.col("m.label")))
     pairs = pairs.where(_room(F.col("size"), F.col("place"), F.col("m.size"), F.col("m.place"), least))
     return pairs.select(*_pairs(F.col("node"), F.col("m.node"))).distinct()
 
 
-def all_pairs(members: DataFrame, sketches: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
-    """(u, v): all pairs of a bucket that can be similar, by their sketches too, and are not joined yet."""
+def all_pairs(members: DataFrame, sketches: DataFrame, least: float, block: int = BLOCK, few: int | None = None) -> DataFrame:
+    """(u, v): all pairs of a bucket that can be similar, by their sketches too, and are not joined yet; with ``few`` only
+    so many for each two labels of a block."""
     sizes = members.groupBy("token").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"))
     open_ = sizes.where("a <> b").select("token", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     rows = members.join(open_, "token").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -216,7 +221,7 @@ def all_pairs(members: DataFrame, sketches: DataFrame, least: float, block: int
             ends = [*(np.flatnonzero(new) + 1), *([len(columns[0])] if batch is None else [])]
             start, found = 0, []
             for end in ends:
-                found.append(_block_pairs([c[start:end] for c in columns], least))
+                found.append(_block_pairs([c[start:end] for c in columns], least, few))
                 start = end
             rest = [[c[start:] for c in columns]] if start < len(columns[0]) else []
             out = np.unique(np.concatenate(found), axis=0)
@@ -225,10 +230,12 @@ def all_pairs(members: DataFrame, sketches: DataFrame, least: float, block: int
     return placed.mapInArrow(compare, "u long, v long").distinct()
 
 
-def _block_pairs(columns: list[np.ndarray], least: float) -> np.ndarray:
+def _block_pairs(columns: list[np.ndarray], least: float, few: int | None) -> np.ndarray:
     _, low, high, mine, node, size, place, label, sketches = columns
     a, b = np.flatnonzero(mine == low[0]), np.flatnonzero(mine == high[0])
     found, tables = [np.zeros((0, 2), np.int64)], _Sketches(sketches)
+    groups = np.unique(label, return_inverse=True)[1]
+    seen = np.zeros(0, np.int64)
     for start in range(0, len(a), 256):
         i = a[start : start + 256, None]
         can = (label[i] != label[b]) & _room(size[i], place[i], size[b], place[b], least)
@@ -237,11 +244,27 @@ def _block_pairs(columns: list[np.ndarray], least: float) -> np.ndarray:
         x, y = np.nonzero(can)
         x, y = i[x, 0], b[y]
         near = tables.differ(x, y) <= _apart(size[x].astype(np.int64), size[y], least)
-        x, y = node[x[near]], node[y[near]]
+        x, y = x[near], y[near]
+        if few is not None:  # the first so many of each two labels, over all of the block
+            both = np.minimum(groups[x], groups[y]) * (len(groups) + 1) + np.maximum(groups[x], groups[y])
+            keep = _nth(np.concatenate([seen, both]))[len(seen) :] < few
+            seen = np.concatenate([seen, both[keep]])
+            x, y = x[keep], y[keep]
+        x, y = node[x], node[y]
         found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
     return np.concatenate(found)
 
 
+def _nth(values: np.ndarray) -> np.ndarray:
+    """For each entry, how many equal ones stand before it."""
+    order = np.argsort(values, kind="stable")
+    ordered = values[order]
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
+    out = np.empty(len(values), np.int64)
+    out[order] = np.arange(len(values)) - np.repeat(starts, np.diff(np.append(starts, len(values))))
+    return out
+
+
 class _Sketches:
     """The sketches of a block in tables by their length."""
 
@@ -300,20 +323,21 @@ def _similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
 
 
 def link_components(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, size: int, least: float, block: int = BLOCK, first: DataFrame | None = None) -> DataFrame:
-    """(node, component) for every node that is similar to another; ``first`` (u, v) are pairs to try before the others."""
+    """(node, component) for every node that is similar to another; ``first`` (u, v) are pairs to try with the first ones."""
     members = written(buckets(found), "buckets")
     sketches = written(found.groupBy("node").agg(F.first("sketch").alias("fact")), "sketches")
     kept = [members, sketches]
-    links = joined = tried = None
-    for turn in ("first", "star", "star", "all") if first is not None else ("star", "star", "all"):
+    links = tried = joined = None
+    for turn in ("star", "few", "all"):
         labelled = members.withColumn("label", F.col("node"))
-        if joined is not None:
+        if joined is not None:  # what links join already is not compared again
             labelled = members.join(joined, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-        if turn == "all":
-            near = all_pairs(labelled, sketches, least, block)
-        else:
-            pairs = first if turn == "first" else star_pairs(labelled, least, len(kept))
+        if turn == "star":
+            pairs = star_pairs(labelled, least)
+            pairs = pairs if first is None else pairs.union(first).distinct()
             near = _where(pairs, sketches, lambda a, b: may_be_similar(a, b, least), "<u8")
+        else:
+            near = all_pairs(labelled, sketches, least, block, FEW if turn == "few" else None)
         near = written(near if tried is None else near.join(tried, ["u", "v"], "left_anti"), "near")
         nodes = near.select(F.explode(F.array("u", "v")).alias("node")).distinct()
         sets = written(whole_sets(docs, found, nodes, id_col, text_col, size), "sets")

@@ -303,8 +303,8 @@ def test_decontamination(spark):
     items = spark.createDataFrame([(0, item), (1, "too short item"), (2, None), (3, item)], "item_id long, text string")
     found = sorted((r["doc_id"], r["item_id"], r["reordered"]) for r in op6_decontamination.contaminations(df, items).collect())
     assert found == [(1, 0, False), (1, 0, False), (1, 3, False), (1, 3, False), (2, 0, True), (2, 3, True)]
-    blocked = op6_decontamination.contaminations(df, items, block_bytes=60)
-    assert sorted((r["doc_id"], r["item_id"], r["reordered"]) for r in blocked.collect()) == found
+    filtered = op6_decontamination.contaminations(df, items, filter_bits=(64, 64))
+    assert sorted((r["doc_id"], r["item_id"], r["reordered"]) for r in filtered.collect()) == found
     assert sorted(r["doc_id"] for r in op6_decontamination.keep_clean(df, items).collect()) == [3, 4, 5, 6]
     assert op6_decontamination.contaminations(df, items.where("item_id > 9")).count() == 0
     assert op6_decontamination.contaminations(df.where("doc_id > 9"), items).count() == 0

@@ -98,16 +98,27 @@ def pages_without_grades(rows: DataFrame, page: list[str], is_theme: Column, gra
     return rows.groupBy(*page).agg(F.count_if(is_theme).alias("themes"), F.count_if(graded).alias("graded")).where("themes > 0 and graded = 0")
 
 
+def row_hash(columns: list[str]) -> Column:
+    """SHA-256 of a row with its column names, types' texts and nulls; null, empty and absent values all differ."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+
+def _summed(hashed: str) -> Column:
+    """A sum of row hashes in parts of 60 bits, so that it does not depend on their order and repeated rows count."""
+    parts = [F.sum(F.conv(F.substring(hashed, 15 * k + 1, 15), 16, 10).cast("decimal(20,0)")) for k in range(4)]
+    return F.concat_ws(":", *(F.coalesce(p, F.lit(0)).cast("string") for p in parts))
+
+
 def multiset_digest(df: DataFrame) -> DataFrame:
     """One row (n, digest): a digest of the rows as a multiset, whatever their order or files."""
-    columns = sorted(df.columns)
-    return df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.lit(0)).cast("string").alias("digest"))
+    rows = df.select(row_hash(sorted(df.columns)).alias("__hash"))
+    return rows.agg(F.count("*").alias("n"), _summed("__hash").alias("digest"))
 
 
 def group_digest(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """A digest of each group's rows as a multiset, without collecting them."""
-    row = F.xxhash64(*columns).cast("decimal(38,0)")
-    return df.groupBy(*by).agg(F.count("*").alias("n"), F.sum(row).cast("string").alias("digest"))
+    rows = df.select(*by, row_hash(columns).alias("__hash"))
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), _summed("__hash").alias("digest"))
 
 
 def block_audit(universe: DataFrame, live: DataFrame, block: list[str], code: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Data contracts: a contract is a DataFrame of violations (rule, key, detail); an empty one is a contract kept.
 
-Contracts are lazy and can be stored, joined or shown. ``enforce`` evaluates several in one job and raises with the
-count and a few examples of every rule that is broken.
+Contracts are lazy and can be stored, joined or shown. ``row_rules`` tests many rules of a row in one pass. ``enforce``
+writes what several contracts find once and raises with the count and a few examples of every rule that is broken.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import is_blank
+from ..sources.shared import shared_folder
 
 SCHEMA = "rule string, key string, detail string"
 
@@ -54,12 +55,24 @@ def examples(found: DataFrame, n: int = 5) -> DataFrame:
 
 
 def enforce(*contracts: DataFrame, n: int = 5) -> None:
-    """Raise ``ContractError`` if any contract is broken."""
-    broken = examples(union(*contracts), n).orderBy("rule").collect()  # one row per rule
+    """Raise ``ContractError`` if any contract is broken. What they find is written once to the shared folder."""
+    found = union(*contracts)
+    spark = found.sparkSession
+    path = shared_folder(spark, "violations")
+    found.write.parquet(path)
+    broken = examples(spark.read.schema(found.schema).parquet(path), n).orderBy("rule").collect()  # one row per rule
     if broken:
         raise ContractError([tuple(r) for r in broken])
 
 
+def row_rules(df: DataFrame, key: list[str], rules: list[tuple[str, Column, Column | str]]) -> DataFrame:
+    """Violations of several (rule, broken, detail) that look at one row each; null counts as broken. One pass over ``df``."""
+    texts = [(rule, broken, F.lit(d) if isinstance(d, str) else d) for rule, broken, d in rules]
+    hits = [F.when(F.coalesce(broken, F.lit(True)), F.struct(F.lit(rule).alias("rule"), F.coalesce(d.cast("string"), F.lit("")).alias("detail"))) for rule, broken, d in texts]
+    found = F.filter(F.array(*hits), lambda x: x.isNotNull())
+    return df.select(key_text(key).alias("key"), F.explode(found).alias("hit")).select("hit.rule", "key", "hit.detail")
+
+
 # ---- schema
 
 
@@ -118,21 +131,36 @@ def coerced(df: DataFrame, declared: StructType) -> tuple[DataFrame, DataFrame]:
 # ---- values
 
 
+def _named(conditions: list[Column]) -> Column:
+    """The entries that are not null as one text."""
+    return F.array_join(F.filter(F.array(*conditions), lambda x: x.isNotNull()), ",")
+
+
+def blank_names(columns: list[str]) -> Column:
+    """The names of the blank ones of ``columns``; empty if there is none."""
+    return _named([F.when(is_blank(c), F.lit(c)) for c in columns])
+
+
 def not_blank(df: DataFrame, columns: list[str], key: list[str], rule: str = "blank") -> DataFrame:
     """Rows with a blank value in any of ``columns``."""
-    blank = F.filter(F.array(*(F.when(is_blank(c), F.lit(c)) for c in columns)), lambda x: x.isNotNull())
-    return violations(df, rule, F.size(blank) > 0, key, F.array_join(blank, ","))
+    return violations(df, rule, blank_names(columns) != "", key, blank_names(columns))
 
 
-def in_range(df: DataFrame, columns: list[str], key: list[str], low: float = 0.0, high: float = 100.0, nulls: bool = True, rule: str = "range") -> DataFrame:
-    """Rows with a value that is NaN, infinite or outside the bounds; null only counts if ``nulls`` is false."""
+def out_of_range(columns: list[str], low: float = 0.0, high: float = 100.0, nulls: bool = True) -> Column:
+    """The values of ``columns`` that are NaN, infinite or outside the bounds, as name=value; null only counts if
+    ``nulls`` is false. Empty if there is none."""
 
     def bad(c: str) -> Column:
         v = F.col(c).cast("double")
         return F.when(v.isNull(), F.lit(not nulls)).otherwise(F.isnan(v) | (v < low) | (v > high))
 
-    wrong = F.filter(F.array(*(F.when(bad(c), F.concat(F.lit(c + "="), F.coalesce(F.col(c).cast("string"), F.lit("null")))) for c in columns)), lambda x: x.isNotNull())
-    return violations(df, rule, F.size(wrong) > 0, key, F.array_join(wrong, ","))
+    return _named([F.when(bad(c), F.concat(F.lit(c + "="), F.coalesce(F.col(c).cast("string"), F.lit("null")))) for c in columns])
+
+
+def in_range(df: DataFrame, columns: list[str], key: list[str], low: float = 0.0, high: float = 100.0, nulls: bool = True, rule: str = "range") -> DataFrame:
+    """Rows with a value that is NaN, infinite or outside the bounds; null only counts if ``nulls`` is false."""
+    wrong = out_of_range(columns, low, high, nulls)
+    return violations(df, rule, wrong != "", key, wrong)
 
 
 def in_domain(df: DataFrame, column: str, domain: list, key: list[str], rule: str = "domain") -> DataFrame:

@@ -103,20 +103,24 @@ def restore_by_signature(units: DataFrame, links: DataFrame, base: list[str], si
     ``units`` has one row per unit with ``base`` columns and a ``signature`` array of canonical scores; ``links`` has
     base, signature and the new values (``targets``: column of units -> column of links). The multiset of vectors
     must match: for each (base, signature) as many units as links. Equal units are paired with equal links by number,
-    and any pairing is right since they do not differ.
+    and any pairing is right since they do not differ. Only units whose base and vector the ledger names are numbered;
+    all others pass by without a shuffle.
     """
     joined_signature = F.array_join(F.col(signature), "|", "null")
     pair = Window.partitionBy(*base, "__signature").orderBy(F.lit(0))
     left = units.withColumn("__signature", joined_signature)
     right = links.withColumn("__signature", joined_signature)
-    bases = right.select(*base).distinct()
-    counts_left = left.join(bases, base, "left_semi").groupBy(*base, "__signature").agg(F.count("*").alias("units"))
+    named = [*base, "__signature"]
+    reviewed = left.join(right.select(*named).distinct(), named, "left_semi")
+    counts_left = reviewed.groupBy(*base, "__signature").agg(F.count("*").alias("units"))
     counts_right = right.groupBy(*base, "__signature").agg(F.count("*").alias("links"))
     compared = counts_right.join(counts_left, [*base, "__signature"], "left")
     bad = violations(compared, "signature multiset", F.coalesce(F.col("units"), F.lit(0)) != F.col("links"), [*base, "__signature"])
     numbered = right.withColumn("__n", F.row_number().over(pair)).select(*base, "__signature", "__n", *(F.col(v).alias(f"__new_{k}") for k, v in targets.items()))
-    out = left.withColumn("__n", F.row_number().over(pair)).join(numbered, [*base, "__signature", "__n"], "left")
-    return out.withColumns({k: F.coalesce(F.col(f"__new_{k}"), F.col(k)) for k in targets}).select(*units.columns), bad
+    out = reviewed.withColumn("__n", F.row_number().over(pair)).join(numbered, [*base, "__signature", "__n"], "left")
+    out = out.withColumns({k: F.coalesce(F.col(f"__new_{k}"), F.col(k)) for k in targets}).select(*units.columns)
+    others = left.join(right.select(*named).distinct(), named, "left_anti").select(*units.columns)
+    return others.unionAll(out), bad
 
 
 def cell_disagreements(long: DataFrame, wide: DataFrame, key: list[str], name: str, value: str, columns: dict[str, str]) -> DataFrame:

@@ -182,16 +182,17 @@ def long_to_wide(read, spark):
 
 
 @query("""WITH long AS (SELECT user_id, event_type, max(value) AS value FROM events GROUP BY 1, 2), wide AS (
-  SELECT user_id, max(value) FILTER (event_type = 'view') AS v, max(value) FILTER (event_type = 'click') AS c FROM events WHERE event_id % 7 <> 0 GROUP BY 1),
-m AS (SELECT user_id, 'view' AS event_type, v AS value FROM wide UNION ALL SELECT user_id, 'click', c FROM wide)
+  SELECT user_id, event_type, max(value + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) AS value FROM events GROUP BY 1, 2),
+m AS (SELECT u.user_id, t.event_type, value FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN (VALUES ('click'), ('error'), ('purchase'), ('view')) t(event_type) LEFT JOIN wide USING (user_id, event_type))
 SELECT 'long and wide differ' AS rule, concat_ws('|', coalesce(l.user_id, m.user_id), coalesce(l.event_type, m.event_type)) AS key
-FROM (SELECT * FROM long WHERE event_type IN ('view', 'click')) l FULL JOIN m ON l.user_id = m.user_id AND l.event_type = m.event_type
+FROM long l FULL JOIN m ON l.user_id = m.user_id AND l.event_type = m.event_type
 WHERE CAST(l.value AS DECIMAL(38,18)) IS DISTINCT FROM CAST(m.value AS DECIMAL(38,18))""")
 def cell_disagreements(read, spark):
-    kept = read("events").where("event_type in ('view', 'click')")
-    long = kept.groupBy("user_id", "event_type").agg(F.max("value").alias("value"))
-    wide = reshape.long_to_wide(read("events").where("event_id % 7 <> 0").groupBy("user_id", "event_type").agg(F.max("value").alias("value")), ["user_id"], "event_type", ["view", "click"], {"score": "value"})
-    return joins.cell_disagreements(long, wide, ["user_id"], "event_type", "value", {"view": "view_score", "click": "click_score"}).select("rule", "key")
+    long = read("events").groupBy("user_id", "event_type").agg(F.max("value").alias("value"))
+    changed = F.max(F.col("value") + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)).alias("value")
+    types = ["click", "error", "purchase", "view"]
+    wide = reshape.long_to_wide(read("events").groupBy("user_id", "event_type").agg(changed), ["user_id"], "event_type", types, {"score": "value"})
+    return joins.cell_disagreements(long, wide, ["user_id"], "event_type", "value", {t: f"{t}_score" for t in types}).select("rule", "key")
 
 
 @query("""SELECT 'group' AS rule, CAST(l_orderkey AS VARCHAR) AS key, 'rows=' || count(*) AS detail FROM lineitem GROUP BY l_orderkey

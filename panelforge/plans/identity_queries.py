@@ -26,21 +26,22 @@ def hierarchy_disagreements(read, spark):
 @query(f"""WITH {_PLACED}, u AS (SELECT DISTINCT '2024' AS year, c_custkey, r_regionkey, n_nationkey FROM placed), o AS (
   SELECT year, c_custkey, r_regionkey + CASE WHEN c_custkey % 50 = 0 THEN 1 ELSE 0 END AS r, n_nationkey AS n FROM u)
 SELECT c_custkey, u.r_regionkey, r AS outcome_r_regionkey FROM o JOIN u USING (year, c_custkey)
-WHERE r <> u.r_regionkey AND n <= 12""")
+WHERE r <> u.r_regionkey AND n % 2 = 0""")
 def reviewed_moves(read, spark):
     universe = placed_orders(read).select(F.lit("2024").alias("year"), "c_custkey", "r_regionkey", "n_nationkey").distinct()
     moved = F.when(F.col("c_custkey") % 50 == 0, F.col("r_regionkey") + 1).otherwise(F.col("r_regionkey"))
     outcomes = universe.withColumn("r_regionkey", moved)
     found = joins.hierarchy_disagreements(outcomes, universe, ["year", "c_custkey"], ["r_regionkey", "n_nationkey"])
-    nations = read("nation").where("n_nationkey <= 12")
-    ledger = nations.select(F.lit("2024").alias("year"), (F.col("n_regionkey") + 1).alias("r_regionkey"), "n_nationkey", F.col("n_regionkey").alias("target"))
+    # the ledger names every nation, half of them with another target than the universe has
+    target = F.col("n_regionkey") + F.col("n_nationkey") % 2
+    ledger = read("nation").select(F.lit("2024").alias("year"), (F.col("n_regionkey") + 1).alias("r_regionkey"), "n_nationkey", target.alias("target"))
     corrections, _ = joins.reviewed_moves(found, ledger, "year", "r_regionkey", "n_nationkey", "target")
     return corrections.select("c_custkey", "r_regionkey", "outcome_r_regionkey")
 
 
-@query("""SELECT event_id, upper(event_type) AS slug FROM events WHERE event_type <> 'error'""")
+@query("""SELECT event_id, upper(event_type) AS slug FROM events""")
 def canonical_headers(read, spark):
-    events = read("events").where("event_type <> 'error'").select("event_id", F.concat(F.lit("  "), "event_type", F.lit(" \t")).alias("header"))
+    events = read("events").select("event_id", F.concat(F.lit("  "), "event_type", F.lit(" \t")).alias("header"))
     links = read("events").select("event_type").distinct().select(F.col("event_type").alias("theme_header"), F.upper("event_type").alias("theme_slug"))
     return joins.canonical_headers(events, links, "header", "slug")[0].select("event_id", "slug")
 
@@ -123,12 +124,11 @@ def inventory_reconcile(read, spark):
     return joins.reconcile_listings(left, right, "page_id", "s")
 
 
-@query("""SELECT 'stale source' AS rule, url AS key, '' AS detail FROM (SELECT DISTINCT url, CASE WHEN page_id % 9 = 0 THEN 'x' ELSE sha256(html) END AS d, sha256(html) AS s FROM pages
-  WHERE url IN (SELECT url FROM pages GROUP BY url HAVING count(*) = 1)) WHERE d <> s""")
+@query("""SELECT 'stale source' AS rule, url || '#' || page_id AS key, '' AS detail FROM pages WHERE page_id % 9 = 0""")
 def stale_sources(read, spark):
-    once = read("pages").groupBy("url").agg(F.count("*").alias("n"), F.min("page_id").alias("page_id"), F.min("html").alias("html")).where("n = 1")
-    files = once.select(F.col("url").alias("path"), F.sha2("html", 256).alias("sha256"))
-    reviewed = once.select(F.col("url").alias("source_path"), F.when(F.col("page_id") % 9 == 0, "x").otherwise(F.sha2("html", 256)).alias("source_sha256"))
+    path = F.concat_ws("#", "url", "page_id")
+    files = read("pages").select(path.alias("path"), F.sha2("html", 256).alias("sha256"))
+    reviewed = read("pages").select(path.alias("source_path"), F.when(F.col("page_id") % 9 == 0, "x").otherwise(F.sha2("html", 256)).alias("source_sha256"))
     return joins.stale_sources(reviewed, files)
 
 

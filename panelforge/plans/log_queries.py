@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as agg
 from ..operators import statuses, windows
 from ..sources import logs
+from ..sources.shared import shared_folder
 from . import progress
 from .registry import query
 
@@ -135,15 +136,38 @@ def pages_without_grades(read, spark):
     return agg.pages_without_grades(rows, ["o_custkey"], F.col("o_orderstatus") != "P", "grade")
 
 
-@query("""WITH a AS (SELECT user_id, event_type, count(*) AS n, sum(value) AS v FROM events GROUP BY 1, 2) SELECT user_id, count(*) AS n, true AS same FROM events GROUP BY user_id""")
+@query("""SELECT user_id, count(*) AS n, count(*) FILTER (event_id % 37 = 5 OR event_id % 41 = 6) = 0 AS same FROM events GROUP BY user_id""")
 def retrieval_signature(read, spark):
-    """Two retrievals of the same rows, in another order and another number of parts, have the same signature."""
-    events = read("events").select("user_id", "event_id", "event_type", "value")
-    first = agg.group_digest(events, ["user_id"], ["event_id", "event_type", "value"])
-    second = agg.group_digest(events.repartition(3, "event_id"), ["user_id"], ["event_id", "event_type", "value"]).withColumnsRenamed({"n": "n2", "digest": "digest2"})
+    """Two retrievals of the same rows, in another order and another number of parts, have the same signature, but for the
+    users of whom a value changed or moved between columns that are null by turns."""
+    changed, moved = F.col("event_id") % 37 == 5, F.col("event_id") % 41 == 6
+    events = read("events").select("user_id", "event_id", "event_type", "value", F.lit(None).cast("string").alias("note"))
+    again = events.select("user_id", "event_id", F.when(~moved, F.col("event_type")).alias("event_type"), (F.col("value") + F.when(changed, 1.0).otherwise(0.0)).alias("value"), F.when(moved, F.col("event_type")).alias("note"))
+    columns = ["event_id", "event_type", "value", "note"]
+    first = agg.group_digest(events, ["user_id"], columns)
+    second = agg.group_digest(again.repartition(3, "event_id"), ["user_id"], columns).withColumnsRenamed({"n": "n2", "digest": "digest2"})
     return first.join(second, "user_id").select("user_id", "n", ((F.col("n") == F.col("n2")) & (F.col("digest") == F.col("digest2"))).alias("same"))
 
 
+@query("""WITH t AS (SELECT conv_id, turn, role, 0 AS batch FROM conversations WHERE turn % 3 = 0 UNION ALL SELECT conv_id, turn, role, 1 FROM conversations WHERE turn % 3 = 1 UNION ALL
+  SELECT conv_id, turn, role, 2 FROM conversations WHERE turn % 3 = 2 UNION ALL SELECT conv_id, turn, role || '!', 3 FROM conversations WHERE conv_id % 4 = 1)
+SELECT CAST(conv_id AS VARCHAR) AS conv_id, arg_max(role, batch * 1000000 + turn) AS role, count(DISTINCT (turn, role)) AS n FROM t GROUP BY conv_id""")
+def folded_log(read, spark):
+    """A log appended to in three steps of many files, and a tail that repeats some of it: folded, each conversation's
+    last row by append order is the same, and repeated rows count once."""
+    turns = read("conversations").select("conv_id", "turn", "role")
+    folder = shared_folder(spark, "log")
+    for k in range(3):
+        logs.append_log(turns.where(F.col("turn") % 3 == k), f"{folder}/history", ["turn", "conv_id"])
+    later = turns.where("conv_id % 4 = 1").withColumn("role", F.concat("role", F.lit("!")))
+    logs.append_log(turns.where("turn % 3 = 1").unionAll(later), f"{folder}/tail", ["turn", "role", "conv_id"])
+    history, tail = (spark.read.parquet(f"{folder}/{name}") for name in ("history", "tail"))
+    # rows of the tail that the history has already are no new events
+    folded = logs.fold_log(history, tail, f"{folder}/folded")
+    log = logs.combined_log(folded, None).withColumn("at", logs.ordinal())
+    return log.groupBy("conv_id").agg(F.max_by("role", "at").alias("role"), F.count("*").alias("n"))
+
+
 @query("SELECT event_id, user_id FROM events ORDER BY ts, event_id LIMIT 25")
 def first_options(read, spark):
     return windows.first_n(read("events").select("event_id", "user_id", "ts"), ["ts", "event_id"], 25).select("event_id", "user_id")

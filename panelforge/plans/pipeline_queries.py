@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as agg
 from ..operators import reshape
 from ..sources import manifests
+from ..sources.shared import shared_folder
 from ..spec import PanelSpec
 from . import pipelines, verification
 from .coverage_queries import _PLACED, placed_orders
@@ -27,21 +28,32 @@ def _inputs(read):
     return scores, universe.drop("o_orderstatus", "o_totalprice"), controls, nulls
 
 
-def _release(read):
-    scores, universe, controls, nulls = _inputs(read)
-    return pipelines.build_release(scores, universe, _SPEC, "state_value", controls, nulls)
+def _release(read, spark, inputs=None):
+    scores, universe, controls, nulls = inputs or _inputs(read)
+    return pipelines.build_release(scores, universe, _SPEC, "state_value", controls, nulls, staging=shared_folder(spark, "release"))
 
 
 @query(f"""WITH {_PLACED} SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(o_orderkey AS VARCHAR) AS unit, r_name AS state, n_name AS district,
   o_orderstatus <> 'P' AS score_available, CASE WHEN o_orderstatus <> 'P' AND o_orderkey % 50 <> 0 THEN o_totalprice END AS price FROM placed""")
 def release_panel(read, spark):
-    return _release(read).panel.select("year", "unit", "state", "district", "score_available", "price")
+    return _release(read, spark).panel.select("year", "unit", "state", "district", "score_available", "price")
 
 
-@query("SELECT 'x' AS rule, 'x' AS key, 'x' AS detail WHERE 1 = 0")
+@query(f"""WITH {_PLACED}, s AS (SELECT CAST(year(o_orderdate) AS VARCHAR) || '|' || o_orderkey AS unit, o_orderkey AS k, o_orderstatus <> 'P' AS scored FROM placed)
+SELECT 'range' AS rule, unit AS key, 'price=-1.0' AS detail FROM s WHERE scored AND k % 50 <> 0 AND k % 331 = 7
+UNION ALL SELECT 'orphan', unit || 'x', '' FROM s WHERE scored AND k % 257 = 3
+UNION ALL SELECT 'reviewed nulls', unit || '|price', 'observed only' FROM s WHERE scored AND k % 150 = 0
+UNION ALL SELECT 'reviewed nulls', unit || '|price', 'configured only' FROM s WHERE scored AND k % 350 = 1 AND k % 50 <> 0""")
 def release_violations(read, spark):
-    """All contracts of the release at once; an empty result is a release that may be written."""
-    return _release(read).violations
+    """All contracts of a release with planted defects: prices out of range, units that the universe lacks, null prices
+    that nobody reviewed, and reviewed nulls that are none."""
+    scores, universe, controls, nulls = _inputs(read)
+    key = F.col("o_orderkey")
+    price = F.when(F.col("price").isNotNull() & (key % 331 == 7), F.lit(-1.0)).otherwise(F.col("price"))
+    strangers = scores.where(key % 257 == 3).withColumn("unit", F.concat("unit", F.lit("x"))).withColumn("price", F.lit(1.0))
+    stale = scores.where((key % 350 == 1) & F.col("price").isNotNull()).select("year", "unit", F.lit("price").alias("measure"))
+    known = nulls.where(F.col("unit").cast("long") % 150 != 0).unionAll(stale)
+    return _release(read, spark, (scores.withColumn("price", price).unionByName(strangers), universe, controls, known)).violations
 
 
 @query(f"""WITH {_PLACED}, s AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(r_regionkey AS VARCHAR) AS state_value, o_orderstatus FROM placed)
@@ -54,29 +66,49 @@ def broken_controls(read, spark):
     touched = controls.where(off).select("year").distinct().withColumn("__off", F.lit(1))
     total = F.col("state_value") == agg.TOTAL
     wrong = controls.join(touched, "year", "left").withColumn("n", F.col("n") + F.when(off | total, F.coalesce("__off", F.lit(0))).otherwise(0)).drop("__off")
-    return pipelines.build_release(scores, universe, _SPEC, "state_value", wrong, nulls).violations.select("rule", "key")
+    return _release(read, spark, (scores, universe, wrong, nulls)).violations.select("rule", "key")
 
 
 @query(f"""WITH {_PLACED} SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(r_regionkey AS VARCHAR) AS state_value, min(r_name) AS state, count(*) AS universe, count(*) FILTER (o_orderstatus <> 'P') AS scored, count(*) FILTER (o_orderstatus = 'P') AS unscored FROM placed GROUP BY 1, 2""")
 def release_coverage(read, spark):
-    return _release(read).state_coverage
+    return _release(read, spark).state_coverage
 
 
-@query("SELECT 'x' AS rule, 'x' AS key, 'x' AS detail WHERE 1 = 0")
+@query(f"""WITH {_PLACED}, s AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, o_orderkey AS k, o_orderstatus <> 'P' AS scored, r_regionkey FROM placed)
+SELECT 'scored without URL' AS rule, year || '|' || k AS key, '' AS detail FROM s WHERE scored AND k % 317 = 5
+UNION ALL SELECT 'unscored with values', year || '|' || k, '' FROM s WHERE NOT scored AND k % 11 = 4
+UNION ALL SELECT 'range', year || '|' || k, 'price=NaN' FROM s WHERE scored AND k % 50 <> 0 AND k % 401 = 9
+UNION ALL SELECT 'audit state coverage', year, d FROM (SELECT DISTINCT year FROM s WHERE r_regionkey = 2), (VALUES ('declared only'), ('recomputed only')) v(d)""")
 def verified_release(read, spark):
-    """A release verifies against its own recomputed audits."""
-    release = _release(read)
-    panel = release.panel.withColumn("url", F.when(F.col("score_available"), F.concat(F.lit("/u/"), "unit")))
+    """A release with planted defects against what it states about itself: URLs missing, values of unscored units, a
+    price that is no number, and audits of one state that are off by one."""
+    release = _release(read, spark)
+    key, scored = F.col("unit").cast("long"), F.col("score_available")
+    price = F.when(scored & F.col("price").isNotNull() & (key % 401 == 9), F.lit(float("nan"))).when(~scored & (key % 11 == 4), F.lit(5.0)).otherwise(F.col("price"))
+    panel = release.panel.withColumns({"url": F.when(scored & (key % 317 != 5), F.concat(F.lit("/u/"), "unit")), "price": price})
+    declared = release.state_coverage.withColumn("universe", F.col("universe") + F.when(F.col("state_value") == "2", 1).otherwise(0))
     _, _, _, nulls = _inputs(read)
-    return pipelines.verify_release(panel, _SPEC, release.coverage, release.state_coverage, nulls, "url")
+    found = pipelines.verify_release(panel, _SPEC, release.coverage, declared, nulls, "url")
+    year = F.when(F.startswith("rule", F.lit("audit")), F.get_json_object("key", "$.year")).otherwise(F.col("key"))
+    return found.withColumn("key", year)
 
 
-@query("""SELECT 'region' AS name, (SELECT count(*) FROM region) AS rows, true AS same UNION ALL SELECT 'nation', (SELECT count(*) FROM nation), true UNION ALL SELECT 'part', (SELECT count(*) FROM part), true""")
+@query("""SELECT name, rows, changed = 0 AS same FROM (
+  SELECT 'orders' AS name, count(*) AS rows, count(*) FILTER (o_orderkey % 1000 = 1) AS changed FROM orders UNION ALL
+  SELECT 'lineitem', count(*), 0 FROM lineitem UNION ALL
+  SELECT 'documents', count(*), count(*) FILTER (doc_id % 97 = 3 AND lang IS NOT NULL) FROM documents UNION ALL
+  SELECT 'events', count(*), count(*) FILTER (event_id < 0) FROM events)""")
 def table_manifest(read, spark):
-    """Row counts and content digests; the digest does not depend on the order or number of files."""
-    names = ("region", "nation", "part")
-    first = manifests.table_manifest({n: read(n) for n in names})
-    second = manifests.table_manifest({n: read(n).repartition(4) for n in names}).select("name", F.col("digest").alias("digest2"))
+    """Row counts, and whether content digests agree: with the rows in other files they must, with a cent added to some
+    prices or with a value moved between columns that are null by turns they must not."""
+    tables = {n: read(n) for n in ("orders", "lineitem", "documents", "events")}
+    moved = F.col("doc_id") % 97 == 3
+    documents = tables["documents"].select("doc_id", "text", F.when(~moved, F.col("lang")).alias("lang"), "source", "n_chars", F.when(moved, F.col("lang")).alias("other"))
+    tables["documents"] = tables["documents"].withColumn("other", F.lit(None).cast("string"))
+    price = F.col("o_totalprice") + F.when(F.col("o_orderkey") % 1000 == 1, 0.01).otherwise(0.0)
+    later = {"orders": tables["orders"].withColumn("o_totalprice", price), "lineitem": tables["lineitem"].repartition(4), "documents": documents, "events": tables["events"].repartition(3)}
+    first = manifests.table_manifest(tables)
+    second = manifests.table_manifest(later).select("name", F.col("digest").alias("digest2"))
     return first.join(second, "name").select("name", "rows", (F.col("digest") == F.col("digest2")).alias("same"))
 
 
@@ -87,27 +119,28 @@ def block_coverage(read, spark):
     return pipelines.block_coverage(read("customer"), log, ["c_nationkey", "c_custkey"], "o_orderkey")
 
 
-@query("""SELECT p_brand AS page, p_partkey AS indicator_id, p_name AS indicator, CASE WHEN p_partkey % 2 = 0 THEN 'Mandatory' ELSE 'Optional' END AS mandatory, CASE WHEN p_partkey % 2 = 0 THEN 'ratio' ELSE 'binary' END AS kind FROM part""")
+@query("""SELECT p_brand || '/' || (p_partkey // 200) AS page, p_partkey AS indicator_id, p_name AS indicator, CASE WHEN p_partkey % 2 = 0 THEN 'Mandatory' ELSE 'Optional' END AS mandatory, CASE WHEN p_partkey % 2 = 0 THEN 'ratio' ELSE 'binary' END AS kind FROM part""")
 def indicator_pages(read, spark):
-    """Indicator pages built from parts, each row twice; the first row of an id counts."""
+    """Indicator pages of a few parts, each row twice; the first row of an id counts."""
     part = read("part")
     label = F.concat("p_name", F.lit(" ["), "p_partkey", F.lit("]"))
     must = F.when(F.col("p_partkey") % 2 == 0, "Mandatory").otherwise("Optional")
     denominator = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("all &amp; <b>any</b> [1]"))).otherwise("")
     cells = F.concat(F.lit("<td>1</td><td>"), must, F.lit("</td><td>"), label, F.lit("</td><td>n</td><td>"), denominator, F.lit("</td>"))
     row = F.concat(F.lit("<tr>"), cells, F.lit("</tr>"))
-    pages = part.groupBy(F.col("p_brand").alias("page")).agg(F.array_join(F.array_sort(F.collect_list(F.concat(row, F.lit("\n"), row))), "\n").alias("html"))
+    pages = part.groupBy(F.concat_ws("/", "p_brand", F.floor(F.col("p_partkey") / 200)).alias("page")).agg(F.array_join(F.array_sort(F.collect_list(F.concat(row, F.lit("\n"), row))), "\n").alias("html"))
     return pipelines.indicators_from_pages(pages, ["page"], "html")[0].select("page", "indicator_id", "indicator", "mandatory", "kind")
 
 
-@query("""SELECT 'not nationwide' AS rule, '2024|' || r_name AS key, '' AS detail FROM region WHERE r_regionkey NOT IN (SELECT n_regionkey FROM nation WHERE n_nationkey % 5 <> 2)
-UNION ALL SELECT 'universe rows', '2024', (SELECT count(*) FROM nation WHERE n_nationkey % 5 <> 2) || '/' || (SELECT count(*) FROM nation) UNION ALL SELECT 'vintage not crawled', '2025', ''""")
+@query(f"""WITH {_PLACED}, c AS (SELECT DISTINCT c_custkey, r_regionkey, r_name FROM placed)
+SELECT 'not nationwide' AS rule, '2024|' || r_name AS key, '' AS detail FROM (SELECT DISTINCT r_name FROM c WHERE r_regionkey = 3)
+UNION ALL SELECT 'universe rows', '2024', (SELECT count(*) FROM c WHERE r_regionkey <> 3) || '/' || (SELECT count(*) FROM c) UNION ALL SELECT 'vintage not crawled', '2025', ''""")
 def universe_provenance(read, spark):
-    """Nations as units of a universe from which a fifth is missing, against the whole crawl."""
-    nations = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.lit("2024").alias("year"), F.col("r_name").alias("state"), "n_nationkey")
-    crawl = nations.groupBy("year").agg(F.count("*").alias("rows"), F.count_distinct("state").alias("groups"))
-    controls = nations.select("year", "state").distinct()
-    return verification.universe_provenance(nations.where("n_nationkey % 5 <> 2"), crawl, controls, controls.where("1 = 0"), ["2024", "2025"], "d", "d")
+    """Customers with orders as units of a universe that lacks a region, against the whole crawl."""
+    units = placed_orders(read).select(F.lit("2024").alias("year"), F.col("r_name").alias("state"), "r_regionkey", "c_custkey").distinct()
+    crawl = units.groupBy("year").agg(F.count("*").alias("rows"), F.count_distinct("state").alias("groups"))
+    controls = units.select("year", "state").distinct()
+    return verification.universe_provenance(units.where("r_regionkey <> 3"), crawl, controls, controls.where("1 = 0"), ["2024", "2025"], "d", "d")
 
 
 @query("""WITH l AS (SELECT l_orderkey AS block_dir, count(*) AS n FROM lineitem GROUP BY 1), s AS (SELECT o_orderkey AS block_dir, CASE WHEN o_orderkey % 40 = 0 THEN n + 1 ELSE n END AS u FROM orders JOIN l ON o_orderkey = block_dir WHERE o_orderkey % 100 <> 7)

@@ -71,10 +71,15 @@ def block_coverage(universe: DataFrame, log: DataFrame, block: list[str], ordina
 
 def build_release(
     scores: DataFrame, universe: DataFrame, spec: PanelSpec, group: str, controls: DataFrame, null_exceptions: DataFrame,
-    exclusions: DataFrame | None = None, count_exceptions: DataFrame | None = None, target: str = "correct_state_value",
+    exclusions: DataFrame | None = None, count_exceptions: DataFrame | None = None, target: str = "correct_state_value", staging: str | None = None,
 ) -> Release:
-    """Universe-left release panel with all its contracts (P1); nothing is written."""
+    """Universe-left release panel with all its contracts.
+
+    With a folder ``staging`` the inputs and the panel are written there once, and every contract, audit and the release
+    itself read them from there; else nothing is written and each computes them anew.
+    """
     scores, dropped = statuses.drop_unvalidated(scores, controls.where(F.col(group) != agg.TOTAL), spec.vintage, group)
+    scores, universe = tables.staged(scores, staging, "scores"), tables.staged(universe, staging, "universe")
     levels = spec.level_ids
     moves = joins.hierarchy_disagreements(scores, universe, spec.key, levels)
     if exclusions is None:
@@ -82,7 +87,7 @@ def build_release(
         disagreements = con.violations(moves, "hierarchy disagreement", F.lit(True), spec.key, F.array_join("differing", ","))
     else:
         corrections, disagreements = joins.reviewed_moves(moves, exclusions, spec.vintage, levels[0], levels[1], target)
-    panel = joins.universe_left(universe, scores, spec.key, list(spec.measures))
+    panel = tables.staged(joins.universe_left(universe, scores, spec.key, list(spec.measures)), staging, "panel")
     folds = corrections.select(spec.vintage, F.col(levels[0]).alias("universe_group"), F.col(f"outcome_{levels[0]}").alias("outcome_group"))
     counts = panel.where("score_available").groupBy(spec.vintage, F.col(group).alias(group)).agg(F.count("*").alias("n"))
     found = con.union(
@@ -109,11 +114,15 @@ def verify_release(panel: DataFrame, spec: PanelSpec, declared_coverage: DataFra
     for m in measures:
         all_null &= m.isNull()
     by_state = agg.coverage_with_label(panel, [spec.vintage, spec.hierarchy[0][0]], spec.hierarchy[0][1], [*spec.level_ids, spec.unit])
+    outside = con.out_of_range(list(spec.measures), *spec.bounds)
+    rows = [
+        ("blank", con.blank_names(spec.key) != "", con.blank_names(spec.key)),
+        ("scored without URL", scored & fn.is_blank(url), ""),
+        ("unscored with values", ~scored & ~(fn.is_blank(url) & all_null), ""),
+        ("range", scored & (outside != ""), outside),
+    ]
     return con.union(
-        con.unique_key(panel, spec.key), con.not_blank(panel, spec.key, spec.key),
-        con.required_when(panel, scored, ~fn.is_blank(url), spec.key, "scored without URL"),
-        con.required_when(panel, ~scored, fn.is_blank(url) & all_null, spec.key, "unscored with values"),
-        score_values(panel, spec, null_exceptions, flag),
+        con.unique_key(panel, spec.key), con.row_rules(panel, spec.key, rows), reviewed_nulls(panel, spec, null_exceptions, flag),
         manifests.audits_differ("coverage", declared_coverage, agg.coverage(panel, [spec.vintage])),
         manifests.audits_differ("state coverage", declared_states, by_state),
     )

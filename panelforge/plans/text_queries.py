@@ -19,22 +19,26 @@ def clean_labels(read, spark):
     return part.select("p_partkey", fn.clean_label("a").alias("cleaned"), fn.label_suffix("b").alias("suffix"), fn.label_with_id("c", "id").alias("named"), fn.label_with_optional_id("d", "id").alias("optional"))
 
 
-@query(r"""SELECT n_nationkey, lower(trim(regexp_replace(n_name, '\s+', ' ', 'g'))) AS folded, regexp_replace(regexp_replace(lower(n_name || ' / ' || n_nationkey), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug,
-  left(regexp_replace(regexp_replace(regexp_replace(n_name || '/a b', '[^A-Za-z0-9_.() -]+', '_', 'g'), '\s+', '_', 'g'), '^[._ ]+|[._ ]+$', '', 'g'), 90) || '__' || n_nationkey AS component FROM nation""")
+@query(r"""SELECT c_custkey, lower(trim(regexp_replace(c_name, '\s+', ' ', 'g'))) AS folded, regexp_replace(regexp_replace(lower(c_name || ' / ' || c_custkey), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug,
+  left(regexp_replace(regexp_replace(regexp_replace(c_name || '/a b', '[^A-Za-z0-9_.() -]+', '_', 'g'), '\s+', '_', 'g'), '^[._ ]+|[._ ]+$', '', 'g'), 90) || '__' || c_custkey AS component FROM customer""")
 def label_forms(read, spark):
-    nation = read("nation")
-    return nation.select(
-        "n_nationkey",
-        fn.normalize_ascii_name(F.concat(F.lit(" \t"), "n_name", F.lit(" "))).alias("folded"),
-        fn.slugify(F.concat_ws(" / ", "n_name", "n_nationkey")).alias("slug"),
-        fn.component_with_code(F.concat("n_name", F.lit("/a b")), "n_nationkey").alias("component"),
+    return read("customer").select(
+        "c_custkey",
+        fn.normalize_ascii_name(F.concat(F.lit(" \t"), "c_name", F.lit(" "))).alias("folded"),
+        fn.slugify(F.concat_ws(" / ", "c_name", "c_custkey")).alias("slug"),
+        fn.component_with_code(F.concat("c_name", F.lit("/a b")), "c_custkey").alias("component"),
     )
 
 
-@query("""SELECT n_nationkey, lower(n_name) || ' ff' AS folded FROM nation""")
+@query("""SELECT p_partkey, lower(p_name) || ' ff' AS folded FROM part""")
 def unicode_names(read, spark):
     """Full-width spaces and ligatures fold by NFKC."""
-    return read("nation").select("n_nationkey", fn.normalize_name(F.concat("n_name", F.lit("　ﬀ "))).alias("folded"))
+    return read("part").select("p_partkey", fn.normalize_name(F.concat("p_name", F.lit("　ﬀ "))).alias("folded"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, round(l_quantity * 100000 / 1048576, 1) AS mb FROM lineitem""")
+def sizes_in_megabytes(read, spark):
+    return read("lineitem").select("l_orderkey", "l_linenumber", fn.megabytes(F.col("l_quantity") * 100000).alias("mb"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN '' WHEN p_partkey % 10 = 1 THEN NULL ELSE regexp_replace(regexp_replace(CAST(CAST(p_retailprice AS DECIMAL(38,18)) AS VARCHAR), '0+$', ''), '\\.$', '') END AS score FROM part""".replace("\\\\", "\\"))
@@ -102,25 +106,25 @@ def json_payload(read, spark):
     return read("events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
 
 
-@query("""SELECT n_regionkey, n_name AS label, CAST(n_nationkey AS VARCHAR) AS id FROM nation WHERE n_nationkey > 0""")
-def hierarchy_payloads(read, spark):
-    """Handler payloads built from the hierarchy, read back into rows; the last row of each is a sentinel."""
-    rows = F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda r: F.array(r["n_nationkey"].cast("string"), r["n_name"]))
+def _payloads(read):
+    """Handler payloads of fifty customers each, whose last row is a sentinel."""
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))), lambda r: F.array((r["c_custkey"] + 1).cast("string"), r["c_name"]))
     sentinel = F.array(F.array(F.lit(None).cast("string"), F.lit(None).cast("string")))
-    made = read("nation").where("n_nationkey > 0").groupBy("n_regionkey").agg(rows.alias("r"))
+    made = read("customer").groupBy(F.floor(F.col("c_custkey") / 50).alias("parent")).agg(rows.alias("r"))
     body = F.to_json(F.struct(F.array(F.lit("id"), F.lit("nm")).alias("columns"), F.concat("r", sentinel).alias("rows")))
-    found, _, _ = reshape.payload_rows(made.select("n_regionkey", body.alias("body")), ["n_regionkey"], "body", "id")
-    return found.select("n_regionkey", "label", "id")
+    return reshape.payload_rows(made.select("parent", body.alias("body")), ["parent"], "body", "id")
 
 
-@query("""SELECT n_regionkey, count(*) AS rows, CAST(1 AS BIGINT) AS sentinels FROM nation GROUP BY n_regionkey""")
+@query("""SELECT c_custkey // 50 AS parent, c_name AS label, CAST(c_custkey + 1 AS VARCHAR) AS id FROM customer""")
+def hierarchy_payloads(read, spark):
+    """Payloads of a hierarchy's level, read back into rows."""
+    return _payloads(read)[0].select("parent", "label", "id")
+
+
+@query("""SELECT c_custkey // 50 AS parent, count(*) AS rows, CAST(1 AS BIGINT) AS sentinels FROM customer GROUP BY 1""")
 def payload_sentinels(read, spark):
-    rows = F.transform(F.collect_list(F.struct("n_nationkey", "n_name")), lambda r: F.array((r["n_nationkey"] + 1).cast("string"), r["n_name"]))
-    sentinel = F.array(F.array(F.lit(None).cast("string"), F.lit(None).cast("string")))
-    made = read("nation").groupBy("n_regionkey").agg(rows.alias("r"))
-    body = F.to_json(F.struct(F.array(F.lit("id"), F.lit("nm")).alias("columns"), F.concat("r", sentinel).alias("rows")))
-    found, sentinels, _ = reshape.payload_rows(made.select("n_regionkey", body.alias("body")), ["n_regionkey"], "body", "id")
-    return found.groupBy("n_regionkey").agg(F.count("*").alias("rows")).join(sentinels, "n_regionkey")
+    found, sentinels, _ = _payloads(read)
+    return found.groupBy("parent").agg(F.count("*").alias("rows")).join(sentinels, "parent")
 
 
 def _legacy_pages(read):
@@ -128,35 +132,36 @@ def _legacy_pages(read):
     cell = F.concat(F.lit("<td><a href='/card?u="), "o_orderkey", F.lit("'>"), "o_orderpriority", F.lit("</a></td><td>"), "o_totalprice", F.lit("<br>"), "o_orderstatus", F.lit("<br/>b1</td><td>"), "o_custkey", F.lit("<div>G</div></td>"))
     rows = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", cell.alias("c")))), lambda r: F.concat(F.lit("<tr class=x>"), r["c"], F.lit("</tr>")))
     header = F.lit("<table id='g'><tr><th>Unit</th><th>Price</th><th>Customer</th></tr>")
-    return read("orders").groupBy((F.col("o_orderkey") % 500).alias("page")).agg(F.concat(header, F.array_join(rows, "\n"), F.lit("</table>")).alias("html"))
+    return read("orders").groupBy(F.floor(F.col("o_orderkey") / 200).alias("page")).agg(F.concat(header, F.array_join(rows, "\n"), F.lit("</table>")).alias("html"))
 
 
-@query("""SELECT o_orderkey % 500 AS page, o_orderpriority AS unit, '/card?u=' || o_orderkey AS link, t AS theme_header, CASE t WHEN 'Price' THEN o_totalprice ELSE o_custkey END AS score,
+@query("""SELECT o_orderkey // 200 AS page, o_orderpriority AS unit, '/card?u=' || o_orderkey AS link, t AS theme_header, CASE t WHEN 'Price' THEN o_totalprice ELSE o_custkey END AS score,
   CASE t WHEN 'Price' THEN o_orderstatus ELSE 'G' END AS grade, CASE t WHEN 'Price' THEN 'b1' ELSE '' END AS band FROM orders, (VALUES ('Price'), ('Customer')) v(t)""")
 def stacked_scores(read, spark):
     found = reshape.stacked_scores(_legacy_pages(read), ["page"], "html")
     return found.select("page", "unit", "link", "theme_header", "score", "grade", "band")
 
 
-@query("""SELECT o_orderkey % 500 AS page, CAST(o_orderkey AS VARCHAR) AS unit, CAST(o_totalprice AS DOUBLE) AS score, o_orderstatus AS grade FROM orders""")
+@query("""SELECT o_orderkey // 200 AS page, CAST(o_orderkey AS VARCHAR) AS unit, CAST(o_totalprice AS DOUBLE) AS score, o_orderstatus AS grade FROM orders""")
 def paired_scores(read, spark):
     cell = F.concat(F.lit("<td>"), "o_orderkey", F.lit("</td><td>"), "o_totalprice", F.lit("</td><td> "), "o_orderstatus", F.lit("</td>"))
     rows = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", cell.alias("c")))), lambda r: F.concat(F.lit("<tr>"), r["c"], F.lit("</tr>")))
-    pages = read("orders").groupBy((F.col("o_orderkey") % 500).alias("page")).agg(F.concat(F.lit("<tr><th>Unit</th><th>Price</th><th>Price-Grade</th></tr>"), F.array_join(rows, "")).alias("html"))
+    pages = read("orders").groupBy(F.floor(F.col("o_orderkey") / 200).alias("page")).agg(F.concat(F.lit("<tr><th>Unit</th><th>Price</th><th>Price-Grade</th></tr>"), F.array_join(rows, "")).alias("html"))
     found = reshape.paired_scores(pages, ["page"], "html", ["Unit"])
     return found.select("page", F.element_at("ids", F.lit("Unit")).alias("unit"), "score", "grade")
 
 
-@query("""SELECT r_regionkey, n_name AS label, CAST(n_nationkey AS VARCHAR) AS value FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey > 0""")
+@query("""SELECT c_custkey // 50 AS page, c_name AS label, CAST(c_custkey + 1 AS VARCHAR) AS value FROM customer""")
 def select_options(read, spark):
-    option = F.concat(F.lit('<option value="'), "n_nationkey", F.lit('">'), "n_name", F.lit("</option>"))
-    pages = read("nation").groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(F.concat(F.lit('<select name="s" id="ddl"><option value="-1">- Select -</option>'), F.array_join(F.array_sort(F.collect_list(option)), ""), F.lit("</select>")).alias("html"))
-    found = reshape.select_options(pages, ["r_regionkey"], "html", "ddl")
-    return statuses.options_kept(found, "label", "value").select("r_regionkey", "label", "value")
+    option = F.concat(F.lit('<option value="'), F.col("c_custkey") + 1, F.lit('">'), "c_name", F.lit("</option>"))
+    listed = F.array_join(F.array_sort(F.collect_list(option)), "")
+    pages = read("customer").groupBy(F.floor(F.col("c_custkey") / 50).alias("page")).agg(F.concat(F.lit('<select name="s" id="ddl"><option value="-1">- Select -</option>'), listed, F.lit("</select>")).alias("html"))
+    found = reshape.select_options(pages, ["page"], "html", "ddl")
+    return statuses.options_kept(found, "label", "value").select("page", "label", "value")
 
 
-@query("""SELECT n_nationkey, n_name FROM nation WHERE n_nationkey > 0 AND contains(lower(n_name), 'n_1') AND n_nationkey < 20""")
+@query("""SELECT c_custkey, c_name FROM customer WHERE c_custkey > 0 AND contains(lower(c_name), 'r#00') AND c_custkey < 700""")
 def options_kept(read, spark):
-    nation = read("nation").withColumn("value", F.col("n_nationkey").cast("string"))
-    kept = statuses.options_kept(nation, "n_name", "value", contains="N_1", values=[str(k) for k in range(20)])
-    return kept.select("n_nationkey", "n_name")
+    customers = read("customer").withColumn("value", F.col("c_custkey").cast("string"))
+    kept = statuses.options_kept(customers, "c_name", "value", contains="R#00", values=[str(k) for k in range(700)])
+    return kept.select("c_custkey", "c_name")

@@ -25,10 +25,16 @@ def typed_csv(spark: SparkSession, path: str, declared: StructType) -> DataFrame
     return df.withColumns({f.name: F.coalesce(f.name, F.lit("")) for f in declared.fields if isinstance(f.dataType, StringType)})
 
 
-def text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV table with every column as a string and nothing null."""
+def text_csv(spark: SparkSession, path: str, place: str | None = None) -> DataFrame:
+    """A CSV table with every column as a string and nothing null; with ``place``, a column that sorts as the rows stand.
+
+    Quoted fields can hold line ends, so a file is read by one task: keep files of tables and logs of moderate size.
+    """
     df = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
-    return df.withColumns({c: F.coalesce(c, F.lit("")) for c in df.columns})
+    out = {c: F.coalesce(c, F.lit("")) for c in df.columns}
+    if place:
+        out[place] = F.concat_ws(":", "_metadata.file_name", F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
+    return df.withColumns(out)
 
 
 def vintages(df: DataFrame, column: str, wanted: list) -> DataFrame:
@@ -71,3 +77,12 @@ def declared(fields: list[tuple[str, str]], required: list[str] | None = None) -
     """A schema from (name, type) pairs; columns in ``required`` are not nullable."""
     kinds = StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in fields))
     return StructType([StructField(f.name, f.dataType, f.name not in (required or [])) for f in kinds.fields])
+
+
+def staged(df: DataFrame, folder: str | None, name: str) -> DataFrame:
+    """``df`` written once under ``folder`` and read back, so that what follows does not compute it again; as it is if
+    there is no folder."""
+    if folder is None:
+        return df
+    df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")

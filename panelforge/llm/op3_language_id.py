@@ -99,7 +99,13 @@ def _long(text: str, buckets: int) -> Iterator[tuple[np.ndarray, bool]]:
         last = c[-2:]
 
 
-def grams(texts: list[str], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def grams(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket of each n-gram, n-grams of each text) over short texts."""
+    whose, found, _ = _short(texts, buckets)
+    return found, np.bincount(whose, minlength=len(texts))
+
+
+def gram_groups(texts: list[str], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(text of each n-gram in ascending order, its bucket, texts with a letter) over groups of bounded size."""
     held, size = [], 0
 
@@ -132,7 +138,7 @@ def count_grams(rows: DataFrame, buckets: int) -> DataFrame:
             names = sorted(set(langs))
             at = {x: k for k, x in enumerate(names)}
             number = np.array([at[x] for x in langs], np.int64)
-            for whose, found, _ in grams(texts, buckets):
+            for whose, found, _ in gram_groups(texts, buckets):
                 used, which = np.unique(number[whose], return_inverse=True)
                 sums = np.bincount(which * buckets + found, minlength=len(used) * buckets).reshape(len(used), buckets)
                 for k, row in zip(used.tolist(), sums):
@@ -155,12 +161,12 @@ class LanguageModel:
         """Language and posterior probability of each text."""
         total = np.zeros((len(texts), max(len(self.langs), 1)), np.int64)
         seen = np.zeros(len(texts), bool)
-        for whose, found, letters in grams(texts, len(self.log_prob)) if self.langs else ():
+        for whose, found, letters in gram_groups(texts, len(self.log_prob)) if self.langs else ():
             if len(whose):
                 starts = np.flatnonzero(np.append(True, whose[1:] != whose[:-1]))
-                total[whose[starts]] += np.add.reduceat(self.log_prob[found], starts, axis=0, dtype=np.int64)
+                total[whose[starts]] += np.add.reduceat(self.log_prob[found], starts, axis=0).astype(np.int64)
             seen[letters] = True
-        total += self.prior if self.langs else 0
+        total += self.prior.astype(np.int64) if self.langs else 0
         best = total.argmax(axis=1)
         share = 1 / np.exp((total - total.max(axis=1, keepdims=True)) / _UNIT).sum(axis=1)
         return [self.langs[b] if s else UNKNOWN for b, s in zip(best, seen)], np.where(seen, share, 0.0)

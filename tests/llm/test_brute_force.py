@@ -141,7 +141,7 @@ def test_language_grams(monkeypatch, piece):
     rng = random.Random(6)
     texts = [*TEXTS, *("".join(rng.choice("ab éΣİ\n1ß.\U00032001") for _ in range(rng.randrange(40))) for _ in range(300))]
     found, lettered = defaultdict(list), set()
-    for whose, grams, seen in op3_language_id.grams(texts, 1 << 12):
+    for whose, grams, seen in op3_language_id.gram_groups(texts, 1 << 12):
         for i, g in zip(whose.tolist(), grams.tolist()):
             found[i].append(g)
         lettered |= set(seen.tolist())

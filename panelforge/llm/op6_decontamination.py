@@ -274,8 +274,8 @@ def contaminations(
     reordered, first_word and last_word (places of the tiles in the document, end exclusive)."""
     found, items = contaminated_texts(docs, benchmark, min_match, threshold, filter_bits, text_col, item_col, item_text_col)
     ids = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("text_key"))
-    ids = ids.join(broadcast_if_small(found.select("text_key").distinct()), "text_key", "left_semi")
-    return ids.join(found, "text_key").join(items, "item").select("doc_id", "item_id", *(x.split()[0] for x in _FOUND.split(", ")))
+    rows = ids.join(broadcast_if_small(found), "text_key").join(items, "item")
+    return rows.select("doc_id", "item_id", *(x.split()[0] for x in _FOUND.split(", ")))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD, text_col: str = "text", filter_bits: tuple[int, int] = FILTER_BITS) -> DataFrame:

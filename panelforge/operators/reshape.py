@@ -31,10 +31,12 @@ def long_to_wide(long: DataFrame, key: list[str], name: str, names: list[str], v
 
 
 def rebuilt_wide(metadata: DataFrame, long: DataFrame, key: list[str], name: str, names: list[str], values: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """A wide table rebuilt from metadata and long rows, and violations for keys that lack some measure."""
+    """A wide table rebuilt from metadata and long rows, and violations for keys that lack a measure or have one twice."""
     wide = long_to_wide(long, key, name, names, values)
     present = long.groupBy(*key).agg(F.count_distinct(F.when(F.col(name).isin(names), F.col(name))).alias("__n"))
     bad = violations(metadata.select(*key).join(present, key, "left"), "measures missing", F.coalesce(F.col("__n"), F.lit(0)) != len(names), key, F.col("__n"))
+    twice = long.where(F.col(name).isin(names)).groupBy(*key, name).agg(F.count("*").alias("__rows"))
+    bad = bad.unionAll(violations(twice, "measure repeated", F.col("__rows") > 1, [*key, name], F.col("__rows")))
     return metadata.join(wide, key, "left"), bad
 
 

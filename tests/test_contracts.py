@@ -83,6 +83,26 @@ def test_state_without_control_is_dropped(spark):
     assert [tuple(r) for r in out.dropped.collect()] == [("2024", "7", 1)]
 
 
+def test_staged_release_is_written_and_read_back(spark, tmp_path):
+    parts = scores(spark, ("100", "9", 1.0, None)), universe(spark, "101", "100"), SPEC, "state_value", controls(spark, 1), nulls(spark, ("100", "b"))
+    plain, staged = pipelines.build_release(*parts), pipelines.build_release(*parts, staging=str(tmp_path / "stage"))
+    assert sorted(map(tuple, plain.panel.collect())) == sorted(map(tuple, staged.panel.select(*plain.panel.columns).collect()))
+    back = pipelines.write_release(staged, str(tmp_path / "release"), staged.panel.schema, ["year", "unit"])
+    assert [r["unit"] for r in back.collect()] == ["100", "101"] and (tmp_path / "stage" / "panel").exists()
+    broken = pipelines.build_release(*parts[:5], nulls(spark), staging=str(tmp_path / "other"))
+    with pytest.raises(con.ContractError, match="reviewed nulls"):
+        pipelines.write_release(broken, str(tmp_path / "never"), broken.panel.schema, ["year", "unit"])
+    assert not (tmp_path / "never").exists()
+
+
+def test_repeated_measure_is_a_violation(spark):
+    from panelforge.operators import reshape
+
+    long = spark.createDataFrame([("1", "a", 1.0), ("1", "a", 2.0), ("1", "b", 3.0)], "k string, slug string, v double")
+    _, bad = reshape.rebuilt_wide(long.select("k").distinct(), long, ["k"], "slug", ["a", "b"], {"score": "v"})
+    assert [(r["rule"], r["key"], r["detail"]) for r in bad.collect()] == [("measure repeated", "1|a", "2")]
+
+
 def test_enforce_reports_every_rule(spark):
     df = spark.createDataFrame([("1", " "), ("1", "x")], "k string, v string")
     with pytest.raises(con.ContractError) as e:

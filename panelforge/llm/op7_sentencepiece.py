@@ -49,7 +49,7 @@ def _segment_pattern(pieces: list[str]) -> re.Pattern:
 class BpeModel:
     """A merge-type vocabulary read through the library, with an encoder and a decoder of its own."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         import sentencepiece
 
         self.library = lib = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -69,8 +69,8 @@ class BpeModel:
             bytes([bytes_of[i]]) if i in bytes_of else b"" if lib.is_control(i) else name.replace(MARK, " ").encode()
             for i, name in enumerate(names)
         ]
-        self.cache = SegmentCache(self.encode_segments, CACHE_ENTRIES)
-        self.word_cache = SegmentCache(self.encode_words, CACHE_ENTRIES)
+        self.cache = SegmentCache(self.encode_segments, entries)
+        self.word_cache = SegmentCache(self.encode_words, entries)
         # for agendas in lock step: symbols as numbers (a character that is no piece gets one above all ids), and
         # every pair of symbols that makes a piece, sorted
         top = len(names)
@@ -216,10 +216,10 @@ class BpeModel:
 _models: dict[str, BpeModel] = {}
 
 
-def model(path: str) -> BpeModel:
-    """The worker's model for ``path``."""
+def model(path: str, entries: int = CACHE_ENTRIES) -> BpeModel:
+    """The worker's model for ``path``; a new one gets caches of so many entries, which change no result."""
     if path not in _models:
-        _models[path] = BpeModel(path)
+        _models[path] = BpeModel(path, entries)
     return _models[path]
 
 
@@ -261,11 +261,14 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return in_batches(rows, batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``decode(encode(docs))`` in one pass, so a task needs one Python worker and the ids cross over once."""
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", entries: int = CACHE_ENTRIES) -> DataFrame:
+    """``decode(encode(docs))`` in one pass, so a task needs one Python worker and the ids cross over once.
+
+    ``entries`` bounds a worker's caches, for executors whose memory other work has taken too.
+    """
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = model(path)
+        bpe = model(path, entries)
         for batch in it:
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts, 2_000_000):

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, in_batches, text_or_empty, written
+from .common import broadcast_if_small, drop_written, fresh, in_batches, text_or_empty, written
 from .components import components
 
 SHINGLE = 5
@@ -90,6 +90,14 @@ def _apart(size_a, size_b, least: float):
     return (1 - least) / (1 + least) * (size_a + size_b) + _EPS
 
 
+def coarse(packed: bytes) -> bytes:
+    """A sketch with at most one class or two for each shingle, for the buckets."""
+    words = np.frombuffer(packed, "<u8")
+    if len(words) <= 2:
+        return packed
+    return np.concatenate([words[:1], folded(words[None, 1:], (len(words) - 1) // 2)[0]]).tobytes()
+
+
 def may_be_similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     """Whether two sketches may belong to similar sets."""
     words = min(len(a), len(b)) - 1
@@ -126,7 +134,7 @@ def fingerprint_of(found: np.ndarray) -> int:
 
 
 def prints(docs: DataFrame, id_col: str, text_col: str, size: int, least: float) -> DataFrame:
-    """(doc_id, text_hash, node, fp, size, sketch, prefix) for every row of ``docs``."""
+    """(doc_id, text_hash, node, fp, size, sketch, coarse, prefix) for every row of ``docs``."""
     held = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text_col, size))
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,12 +145,13 @@ def prints(docs: DataFrame, id_col: str, text_col: str, size: int, least: float)
             ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
             values = np.concatenate(first).view(np.int64) if first else np.zeros(0, np.int64)
             numbers = [pa.array(list(map(f, found)), kind) for f, kind in ((_node, pa.int64()), (fingerprint_of, pa.int64()), (len, pa.int32()))]
-            sketches = pa.array([sketch(x).tobytes() for x in found], pa.binary())
+            fine = [sketch(x).tobytes() for x in found]
+            sketches = [pa.array(fine, pa.binary()), pa.array(list(map(coarse, fine)), pa.binary())]
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *numbers, sketches, lists], ["doc_id", "text_hash", "node", "fp", "size", "sketch", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *numbers, *sketches, lists], ["doc_id", "text_hash", "node", "fp", "size", "sketch", "coarse", "prefix"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).select("doc_id", text_hash("text"), "text")
-    return in_batches(rows, batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, node long, fp long, size int, sketch binary, prefix array<long>")
+    return in_batches(rows, batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, node long, fp long, size int, sketch binary, coarse binary, prefix array<long>")
 
 
 def text_hash(text: str | Column) -> Column:
@@ -199,14 +208,17 @@ def star_pairs(members: DataFrame, least: float) -> DataFrame:
 
 
 def all_pairs(members: DataFrame, sketches: DataFrame, least: float, block: int = BLOCK, few: int | None = None) -> DataFrame:
-    """(u, v): all pairs of a bucket that can be similar, by their sketches too, and are not joined yet; with ``few`` only
-    so many for each two labels of a block."""
+    """(u, v): all pairs of a bucket that can be similar, by their sketches (node, coarse) too, and are not joined yet.
+
+    With ``few`` only so many for each two labels of a block; then a row (token, null) names every bucket of which pairs
+    were left out.
+    """
     sizes = members.groupBy("token").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"))
     open_ = sizes.where("a <> b").select("token", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     rows = members.join(open_, "token").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.join(sketches.withColumnRenamed("fact", "sketch"), "node")
-    rows = rows.select("token", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "size", "place", "label", "sketch")
+    rows = rows.join(sketches, "node")
+    rows = rows.select("token", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "size", "place", "label", "coarse")
     placed = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
 
     def compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,23 +231,27 @@ def all_pairs(members: DataFrame, sketches: DataFrame, least: float, block: int
             columns = [np.concatenate(c) for c in zip(*rest)]
             new = np.any([c[1:] != c[:-1] for c in columns[:3]], axis=0)
             ends = [*(np.flatnonzero(new) + 1), *([len(columns[0])] if batch is None else [])]
-            start, found = 0, []
+            start, found, left = 0, [], []
             for end in ends:
-                found.append(_block_pairs([c[start:end] for c in columns], least, few))
+                pairs, more = _block_pairs([c[start:end] for c in columns], least, few)
+                found.append(pairs)
+                left += [columns[0][start]] if more else []
                 start = end
             rest = [[c[start:] for c in columns]] if start < len(columns[0]) else []
-            out = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["u", "v"])
+            out, left = np.unique(np.concatenate(found), axis=0), np.unique(np.array(left, np.int64))
+            v = pa.concat_arrays([pa.array(out[:, 1]), pa.nulls(len(left), pa.int64())])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([out[:, 0], left])), v], ["u", "v"])
 
     return placed.mapInArrow(compare, "u long, v long").distinct()
 
 
-def _block_pairs(columns: list[np.ndarray], least: float, few: int | None) -> np.ndarray:
+def _block_pairs(columns: list[np.ndarray], least: float, few: int | None) -> tuple[np.ndarray, bool]:
+    """Pairs of a block, and whether some were left out."""
     _, low, high, mine, node, size, place, label, sketches = columns
     a, b = np.flatnonzero(mine == low[0]), np.flatnonzero(mine == high[0])
     found, tables = [np.zeros((0, 2), np.int64)], _Sketches(sketches)
     groups = np.unique(label, return_inverse=True)[1]
-    seen = np.zeros(0, np.int64)
+    seen, more = np.zeros(0, np.int64), False
     for start in range(0, len(a), 256):
         i = a[start : start + 256, None]
         can = (label[i] != label[b]) & _room(size[i], place[i], size[b], place[b], least)
@@ -248,11 +264,11 @@ def _block_pairs(columns: list[np.ndarray], least: float, few: int | None) -> np
         if few is not None:  # the first so many of each two labels, over all of the block
             both = np.minimum(groups[x], groups[y]) * (len(groups) + 1) + np.maximum(groups[x], groups[y])
             keep = _nth(np.concatenate([seen, both]))[len(seen) :] < few
-            seen = np.concatenate([seen, both[keep]])
+            seen, more = np.concatenate([seen, both[keep]]), more or not keep.all()
             x, y = x[keep], y[keep]
         x, y = node[x], node[y]
         found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
-    return np.concatenate(found)
+    return np.concatenate(found), more
 
 
 def _nth(values: np.ndarray) -> np.ndarray:
@@ -298,8 +314,9 @@ def whole_sets(docs: DataFrame, found: DataFrame, nodes: DataFrame, id_col: str,
             sets = [shingles(x, size) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(list(map(_node, sets)), pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["node", "hashes"])
 
-    ids = written(found.select("doc_id", "node").join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("__id")).select("__id").distinct(), "set-ids")
-    rows = docs.join(ids, docs[id_col].eqNullSafe(ids["__id"]), "left_semi").select(text_or_empty(text_col).alias("text"))
+    name = fresh("id")
+    ids = written(found.select("doc_id", "node").join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias(name)).select(name).distinct(), "set-ids")
+    rows = docs.join(broadcast_if_small(ids), F.col(id_col).eqNullSafe(F.col(name)), "left_semi").select(text_or_empty(text_col).alias("text"))
     return in_batches(rows, batches, "node long, hashes binary").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes"))
 
 
@@ -325,8 +342,13 @@ def _similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
 def link_components(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, size: int, least: float, block: int = BLOCK, first: DataFrame | None = None) -> DataFrame:
     """(node, component) for every node that is similar to another; ``first`` (u, v) are pairs to try with the first ones."""
     members = written(buckets(found), "buckets")
-    sketches = written(found.groupBy("node").agg(F.first("sketch").alias("fact")), "sketches")
+    sketches = written(found.groupBy("node").agg(F.first("sketch").alias("fact"), F.first("coarse").alias("coarse")), "sketches")
+    fine, coarse_ones = sketches.select("node", "fact"), sketches.select("node", "coarse")
     kept = [members, sketches]
+
+    def may_be(pairs: DataFrame) -> DataFrame:
+        return _where(pairs, fine, lambda a, b: may_be_similar(a, b, least), "<u8")
+
     links = tried = joined = None
     for turn in ("star", "few", "all"):
         labelled = members.withColumn("label", F.col("node"))
@@ -334,10 +356,14 @@ def link_components(docs: DataFrame, found: DataFrame, id_col: str, text_col: st
             labelled = members.join(joined, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
         if turn == "star":
             pairs = star_pairs(labelled, least)
-            pairs = pairs if first is None else pairs.union(first).distinct()
-            near = _where(pairs, sketches, lambda a, b: may_be_similar(a, b, least), "<u8")
-        else:
-            near = all_pairs(labelled, sketches, least, block, FEW if turn == "few" else None)
+            near = may_be(pairs if first is None else pairs.union(first).distinct())
+        elif turn == "few":
+            tested = written(all_pairs(labelled, coarse_ones, least, block, FEW), "tested")
+            kept.append(tested)
+            near = may_be(tested.where("v is not null"))
+        else:  # buckets of which no pair was left out have been tried in full
+            left_out = broadcast_if_small(tested.where("v is null").select(F.col("u").alias("token")).distinct())
+            near = may_be(all_pairs(labelled.join(left_out, "token", "left_semi"), coarse_ones, least, block))
         near = written(near if tried is None else near.join(tried, ["u", "v"], "left_anti"), "near")
         nodes = near.select(F.explode(F.array("u", "v")).alias("node")).distinct()
         sets = written(whole_sets(docs, found, nodes, id_col, text_col, size), "sets")

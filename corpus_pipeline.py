@@ -14,6 +14,8 @@ from panelforge.llm.common import drop_written, scratch, table, written
 
 #: Documents whose language is less likely than this are rejected.
 MIN_LANGUAGE_SCORE = 0.5
+#: Entries of the encoder's caches in a worker, which has run the other stages before; they change no result.
+ENCODER_CACHE = 100_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document left, with the digests of ids and decoded text."""
-    return op7_sentencepiece.digests(op7_sentencepiece.round_trip(docs, op7_sentencepiece.default_path()), with_ids=True)
+    found = op7_sentencepiece.round_trip(docs, op7_sentencepiece.default_path(), entries=ENCODER_CACHE)
+    return op7_sentencepiece.digests(found, with_ids=True)
 
 
 STAGES = [

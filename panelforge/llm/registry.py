@@ -6,7 +6,8 @@ import importlib
 
 MODULES = (
     "op1_secrets", "op2_quality", "op3_language_id", "op4_toxicity", "op5_exact_dedup", "op6_decontamination",
-    "op7_sentencepiece", "op8_html", "op9_token_files", "op10_simhash", "op11_merkle",
+    "op7_sentencepiece", "op8_html", "op9_token_files", "op10_simhash", "op11_merkle", "op12_packing",
+    "op13_vector_codes",
 )
 
 

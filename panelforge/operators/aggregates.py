@@ -71,9 +71,25 @@ def crosstab(df: DataFrame, rows: list[str], column: str, values: list[str]) ->
 
 
 def level_counts(units: DataFrame, vintage: str, levels: dict[str, list[str]], by: list[str] | None = None) -> DataFrame:
-    """Distinct members of each level (a level is named by all ids above it) for each vintage, or finer by ``by``."""
-    distinct = [F.count_distinct(F.struct(*ids)).alias(name) for name, ids in levels.items()]
-    return units.groupBy(vintage, *(by or [])).agg(*distinct)
+    """Distinct members of each level (a level is named by all ids above it) for each vintage, or finer by ``by``.
+
+    Levels whose ids contain one another, as those of a hierarchy do, are counted from the finest up: rows become
+    distinct members of the finest level once, and each coarser level groups the one below, carrying its counts along.
+    So each level is one shuffle of its own size, and no row is multiplied by the number of levels.
+    """
+    group = [vintage, *(by or [])]
+    chain = sorted(levels, key=lambda name: len(levels[name]), reverse=True)
+    nested = all(set(levels[above]) <= set(levels[below]) for below, above in zip(chain, chain[1:]))
+    if not nested:
+        return units.groupBy(*group).agg(*(F.count_distinct(F.struct(*ids)).alias(name) for name, ids in levels.items()))
+    out, carried = units, []
+    for below, name in zip([None, *chain], chain):
+        keys = list(dict.fromkeys([*group, *levels[name]]))
+        counts = [F.sum(f"n_{c}").alias(f"n_{c}") for c in carried] + ([F.count("*").alias(f"n_{below}")] if below else [])
+        out = out.groupBy(*keys).agg(*counts) if counts else out.select(*keys).distinct()
+        carried += [below] if below else []
+    totals = [F.sum(f"n_{c}").alias(c) for c in carried] + [F.count("*").alias(chain[-1])]
+    return out.groupBy(*group).agg(*totals).select(*group, *levels)
 
 
 def against_published(counts: DataFrame, controls: DataFrame, key: list[str], column: str) -> DataFrame:
@@ -98,27 +114,40 @@ def pages_without_grades(rows: DataFrame, page: list[str], is_theme: Column, gra
     return rows.groupBy(*page).agg(F.count_if(is_theme).alias("themes"), F.count_if(graded).alias("graded")).where("themes > 0 and graded = 0")
 
 
+#: Timestamps are hashed in UTC to the microsecond, whatever the session's time zone.
+_EXACT = {
+    "ignoreNullFields": "false", "timeZone": "UTC", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def row_hash(columns: list[str]) -> Column:
     """SHA-256 of a row with its column names, types' texts and nulls; null, empty and absent values all differ."""
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+    return F.sha2(F.to_json(F.struct(*columns), _EXACT), 256)
+
+
+def hash_sums(hashed: str) -> list[Column]:
+    """Sums of row hashes in four parts of 60 bits: they do not depend on the order of rows, and repeated rows count. They
+    hold for 10^19 rows."""
+    return [F.sum(F.conv(F.substring(hashed, 15 * k + 1, 15), 16, 10).cast("decimal(28,0)")) for k in range(4)]
 
 
-def _summed(hashed: str) -> Column:
-    """A sum of row hashes in parts of 60 bits, so that it does not depend on their order and repeated rows count."""
-    parts = [F.sum(F.conv(F.substring(hashed, 15 * k + 1, 15), 16, 10).cast("decimal(20,0)")) for k in range(4)]
-    return F.concat_ws(":", *(F.coalesce(p, F.lit(0)).cast("string") for p in parts))
+def _digest(hashed: str) -> Column:
+    """The sums as one text; null sums of rows that are there would make it null."""
+    first, *rest = (p.cast("string") for p in hash_sums(hashed))
+    joined = F.concat(first, *(x for p in rest for x in (F.lit(":"), p)))
+    return F.when(F.count("*") == 0, "0:0:0:0").otherwise(joined)
 
 
 def multiset_digest(df: DataFrame) -> DataFrame:
     """One row (n, digest): a digest of the rows as a multiset, whatever their order or files."""
     rows = df.select(row_hash(sorted(df.columns)).alias("__hash"))
-    return rows.agg(F.count("*").alias("n"), _summed("__hash").alias("digest"))
+    return rows.agg(F.count("*").alias("n"), _digest("__hash").alias("digest"))
 
 
 def group_digest(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """A digest of each group's rows as a multiset, without collecting them."""
     rows = df.select(*by, row_hash(columns).alias("__hash"))
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), _summed("__hash").alias("digest"))
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), _digest("__hash").alias("digest"))
 
 
 def block_audit(universe: DataFrame, live: DataFrame, block: list[str], code: str) -> DataFrame:

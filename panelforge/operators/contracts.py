@@ -92,6 +92,17 @@ def schema_differences(actual: StructType, declared: StructType, nullability: bo
     return out or ["columns are in another order"]
 
 
+def schema_violations(df: DataFrame, declared: StructType, exact: bool = True, rule: str = "schema") -> DataFrame:
+    """How the schema of ``df`` differs from the declared one, as violations; if not ``exact``, other columns and another
+    order are tolerated."""
+    if exact:
+        found = schema_differences(df.schema, declared, nullability=False)
+    else:
+        types = dict(df.dtypes)
+        found = [f"missing {f.name}" if f.name not in types else f"{f.name} is {types[f.name]}" for f in declared.fields if types.get(f.name) != f.dataType.simpleString()]
+    return df.sparkSession.createDataFrame([(rule, "", x) for x in found], SCHEMA)
+
+
 def require_schema(df: DataFrame, declared: StructType, nullability: bool = False) -> DataFrame:
     """``df`` if it has exactly the declared schema. Parquet reads are always nullable, so that is compared on request."""
     found = schema_differences(df.schema, declared, nullability)

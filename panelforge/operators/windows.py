@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
+from ..sources.shared import shared_folder
 
 
 def last_rows(log: DataFrame, key: list[str], ordinal: str) -> DataFrame:
@@ -53,6 +54,30 @@ def broken_runs(df: DataFrame, scope: list[str], key: list[str], ordinal: str) -
     return starts.groupBy(*scope, *key).agg(F.sum("__start").cast("long").alias("runs")).where("runs > 1")
 
 
+def broken_stretches(df: DataFrame, key: list[str], ordinal: str, scope: list[str] | None = None) -> DataFrame:
+    """``broken_runs`` for scopes of any size, all of a table included: a segmented scan over range partitions.
+
+    Rows are dealt by ranges of (scope, ordinal) and written with the number of their range, so every later step sees
+    the same ranges. Starts of runs are found inside each range; the first row of a range is no start if it goes on where
+    the last row of the range before ends, which one row for each range tells. Rows of one ordinal must not differ in key.
+    """
+    scope = scope or []
+    order = [*scope, ordinal]
+    rows = df.select(*dict.fromkeys([*scope, *key, ordinal])).repartitionByRange(*order).sortWithinPartitions(*order)
+    folder = shared_folder(df.sparkSession, "ranges")
+    rows.withColumn("__range", F.spark_partition_id()).write.parquet(folder)
+    rows = df.sparkSession.read.parquet(folder)
+    place, value = F.struct(*order), F.struct(*scope, *key)
+    inside = Window.partitionBy("__range").orderBy(*order)
+    starts = rows.withColumn("__start", (~value.eqNullSafe(F.lag(value).over(inside))).cast("long"))
+    edges = rows.groupBy("__range").agg(F.min_by(value, place).alias("__first"), F.max_by(value, place).alias("__last"))
+    before = F.lag("__last").over(Window.orderBy("__range"))  # one row for each range
+    goes_on = edges.withColumn("__before", before).where(F.col("__first").eqNullSafe(F.col("__before")))
+    names = list(dict.fromkeys([*scope, *key]))
+    counted = starts.select(*names, "__start").unionAll(goes_on.select(*(F.col(f"__first.{c}").alias(c) for c in names), F.lit(-1).cast("long").alias("__start")))
+    return counted.groupBy(*names).agg(F.sum("__start").alias("runs")).where("runs > 1")
+
+
 def repeated_pages(pages: DataFrame, scope: list[str], ordinal: str, signature: Column) -> DataFrame:
     """Pages whose signature equals that of the page before."""
     by = Window.partitionBy(*scope).orderBy(ordinal)

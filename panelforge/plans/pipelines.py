@@ -6,9 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import text as fn
 from ..operators import aggregates as agg
+from ..operators import agreement
 from ..operators import contracts as con
 from ..operators import joins, reshape, sets, statuses, windows
 from ..sources import manifests, tables
@@ -44,23 +46,45 @@ def score_values(panel: DataFrame, spec: PanelSpec, exceptions: DataFrame, flag:
     return bad.unionByName(reviewed_nulls(panel, spec, exceptions, flag))
 
 
+def _shortfall(controls: DataFrame, exceptions: DataFrame | None, vintage: str, group: str) -> DataFrame | None:
+    """Reviewed counts of groups, and of the totals, which fall short by what their groups do."""
+    if exceptions is None:
+        return None
+    by_vintage = exceptions.groupBy(vintage).agg(F.sum(F.col("official_count") - F.col("portal_count")).alias("short"))
+    of_total = controls.where(F.col(group) == agg.TOTAL).join(by_vintage, vintage)
+    totals = of_total.select(vintage, group, F.col("n").alias("official_count"), (F.col("n") - F.col("short")).alias("portal_count"))
+    return exceptions.select(vintage, group, "official_count", "portal_count").unionByName(totals)
+
+
+def _control_violations(counts: DataFrame, controls: DataFrame, exceptions: DataFrame | None, vintage: str, group: str) -> DataFrame:
+    """Counts of groups and their totals against controls."""
+    total = counts.groupBy(vintage).agg(F.sum("n").alias("n")).select(vintage, F.lit(agg.TOTAL).alias(group), "n")
+    compared = joins.against_controls(counts.unionAll(total), controls, [vintage, group], _shortfall(controls, exceptions, vintage, group))
+    return con.violations(compared, "control totals", F.col("outcome") != "equal", [vintage, group], F.concat_ws(" ", "outcome", F.col("observed").cast("string"), F.col("expected").cast("string")))
+
+
 def release_coverage(counts: DataFrame, corrections: DataFrame, controls: DataFrame, exceptions: DataFrame | None, vintage: str, group: str) -> DataFrame:
     """Scored units per group against controls, corrections folded back, totals over all groups.
 
     ``counts`` has (vintage, group, n) of groups; ``controls`` also the total, named ``aggregates.TOTAL``.
     """
     folded = agg.fold_back(counts, corrections, vintage, group, "universe_group", "outcome_group")
-    total = folded.groupBy(vintage).agg(F.sum("n").alias("n")).select(vintage, F.lit(agg.TOTAL).alias(group), "n")
-    shortfall = None
-    if exceptions is not None:
-        # the total falls short of its control by what the reviewed exceptions fall short
-        by_vintage = exceptions.groupBy(vintage).agg(F.sum(F.col("official_count") - F.col("portal_count")).alias("short"))
-        of_total = controls.where(F.col(group) == agg.TOTAL).join(by_vintage, vintage)
-        totals = of_total.select(vintage, group, F.col("n").alias("official_count"), (F.col("n") - F.col("short")).alias("portal_count"))
-        shortfall = exceptions.select(vintage, group, "official_count", "portal_count").unionByName(totals)
-    controlled = folded.unionAll(total).join(controls.select(vintage).distinct(), vintage, "left_semi")
-    compared = joins.against_controls(controlled, controls, [vintage, group], shortfall)
-    return con.violations(compared, "control totals", F.col("outcome") != "equal", [vintage, group], F.concat_ws(" ", "outcome", F.col("observed").cast("string"), F.col("expected").cast("string")))
+    controlled = folded.join(controls.select(vintage).distinct(), vintage, "left_semi")
+    return _control_violations(controlled, controls, exceptions, vintage, group)
+
+
+def national_controls(metadata: DataFrame, controls: DataFrame, exceptions: DataFrame | None, vintage: str, group: str) -> DataFrame:
+    """Rows of the consolidated tables against the controls of the vintages that are there.
+
+    Every group with a control must be there with its reviewed or official count; groups without one are tolerated and
+    left out of the total, which falls short by what reviewed exceptions do.
+    """
+    counts = metadata.groupBy(vintage, group).agg(F.count("*").alias("n"))
+    listed = controls.where(F.col(group) != agg.TOTAL).select(vintage, group)
+    present = counts.select(vintage).distinct()
+    wanted = controls.join(present, vintage, "left_semi")
+    reviewed = None if exceptions is None else exceptions.join(present, vintage, "left_semi")
+    return _control_violations(counts.join(listed, [vintage, group], "left_semi"), wanted, reviewed, vintage, group)
 
 
 def block_coverage(universe: DataFrame, log: DataFrame, block: list[str], ordinal: str, status: str = "status") -> DataFrame:
@@ -69,6 +93,12 @@ def block_coverage(universe: DataFrame, log: DataFrame, block: list[str], ordina
     return joins.uncovered(universe, latest.where(F.col(status).isin(statuses.SUCCESS)), block, "block coverage")
 
 
+def _membership(scores: DataFrame, universe: DataFrame, key: list[str]) -> DataFrame:
+    """Keys that occur twice on either side, and scores that the universe lacks: one aggregate."""
+    both = agreement.balance({"universe": universe, "scores": scores}, key)
+    return agreement.broken(both, key, [agreement.unique("universe", "universe key"), agreement.unique("scores", "score key"), agreement.within("scores", "universe")])
+
+
 def build_release(
     scores: DataFrame, universe: DataFrame, spec: PanelSpec, group: str, controls: DataFrame, null_exceptions: DataFrame,
     exclusions: DataFrame | None = None, count_exceptions: DataFrame | None = None, target: str = "correct_state_value", staging: str | None = None,
@@ -91,8 +121,7 @@ def build_release(
     folds = corrections.select(spec.vintage, F.col(levels[0]).alias("universe_group"), F.col(f"outcome_{levels[0]}").alias("outcome_group"))
     counts = panel.where("score_available").groupBy(spec.vintage, F.col(group).alias(group)).agg(F.count("*").alias("n"))
     found = con.union(
-        con.unique_key(universe, spec.key, "universe key"), con.unique_key(scores, spec.key, "score key"),
-        con.not_blank(universe, [*spec.key, *levels], spec.key), joins.orphans(scores, universe, spec.key), disagreements,
+        _membership(scores, universe, spec.key), con.not_blank(universe, [*spec.key, *levels], spec.key), disagreements,
         release_coverage(counts, folds, controls, count_exceptions, spec.vintage, group), score_values(panel, spec, null_exceptions),
         con.functional(universe, [spec.vintage, spec.hierarchy[0][0]], [spec.hierarchy[0][1]], "label of a group"),
     )
@@ -107,44 +136,101 @@ def write_release(release: Release, path: str, schema, key: list[str]) -> DataFr
     return tables.write_checked(release.panel, path, schema, key)
 
 
-def verify_release(panel: DataFrame, spec: PanelSpec, declared_coverage: DataFrame, declared_states: DataFrame, null_exceptions: DataFrame, url: str, flag: str = "score_available") -> DataFrame:
-    """Recompute what a release states about itself (P3, J9): keys, nulls, URLs, audits."""
+def verify_release(
+    panel: DataFrame, spec: PanelSpec, declared_coverage: DataFrame, declared_states: DataFrame, null_exceptions: DataFrame, url: str, flag: str = "score_available",
+    schema: StructType | None = None, vintages: list | None = None, controls: DataFrame | None = None, group: str | None = None,
+    corrections: DataFrame | None = None, count_exceptions: DataFrame | None = None,
+) -> DataFrame:
+    """Recompute what a release states about itself (P3, J9): schema, keys, hierarchy, nulls, URLs, vintages, control
+    totals and audits.
+
+    Every field of the hierarchy, ids and labels, must be there for every unit. A unit without scores has neither values nor
+    a URL, not even an empty one. ``controls`` by ``group`` are those of the release, ``corrections`` (vintage,
+    universe_group, outcome_group) its moved units. Rules that are not asked for are left out.
+    """
     scored, measures = F.col(flag), [F.col(m) for m in spec.measures]
     all_null = F.lit(True)
     for m in measures:
         all_null &= m.isNull()
     by_state = agg.coverage_with_label(panel, [spec.vintage, spec.hierarchy[0][0]], spec.hierarchy[0][1], [*spec.level_ids, spec.unit])
     outside = con.out_of_range(list(spec.measures), *spec.bounds)
+    fields = [*spec.key, *spec.level_ids, *spec.level_labels]
     rows = [
-        ("blank", con.blank_names(spec.key) != "", con.blank_names(spec.key)),
+        ("blank", con.blank_names(fields) != "", con.blank_names(fields)),
         ("scored without URL", scored & fn.is_blank(url), ""),
-        ("unscored with values", ~scored & ~(fn.is_blank(url) & all_null), ""),
+        ("unscored with values", ~scored & ~(F.col(url).isNull() & all_null), ""),
         ("range", scored & (outside != ""), outside),
     ]
-    return con.union(
+    parts = [
         con.unique_key(panel, spec.key), con.row_rules(panel, spec.key, rows), reviewed_nulls(panel, spec, null_exceptions, flag),
         manifests.audits_differ("coverage", declared_coverage, agg.coverage(panel, [spec.vintage])),
         manifests.audits_differ("state coverage", declared_states, by_state),
-    )
+    ]
+    if schema is not None:
+        parts.append(con.schema_violations(panel, schema))
+    if vintages is not None:
+        parts.append(con.violations(agg.missing_vintages(panel, spec.vintage, vintages), "vintages", F.lit(True), [spec.vintage], F.col("side")))
+    if controls is not None:
+        counts = panel.where(scored).groupBy(spec.vintage, group).agg(F.count("*").alias("n"))
+        moved = corrections if corrections is not None else counts.where("false").select(spec.vintage, F.col(group).alias("universe_group"), F.col(group).alias("outcome_group"))
+        parts.append(release_coverage(counts, moved, controls, count_exceptions, spec.vintage, group))
+    return con.union(*parts)
 
 
-def block_contract(metadata: DataFrame, long: DataFrame, wide: DataFrame, key: list[str], slug: str, slugs: list[str], order: str, overall: str, score: str, columns: dict[str, str], exceptions: DataFrame | None = None) -> DataFrame:
-    """Contracts on the rows of all blocks at once (J1): identities, conservation, groups, agreement of long and wide."""
-    counts = agg.table_counts({"metadata": metadata, "long": long, "wide": wide})
+def identity_rules(key: list[str], required: list[str], vintage: str, legacy: object, later: list[str]) -> list[tuple]:
+    """Rules on one metadata row: required fields, and those that every vintage but the ``legacy`` one has to have."""
+    out = [("blank", con.blank_names(required) != "", con.blank_names(required))] if required else []
+    if later:
+        newer = ~F.col(vintage).eqNullSafe(F.lit(legacy))
+        out.append(("identity", newer & (con.blank_names(later) != ""), con.blank_names(later)))
+    return out
+
+
+def _agreement(metadata: DataFrame, long: DataFrame, wide: DataFrame | None, key: list[str], slug: str, slugs: list[str], order: str, overall: str, block: list[str]) -> DataFrame:
+    """Repeated keys, keys that a table lacks, groups and conservation, all from one signed aggregate."""
+    sides = {"metadata": metadata, "long": long} | ({} if wide is None else {"wide": wide})
+    aggregates, group = agreement.members("long", slug, slugs, order, F.col(f"__{slug}") == overall)
+    both = agreement.balance(sides, key, {"long": [slug, order]}, aggregates)
+    rules = [agreement.unique("metadata", "duplicate key"), group, *agreement.same(list(sides))]
+    parts = [agreement.conserved(both, block, "long", "metadata", len(slugs))]
+    if wide is not None:
+        rules.append(agreement.unique("wide", "wide key"))
+        parts.append(agreement.conserved(both, block, "wide", "metadata", rule="wide conservation"))
+    return con.union(agreement.broken(both, key, rules), *parts)
+
+
+def block_contract(
+    metadata: DataFrame, long: DataFrame, wide: DataFrame, key: list[str], slug: str, slugs: list[str], order: str, overall: str, score: str, columns: dict[str, str],
+    exceptions: DataFrame | None = None, block: list[str] | None = None, required: list[str] | None = None, vintage: str = "year", legacy: object = None,
+    later: list[str] | None = None, schemas: dict[str, StructType] | None = None,
+) -> DataFrame:
+    """Contracts on the rows of all blocks at once (J1): schemas, identities, conservation, groups, agreement of long and wide.
+
+    With ``block``, parts of the key, rows are conserved in each block. ``later`` are fields that no vintage but ``legacy``
+    may leave blank, ``schemas`` the columns that metadata, long and wide must have at least.
+    """
     values = long if exceptions is None else long.join(exceptions.select(*key, slug), [*key, slug], "left_anti")
-    return con.union(
-        con.not_blank(metadata, key, key), con.unique_key(metadata, key), con.unique_key(wide, key, "wide key"),
-        con.conserved(counts, "long", "metadata", len(slugs)), con.conserved(counts, "wide", "metadata", rule="wide conservation"),
-        con.group_contract(long, key, slug, slugs, order, F.col(slug) == overall),
-        joins.same_keys(metadata, wide, key), joins.cell_disagreements(long, wide, key, slug, score, columns),
-        con.in_range(values, [score], [*key, slug], nulls=False),
-    )
+    parts = [
+        con.row_rules(metadata, key, identity_rules(key, [*key, *(required or [])], vintage, legacy, later or [])),
+        _agreement(metadata, long, wide, key, slug, slugs, order, overall, block or []),
+        joins.cell_disagreements(long, wide, key, slug, score, columns), con.in_range(values, [score], [*key, slug], nulls=False),
+    ]
+    for name, df in (("metadata", metadata), ("long", long), ("wide", wide)):
+        if name in (schemas or {}):
+            parts.append(con.schema_violations(df, schemas[name], exact=False, rule=f"{name} schema"))
+    return con.union(*parts)
+
 
+def global_contract(
+    metadata: DataFrame, long: DataFrame, key: list[str], slug: str, slugs: list[str], order: str, overall: str, score: str, controls: DataFrame | None = None,
+    vintage: str = "year", group: str = "state", null_exceptions: DataFrame | None = None, wide: DataFrame | None = None, count_exceptions: DataFrame | None = None,
+    legacy: object = None, later: list[str] | None = None, stored: str | None = None, schemas: dict[str, StructType] | None = None,
+) -> DataFrame:
+    """Contracts on the consolidated tables (J2): keys of metadata, long and wide, groups, identities, nulls, ranges, controls.
 
-def global_contract(metadata: DataFrame, long: DataFrame, key: list[str], slug: str, slugs: list[str], order: str, overall: str, score: str, controls: DataFrame | None = None, vintage: str = "year", group: str = "state", null_exceptions: DataFrame | None = None) -> DataFrame:
-    """Contracts on the consolidated tables (J2); groups without a control are tolerated, the total is over controlled ones."""
-    counts = agg.table_counts({"metadata": metadata, "long": long})
-    parts = [con.conserved(counts, "long", "metadata", len(slugs)), con.unique_key(metadata, key), con.group_contract(long, key, slug, slugs, order, F.col(slug) == overall)]
+    ``stored`` names a column of ``long`` with the storage order, in which the rows of a unit must stand together.
+    """
+    parts = [_agreement(metadata, long, wide, key, slug, slugs, order, overall, [])]
     nulls = long.where(F.col(score).isNull()).select(*key, slug)
     if null_exceptions is None:
         parts.append(con.violations(nulls, "null score", F.lit(True), [*key, slug]))
@@ -152,11 +238,15 @@ def global_contract(metadata: DataFrame, long: DataFrame, key: list[str], slug:
         present = metadata.select(*key).distinct()
         parts.append(con.violations(sets.two_sided(nulls, null_exceptions.join(present, key, "left_semi"), [*key, slug]), "reviewed nulls", F.lit(True), [*key, slug], F.col("side")))
     parts.append(con.in_range(long, [score], [*key, slug]))
+    if later:
+        parts.append(con.row_rules(metadata, key, identity_rules(key, [], vintage, legacy, later)))
+    if stored:
+        parts.append(con.violations(windows.broken_stretches(long, key, stored), "rows apart", F.lit(True), key, F.col("runs")))
     if controls is not None:
-        listed = controls.where(F.col(group) != agg.TOTAL)
-        observed = metadata.join(listed.select(vintage, group), [vintage, group], "left_semi")
-        compared = joins.against_controls(agg.counts_with_total(observed, vintage, group), controls, [vintage, group])
-        parts.append(con.violations(compared, "control totals", F.col("outcome") != "equal", [vintage, group], F.col("outcome")))
+        parts.append(national_controls(metadata, controls, count_exceptions, vintage, group))
+    for name, df in (("metadata", metadata), ("long", long), ("wide", wide)):
+        if df is not None and name in (schemas or {}):
+            parts.append(con.schema_violations(df, schemas[name], exact=False, rule=f"{name} schema"))
     return con.union(*parts)
 
 

@@ -52,6 +52,26 @@ def write_sorted(df: DataFrame, path: str, key: list[str | Column], partition_by
     (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
 
 
+def replace_vintages(df: DataFrame, path: str, vintage: str, key: list[str]) -> None:
+    """Write the vintages of ``df`` in place of those that a table of vintages holds; others keep their files.
+
+    Each vintage is a folder. Rows are dealt by ranges of (vintage, key), so a vintage of any size is many tasks.
+    """
+    rows = df.repartitionByRange(vintage, *key).sortWithinPartitions(vintage, *key)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(vintage).parquet(path)
+
+
+def bucketed(df: DataFrame, key: list[str], buckets: int, folder: str, name: str) -> DataFrame:
+    """``df`` written once as a table of ``buckets`` buckets by ``key``, one file each, and read back.
+
+    Tables with the same buckets join and group by this key without a shuffle. ``name`` is the table's in the session's
+    catalog, ``folder`` where its files are.
+    """
+    dealt = df.repartition(buckets, *key).write.bucketBy(buckets, *key).sortBy(*key)
+    dealt.option("path", folder).format("parquet").mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_checked(df: DataFrame, path: str, declared: StructType, key: list[str] | None = None) -> DataFrame:
     """Write with the declared types, read back, and compare schema and the row count seen while writing."""
     spark, seen = df.sparkSession, Observation()

@@ -2,13 +2,15 @@
 
 Words are the lower-cased runs between ASCII punctuation and white space. A seed is a run of ``min_match`` (five) words.
 
-1. Items with the same words are one from here on. Their seeds become a table; a seed that many items hold says little,
-   so every item goes without its commonest ones, but for as many as any contaminated document must share.
+1. Items with the same words are one from here on. Their seeds become a table; a seed that several items hold says
+   little, so every item goes without its commonest ones, as long as the windows of those left out cover too few of its
+   words to make a document contaminated. Tiles lie inside windows of shared seeds, so a contaminated document shares at
+   least one of the others. Items that have an instruction in common meet no document by it.
 2. One scan of the documents hashes their seeds and passes on those that a bit filter of the item seeds knows; the filter
    is broadcast and has a fixed greatest size, beyond which it only passes on more. Equal texts count once.
-3. Seeds passed on are joined with the items' seeds; pairs that share enough of them are candidates. No group is ever
-   gathered: the join and the count are plain Spark operations.
-4. Every candidate pair is tiled. The longest match of unmarked words is found by running Karp-Rabin: windows of a
+3. Seeds passed on are joined with the items' seeds; a pair is a candidate if the windows of the seeds that it shares,
+   with those left out, cover enough words. The places of a pair are gathered, which are no more than an item's words.
+4. Every candidate pair whose shared windows cover enough words is tiled. The longest match of unmarked words is found by running Karp-Rabin: windows of a
    length are hashed on both sides, the length is searched by halving, and all matches of the greatest length are
    compared word by word and marked, until none of ``min_match`` words is left. A text of one repeated word costs no
    more than another. Marked words are used once, so a passage whose parts were reordered still adds up.
@@ -23,13 +25,14 @@ whole. An empty table on either side gives no rows. Other columns never take par
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, fresh, in_batches, table, text_or_empty, written
@@ -130,8 +133,19 @@ def _mark(a, b, free_a, free_b, used_a, used_b, size: int, out: list) -> None:
         left += unlike[::-1]
 
 
+def may_match(item: list[bytes], doc: list[bytes], min_match: int, threshold: float) -> bool:
+    """Whether the windows that both share cover enough of the item's words; tiles lie inside them."""
+    shared = np.isin(seeds_of(item, min_match), seeds_of(doc, min_match))
+    edges = np.zeros(len(item) + 1, np.int64)
+    np.add.at(edges, np.flatnonzero(shared), 1)
+    np.add.at(edges, np.flatnonzero(shared) + min_match, -1)
+    return int((np.cumsum(edges)[:-1] > 0).sum()) >= threshold * len(item) - 1e-9
+
+
 def matched(item: list[bytes], doc: list[bytes], min_match: int = MIN_MATCH, threshold: float = THRESHOLD) -> tuple | None:
     """What ``contaminations`` returns of one pair, from item_words on; nothing if too few words are covered."""
+    if not may_match(item, doc, min_match, threshold):
+        return None
     found = tiles(item, doc, min_match)
     covered = sum(k for *_, k in found)
     if not found or covered < threshold * len(item):
@@ -164,20 +178,43 @@ def item_tables(benchmark: DataFrame, id_col: str, text_col: str, min_match: int
     return found.withColumn("item", F.md5("words"))
 
 
+def left_out(commonness: np.ndarray, n_words: int, min_match: int, threshold: float) -> np.ndarray:
+    """Places of the seeds to leave out: the commonest of those that several items hold, in falling order (then by
+    place), while all windows left out together cover less than ``threshold`` of the words."""
+    free, out = math.ceil(threshold * n_words - 1e-9) - 1, []
+    covered = np.zeros(n_words, bool)
+    for at in np.lexsort((np.arange(len(commonness)), -commonness)).tolist():
+        if commonness[at] < 2:
+            break
+        more = min_match - int(covered[at : at + min_match].sum())
+        if more <= free:
+            free -= more
+            covered[at : at + min_match] = True
+            out.append(at)
+    return np.array(sorted(out), np.int64)
+
+
 def needed_seeds(items: DataFrame, min_match: int, threshold: float) -> DataFrame:
-    """(seed, item, place, need): the seeds to look for, and how many of an item's a contaminated document must share.
+    """(item, n_words, seeds array<struct<place, seed>>, left array): the seeds to look for, and the places of the others."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            found = []
+            for item, seeds in zip(*(c.to_pylist() for c in batch.columns)):
+                seeds.sort(key=lambda x: x["place"])
+                n_words = len(seeds) + min_match - 1
+                left = left_out(np.array([x["n"] for x in seeds]), n_words, min_match, threshold).tolist()
+                out = set(left)
+                found.append((item, n_words, [{"place": x["place"], "seed": x["seed"]} for x in seeds if x["place"] not in out], left))
+            kinds = [pa.string(), pa.int32(), pa.list_(pa.struct([("place", pa.int32()), ("seed", pa.int64())])), pa.list_(pa.int32())]
+            columns = zip(*found) if found else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["item", "n_words", "seeds", "left"])
 
-    Tiles that cover T words of an item share at least T / min_match of its seeds. Half of so many, the commonest ones,
-    are left out, and so many fewer are needed.
-    """
     # items with the same words have the same seeds
-    one = items.groupBy("item").agg(F.first("seeds").alias("seeds"))
-    must = F.ceil(F.ceil((F.size("seeds") + min_match - 1) * threshold - 1e-9) / min_match).cast("int")
-    rows = one.select("item", F.greatest(must, F.lit(1)).alias("must"), F.posexplode("seeds").alias("place", "seed"))
+    rows = items.groupBy("item").agg(F.first("seeds").alias("seeds")).select("item", F.posexplode("seeds").alias("place", "seed"))
     common = rows.groupBy("seed").agg(F.count_distinct("item").alias("n"))
-    ranked = rows.join(common, "seed").withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("n"), "place")))
-    left_out = F.floor(F.col("must") / 2).cast("int")
-    return ranked.where(F.col("rank") > left_out).select("seed", "item", "place", (F.col("must") - left_out).alias("need"))
+    counted = rows.join(common, "seed").groupBy("item").agg(F.collect_list(F.struct("place", "seed", "n")).alias("seeds"))
+    return in_batches(counted, batches, "item string, n_words int, seeds array<struct<place:int,seed:long>>, left array<int>")
 
 
 def _places(seeds: np.ndarray, bits: int, odd: np.uint64) -> np.ndarray:
@@ -254,10 +291,15 @@ def contaminated_texts(
 ) -> tuple[DataFrame, DataFrame]:
     """(text_key, item, ...) for each contaminated pair of distinct texts, and the items (item_id, item)."""
     items = written(item_tables(benchmark, item_col, item_text_col, min_match), "items")
-    seeds = written(needed_seeds(items, min_match, threshold), "seeds")
+    needed = written(needed_seeds(items, min_match, threshold), "seeds")
+    seeds = needed.select("item", F.inline("seeds"))
     hits = shared_seeds(docs, text_col, seed_filter(seeds, filter_bits), min_match)
-    shared = hits.join(seeds, "seed").groupBy("text_key", "item").agg(F.count_distinct("place").alias("n"), F.first("need").alias("need"))
-    pairs = written(shared.where("n >= need").select("text_key", "item"), "pairs")
+    shared = hits.join(seeds, "seed").groupBy("text_key", "item").agg(F.collect_set("place").alias("places"))
+    windows = F.transform(F.concat("places", "left"), lambda p: F.sequence(p, p + (min_match - 1)))
+    covered = F.size(F.array_distinct(F.flatten(windows)))
+    sizes = needed.select("item", "n_words", "left")
+    enough = covered >= F.ceil(F.col("n_words") * threshold - 1e-9)
+    pairs = written(shared.join(sizes, "item").where(enough).select("text_key", "item"), "pairs")
     texts = docs.select(text_key(text_col).alias("text_key"), text_or_empty(text_col).alias("text"))
     wanted = broadcast_if_small(written(pairs.select("text_key").distinct(), "keys"))
     texts = texts.join(wanted, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))

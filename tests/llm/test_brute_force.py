@@ -454,3 +454,28 @@ def test_html_deep_pages(page):
 
 def test_html_entities_once():
     assert op8_html.render(html.escape(html.escape("<b>"))) == html.escape("<b>")
+
+
+def test_shared_preamble_makes_no_candidates(spark, monkeypatch):
+    """Items with an instruction in common: documents with that instruction alone are never tiled."""
+    preamble = " ".join(f"inst{i}" for i in range(60))
+    items = [(i, preamble + " " + " ".join(f"q{i}w{j}" for j in range(30))) for i in range(40)]
+    docs = [(i, preamble + " " + " ".join(f"d{i}w{j}" for j in range(50))) for i in range(40)] + [(99, "so: " + items[7][1])]
+    rows = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    seen = []
+    plain = op6_decontamination._matched_rows
+    monkeypatch.setattr(op6_decontamination, "_matched_rows", lambda rows, *more: (seen.append(rows.count()), plain(rows, *more))[1])
+    found = [(r["doc_id"], r["item_id"]) for r in op6_decontamination.contaminations(*rows).collect()]
+    assert found == [(99, 7)] and seen == [1]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_left_out_seeds_cannot_contaminate(seed):
+    rng = random.Random(seed)
+    n_words = rng.randrange(5, 60)
+    common = np.array([rng.choice([1, 1, 2, 5, 9]) for _ in range(n_words - 4)])
+    left = op6_decontamination.left_out(common, n_words, 5, 0.8)
+    covered = {w for p in left for w in range(p, p + 5)}
+    assert len(covered) < 0.8 * n_words and all(common[p] > 1 for p in left)
+    more = [p for p in np.flatnonzero(common > 1) if p not in left]
+    assert all(len(covered | set(range(p, p + 5))) >= 0.8 * n_words for p in more)

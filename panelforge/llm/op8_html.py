@@ -9,7 +9,7 @@ the text of ``textarea``, ``math``, ``svg`` text elements and the content of ``o
 placeholder) are no text of the page. The layout is kept: block elements start lines, blocks with margins are set apart by
 a blank line, list items carry their mark or number and indent (up to ``MOST_INDENT`` columns, deeper ones stay there),
 table cells with their column and row spans are padded to the widths of their columns (wide East Asian characters count
-two), and white space collapses except in ``pre`` and ``textarea``.
+two; columns that nothing starts in have none) as long as a table stays within ``LAYOUT`` times its text, and white space collapses except in ``pre`` and ``textarea``.
 
 Defined results: null and empty pages give an empty text. Any string gives a text: unknown tags are inline, stray end
 tags and unclosed comments end where a browser's would, and open elements close at the end. Very long and deeply nested
@@ -23,9 +23,10 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,8 @@ _START = re.compile(r"\s*(-?\d{1,9})")
 _SPAN = re.compile(r"\s*(\d{1,5})")
 #: Columns and rows that a cell can span, as in browsers; columns that list items and quotations can be moved in.
 MOST_COLUMNS, MOST_ROWS, MOST_INDENT = 1000, 65534, 64
+#: How many times longer than its text padding may make a table, and the places that columns are padded to beyond that.
+LAYOUT, MOST_WIDTHS = 8, (160, 80, 40, 20, 10, 0)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist audio video canvas".split())
@@ -165,52 +168,87 @@ def _width(text: str) -> int:
     return sum(2 if unicodedata.east_asian_width(c) in "WF" else 0 if unicodedata.combining(c) or unicodedata.category(c) in ("Mn", "Me", "Cf") else 1 for c in text)
 
 
-def _grid(rows: list[tuple[int, list]]) -> list[str]:
-    """Rows of (row group, cells) with every column padded to its widest cell; cells are (columns, rows, lines).
+def _places(rows: list[tuple[int, list]]) -> list[list[tuple[int, int, list[str]]]]:
+    """The cells of each row as (first column, columns, lines): a cell stands in the first columns that are free, and the
+    rows below that it reaches leave them empty.
 
-    A cell stands in the first columns that are free; the rows below it leave its columns empty. A cell over several
-    columns that is wider than they are widens the last of them.
+    Columns taken from above are intervals with the last row that they reach, so a span costs the same however large it is.
     """
-    placed, covered, group = [], {}, None  # covered: columns taken by cells above, with the rows that are left
-    for here, cells in rows:
+    last_row = {}
+    for r, (group, _) in enumerate(rows):
+        last_row[group] = r  # no cell reaches over the end of its row group
+    placed, taken, group, soonest = [], [], None, len(rows)
+    for r, (here, cells) in enumerate(rows):
         if here != group:
-            covered, group = {}, here  # no cell reaches over the end of its row group
-        at, line = 0, []
-        below = {c: n - 1 for c, n in covered.items() if n > 1}
+            taken, group, soonest = [], here, len(rows)
+        elif soonest < r:
+            taken = [x for x in taken if x[2] >= r]
+            soonest = min((x[2] for x in taken), default=len(rows))
+        at, line, more, k = 0, [], [], 0
         for columns, deep, lines in cells:
-            while at in covered:
-                at += 1
-            free = 1
-            while free < columns and at + free not in covered:
-                free += 1
+            while k < len(taken) and taken[k][0] <= at:
+                at = max(at, taken[k][1])
+                k += 1
+            free = min(columns, taken[k][0] - at) if k < len(taken) else columns
             line.append((at, free, lines))
             if deep > 1:
-                below.update(dict.fromkeys(range(at, at + free), deep - 1))
+                more.append((at, at + free, min(r + deep - 1, last_row[here])))
             at += free
         placed.append(line)
-        covered = below
-    widths: dict[int, int] = {}
-    for line in placed:
-        for at, columns, lines in line:
-            if columns == 1:
-                widths[at] = max(widths.get(at, 0), *map(_width, lines), 0)
-    room = lambda at, columns: sum(widths.get(c, 0) for c in range(at, at + columns)) + 2 * (columns - 1)
-    for line in placed:
-        for at, columns, lines in line:
-            if columns > 1 and (more := max([0, *map(_width, lines)]) - room(at, columns)) > 0:
-                widths[at + columns - 1] = widths.get(at + columns - 1, 0) + more
-    ends, total = {}, 0  # where each column starts
-    for c in range(max([0, *(at + columns for line in placed for at, columns, _ in line)])):
-        ends[c] = total
-        total += widths.get(c, 0) + 2
-    out = []
-    for line in placed:
+        if more:
+            merged: list[tuple[int, int, int]] = []
+            for start, stop, until in sorted(more + [x for x in taken if x[2] > r]):
+                if merged and merged[-1][1] == start and merged[-1][2] == until:
+                    start = merged.pop()[0]
+                merged.append((start, stop, until))
+            taken, soonest = merged, min(x[2] for x in merged)
+    return placed
+
+
+def _grid(rows: list[tuple[int, list]]) -> list[str]:
+    """Rows of (row group, cells) with every column padded to its widest cell; cells are (columns, rows, lines).
+
+    A column is one in which some cell starts. A cell over several columns that is wider than they are widens the last of
+    them. Where padding would make the table longer than ``LAYOUT`` times its text, columns are padded to fewer places,
+    and a cell that is wider moves those behind it in its row.
+    """
+    placed = _places(rows)
+    starts = sorted({at for line in placed for at, _, _ in line})
+    number = {c: i for i, c in enumerate(starts)}
+    grid = [[(number[at], bisect_left(starts, at + columns), [(x, _width(x)) for x in lines]) for at, columns, lines in line] for line in placed]
+    widths = np.zeros(len(starts), np.int64)
+    wide = lambda lines: max((w for _, w in lines), default=0)
+    for line in grid:
+        for i, j, lines in line:
+            if j - i == 1:
+                widths[i] = max(widths[i], wide(lines))
+    for line in grid:
+        for i, j, lines in line:
+            if j - i > 1 and (more := wide(lines) - int(widths[i:j].sum()) - 2 * (j - i - 1)) > 0:
+                widths[j - 1] += more
+    content = sum(1 + sum(len(x) - x.count(" ") for x, _ in lines) for line in grid for _, _, lines in line)
+    for most in (None, *MOST_WIDTHS):
+        room = widths if most is None else np.minimum(widths, most)
+        ends = (np.cumsum(room + 2) - room - 2).tolist() if most != 0 else [0] * len(starts)
+        out = _lines(grid, ends, None if most == 0 else LAYOUT * content + 256)
+        if out is not None:
+            return out
+
+
+def _lines(grid: list[list[tuple[int, int, list[tuple[str, int]]]]], ends: list[int], budget: int | None) -> list[str] | None:
+    """The lines of a grid whose columns start at ``ends``; nothing if they are longer than ``budget``."""
+    out, size = [], 0
+    for line in grid:
         for k in range(max([1, *(len(lines) for _, _, lines in line)]) if line else 0):
             text, used = [], 0
-            for at, _, lines in line:
-                if k < len(lines) and lines[k]:
-                    text += [" " * (ends[at] - used), lines[k]]
-                    used = ends[at] + _width(lines[k])
+            for i, _, lines in line:
+                if k < len(lines) and lines[k][0]:
+                    pad = max(ends[i] - used, 2 if text else 0)
+                    text += [" " * pad, lines[k][0]]
+                    used += pad + lines[k][1]
+                    size += pad + len(lines[k][0])
+            if budget is not None and size > budget:
+                return None
             out.append("".join(text).rstrip(" "))
     return out
 

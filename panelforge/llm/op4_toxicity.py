@@ -3,8 +3,8 @@
 1. Training rows are a sample of at most ``max_train`` labelled ids (a documented bound), chosen by a hash of the id,
    with one text each.
 2. The lexicon holds the words, of any length, that toxic training texts have far more often than others
-   (log-likelihood ratio), with varied words before them, so that a passage copied into many toxic texts does not fill
-   it. It holds at most ``max_terms`` terms (a documented bound of the model).
+   (log-likelihood ratio of ``MIN_RATIO`` or more), with varied words before them, so that a passage copied into many
+   toxic texts does not fill it. All words with that evidence are terms; the sample bounds their number.
 3. A word matches a term if the Levenshtein automaton of the word, run along the trie, accepts: no edit for terms up to
    four letters, one up to seven, two beyond. States are bit sets, one for each number of edits.
 4. Every match looks at the words and signs around it: inside quotation marks of its line or near a reporting word it
@@ -13,7 +13,8 @@
 All rows are scored on whole texts. Defined results: null and empty texts have no match and get the score of such
 texts. Several labels of an id count by their mean (toxic from 0.5 on). Of rows that share an id the one with the
 smallest hash of its text trains; each is scored by itself, so repeated rows get equal scores. Without labels of both
-kinds the score is the share of toxic labels, 0 without any. Ties in the lexicon's order go by the word. An empty table
+kinds the score is the share of toxic labels, 0 without any. Of terms that match a word with equally many edits the one with
+the largest weight counts, then the first by its letters. An empty table
 gives no rows. Other columns never take part, whatever their names.
 """
 
@@ -36,13 +37,14 @@ from .op2_quality import label_means
 
 NAME = "op4_toxicity"
 MAX_TRAIN = 20_000
-MAX_TERMS = 400
 MIN_RATIO = 20.0
 #: Different words before a term in toxic training texts, and how many there are in effect (by their shares) at least.
 MIN_BEFORE, MIN_EFFECTIVE = 3, 2.0
 WINDOW = 6
 #: Words of a worker's cache, known to match or not to match.
 CACHE_WORDS = 500_000
+#: Pairs of a word and a term that are compared at a time.
+_PAIRS = 1 << 20
 _WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile("[\"“”„«»\n]")
 #: Words that report speech, and words that address somebody, in the languages served.
@@ -57,20 +59,31 @@ def edits(length: int) -> int:
 
 
 class Lexicon:
-    """Terms with weights in a trie, matched by Levenshtein automata."""
+    """Terms with weights in a trie, matched by Levenshtein automata.
+
+    Only the weights are shipped. The trie is two flat lists, by node: its children by letter, and the term that ends there.
+    """
 
     def __init__(self, weights: dict[str, float]):
         self.weights = weights
-        self.trie: dict = {}
+        self.below: list[dict[str, int]] = [{}]
+        self.term: list[str | None] = [None]
         for term in sorted(weights):
-            node = self.trie
+            node = 0
             for c in term:
-                node = node.setdefault(c, {})
-            node[""] = term
-        terms = sorted(weights)
-        self.letters = self._letters(terms)
-        self.sizes = np.array([len(t) for t in terms], np.int64)
-        self.most = np.array([edits(len(t)) for t in terms], np.int64)
+                if c not in self.below[node]:
+                    self.below[node][c] = len(self.below)
+                    self.below.append({})
+                    self.term.append(None)
+                node = self.below[node][c]
+            self.term[node] = term
+        terms = sorted(weights, key=lambda t: (len(t), t))
+        sizes = np.array([len(t) for t in terms], np.int64)
+        #: Letter sets of the terms of each length.
+        self.by_size = {int(n): np.unique(self._letters([terms[i] for i in np.flatnonzero(sizes == n)])) for n in np.unique(sizes)}
+
+    def __reduce__(self):
+        return Lexicon, (self.weights,)
 
     @staticmethod
     def _letters(words: list[str]) -> np.ndarray:
@@ -84,13 +97,16 @@ class Lexicon:
 
     def close(self, words: list[str]) -> list[str]:
         """The words that can match some term by length and letters: an edit changes the letter set by two at most."""
-        if not len(self.sizes) or not words:
+        if not self.by_size or not words:
             return []
         sizes, letters = np.fromiter(map(len, words), np.int64, len(words)), self._letters(words)
         possible = np.zeros(len(words), bool)
-        for size, most, bits in zip(self.sizes, self.most, self.letters):
-            near = np.flatnonzero(np.abs(sizes - size) <= most)
-            possible[near] |= np.bitwise_count(letters[near] ^ bits) <= 2 * most
+        for size, terms in self.by_size.items():
+            near = np.flatnonzero((np.abs(sizes - size) <= edits(size)) & ~possible)
+            step = max(1, _PAIRS // len(terms))
+            for k in range(0, len(near), step):
+                some = near[k : k + step]
+                possible[some] = (np.bitwise_count(letters[some, None] ^ terms) <= 2 * edits(size)).any(axis=1)
         return [words[i] for i in np.flatnonzero(possible)]
 
     def match(self, word: str) -> tuple[str, int] | None:
@@ -100,19 +116,17 @@ class Lexicon:
         for i, c in enumerate(word):
             place[c] = place.get(c, 0) | 1 << i
         whole, best = (1 << (n + 1)) - 1, None
-        stack = [(self.trie, [(1 << (d + 1)) - 1 & whole for d in range(most + 1)])]
+        stack = [(0, [(1 << (d + 1)) - 1 & whole for d in range(most + 1)])]
         while stack:
             node, states = stack.pop()
-            for c, below in node.items():
-                if c == "":
-                    for d, s in enumerate(states):
-                        if s >> n & 1:
-                            if d <= edits(len(below)):
-                                rank = (d, -self.weights[below], below)
-                                best = rank if best is None or rank < best else best
-                            break
-                    continue
-                here, after, before = place.get(c, 0), [], None
+            term = self.term[node]
+            if term is not None:
+                d = next((d for d, s in enumerate(states) if s >> n & 1), None)
+                if d is not None and d <= edits(len(term)):
+                    rank = (d, -self.weights[term], term)
+                    best = rank if best is None or rank < best else best
+            for c, below in self.below[node].items():
+                here, after = place.get(c, 0), []
                 for d, s in enumerate(states):
                     now = (s & here) << 1
                     if d:
@@ -225,13 +239,13 @@ def lexicon_counts(sample: DataFrame) -> DataFrame:
     return by_before.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"), F.count_if(F.col("toxic") > 0).alias("before"), (share * share).alias("effective"))
 
 
-def learn_lexicon(sample: DataFrame, n: int, n_toxic: int, max_terms: int = MAX_TERMS) -> Lexicon:
+def learn_lexicon(sample: DataFrame, n: int, n_toxic: int) -> Lexicon:
     """The terms of (text, toxic) rows; ``n`` rows of which ``n_toxic`` are toxic."""
     share = n_toxic / n
     a, b = F.col("toxic"), F.col("n") - F.col("toxic")
     ratio = 2 * (a * F.log(a / (F.col("n") * share)) + F.when(b > 0, b * F.log(b / (F.col("n") * (1 - share)))).otherwise(0))
     terms = lexicon_counts(sample).where((a >= 3) & (a / F.col("n") >= 0.8) & (F.col("before") >= MIN_BEFORE) & (F.col("effective") >= MIN_EFFECTIVE))
-    terms = terms.withColumn("ratio", ratio).where(F.col("ratio") >= MIN_RATIO).orderBy(F.desc("ratio"), "word").limit(max_terms).collect()
+    terms = terms.withColumn("ratio", ratio).where(F.col("ratio") >= MIN_RATIO).select("word", "toxic", "n").collect()
     odds = math.log(share / (1 - share))
     return Lexicon({r["word"]: math.log((r["toxic"] + 0.5) / (r["n"] - r["toxic"] + 0.5)) - odds for r in terms})
 

@@ -1,5 +1,6 @@
 """Queries that SQL cannot express against plain versions of the whole computation, and how pieces change nothing."""
 
+import functools
 import html
 import math
 import random
@@ -200,6 +201,7 @@ def test_language_score_does_not_depend_on_the_batch(spark, sf_dir):
 # ---- 4 toxicity
 
 
+@functools.lru_cache(maxsize=None)
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -264,6 +266,77 @@ def test_toxicity_learns_short_terms_not_copied_passages(spark):
     assert "git" in model.lexicon.weights and not {"zebra", "quagga", "okapi"} & set(model.lexicon.weights)
 
 
+def naive_lexicon(rows):
+    """Weights of terms from (text, toxic) rows, with every count taken word by word."""
+    toxic_in, all_in, before = Counter(), Counter(), defaultdict(Counter)
+    for text, toxic in rows:
+        found = re.findall(r"[^\W_]+", text.lower())
+        for w in set(found):
+            at = found.index(w)
+            all_in[w] += 1
+            toxic_in[w] += toxic
+            before[w][found[at - 1] if at else ""] += toxic
+    n, n_toxic = len(rows), sum(t for _, t in rows)
+    share, out = n_toxic / n, {}
+    for w, m in all_in.items():
+        a, b = toxic_in[w], m - toxic_in[w]
+        counts = [c for c in before[w].values() if c]
+        if a < 3 or a / m < 0.8 or len(counts) < 3 or sum(counts) ** 2 / sum(c * c for c in counts) < 2:
+            continue
+        if 2 * (a * math.log(a / (m * share)) + (b * math.log(b / (m * (1 - share))) if b else 0)) >= 20:
+            out[w] = math.log((a + 0.5) / (b + 0.5)) - math.log(share / (1 - share))
+    return out
+
+
+def naive_fit(x, y):
+    """Plain gradient steps with backtracking, then Newton steps by least squares, to the minimum of the penalised loss."""
+    penalty = np.array([1e-2] * 6 + [1e-6])
+    loss = lambda w: np.logaddexp(0, x @ w).sum() - y @ (x @ w) + (penalty * w * w).sum() / 2
+    w = np.zeros(7)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-(x @ w)))
+        slope, root = x.T @ (p - y) + penalty * w, np.sqrt(np.maximum(p * (1 - p), 1e-14))
+        step = np.linalg.lstsq(np.vstack([x * root[:, None], np.diag(np.sqrt(penalty + 1e-9))]).T @ np.vstack([x * root[:, None], np.diag(np.sqrt(penalty + 1e-9))]), slope, rcond=None)[0]
+        size = 1.0
+        while loss(w - size * step) > loss(w) + 1e-12 and size > 1e-9:
+            size /= 2
+        w = w - size * step
+        if np.abs(step).max() < 1e-9:
+            break
+    return w
+
+
+def test_toxicity_query_is_the_plain_one(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] or "" for r in table(spark, sf_dir, "documents").collect()}
+    labels = defaultdict(list)
+    for r in table(spark, sf_dir, "labels").collect():
+        if r["toxic"] is not None and crc(r["doc_id"]) % 5:
+            labels[r["doc_id"]].append(r["toxic"])
+    rows = [(texts[i], int(sum(x) / len(x) >= 0.5)) for i, x in labels.items() if i in texts]
+    weights = naive_lexicon(rows)
+    assert weights
+    fitted = naive_fit(np.array([naive_features(weights, t) for t, _ in rows]), np.array([y for _, y in rows]))
+    found = {r["doc_id"]: r for r in op4_toxicity.query(spark, sf_dir).collect()}
+    assert found.keys() == texts.keys()
+    for i, text in texts.items():
+        wanted = 1 / (1 + math.exp(-max(min(float(np.dot(naive_features(weights, text), fitted)), 30), -30)))
+        assert found[i]["score"] == pytest.approx(wanted, abs=2e-3), i
+        assert found[i]["held_out"] == (crc(i) % 5 == 0) and found[i]["predicted"] == int(found[i]["score"] >= 0.5)
+
+
+def test_toxicity_of_a_very_long_term(spark):
+    term = "abcdefghij" * 2000
+    rows = [(i, f"w{i} {term if i % 3 == 0 else 'plain'} w{i + 1}") for i in range(150)]
+    labels = spark.createDataFrame([(i, float(i % 3 == 0)) for i in range(150)], "doc_id long, label double")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = op4_toxicity.train(docs, labels)
+    assert set(model.lexicon.weights) == {term}
+    odd = spark.createDataFrame([(1, term[:-1]), (2, term[::-1]), (3, "plain")], "doc_id long, text string")
+    scores = {r["doc_id"]: r["score"] for r in op4_toxicity.scored(odd, model).collect()}
+    assert scores[1] > 0.5 > scores[3] == scores[2]
+
+
 def test_toxicity_held_out(spark):
     sf_dir = "/root/testdata/sf0.1"  # the smaller tables hold six held-out toxic documents or fewer
     rows = op4_toxicity.query(spark, sf_dir).join(label_means(table(spark, sf_dir, "labels"), "toxic"), "doc_id").where("held_out").collect()

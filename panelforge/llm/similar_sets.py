@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -166,24 +167,26 @@ def buckets(found: DataFrame) -> DataFrame:
     placed = rows.repartition("token").sortWithinPartitions("token", "node")
 
     def several(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[list[np.ndarray]] = []
-        for batch in itertools.chain(it, [None]):
-            if batch is not None and batch.num_rows:
-                rest.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-                if rest[0][0][0] == rest[-1][0][-1]:
-                    continue  # one bucket so far, and it may go on
-            if not rest or batch is not None and not batch.num_rows:
+        # only the last row stays from batch to batch, however large a bucket is
+        held: list[np.ndarray] | None = None
+        shown = False
+        for batch in it:
+            if not batch.num_rows:
                 continue
-            token, node, packed = (np.concatenate(c) for c in zip(*rest))
-            cut = len(token) if batch is None else int(np.searchsorted(token, token[-1]))
-            rest = [[token[cut:], node[cut:], packed[cut:]]] if cut < len(token) else []
-            token, node, packed = token[:cut], node[:cut], packed[:cut]
-            fresh = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))[: len(token)]
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if held is not None:
+                columns = [np.concatenate([h, c]) for h, c in zip(held, columns)]
+            token, node, packed = columns
+            fresh = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))
             token, node, packed = token[fresh], node[fresh], packed[fresh]
             same = token[1:] == token[:-1]
-            keep = (np.append(same, False) | np.append(False, same))[: len(token)]
-            columns = [token[keep], node[keep], (packed[keep] >> 31).astype(np.int32), (packed[keep] & 0x7FFFFFFF).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["token", "node", "size", "place"])
+            keep = np.append(same, False) | np.append(False, same)
+            last = bool(keep[-1]) or shown and len(token) == 1
+            if held is not None and shown:
+                keep[0] = False  # it went out with the batch before
+            held, shown = [token[-1:], node[-1:], packed[-1:]], last
+            out = [token[keep], node[keep], (packed[keep] >> 31).astype(np.int32), (packed[keep] & 0x7FFFFFFF).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, out)), ["token", "node", "size", "place"])
 
     return placed.mapInArrow(several, "token long, node long, size int, place int")
 
@@ -349,7 +352,8 @@ def link_components(docs: DataFrame, found: DataFrame, id_col: str, text_col: st
     def may_be(pairs: DataFrame) -> DataFrame:
         return _where(pairs, fine, lambda a, b: may_be_similar(a, b, least), "<u8")
 
-    links = tried = joined = None
+    tried = joined = None
+    sets: list[DataFrame] = []  # the whole sets read so far, each once
     for turn in ("star", "few", "all"):
         labelled = members.withColumn("label", F.col("node"))
         if joined is not None:  # what links join already is not compared again
@@ -366,14 +370,17 @@ def link_components(docs: DataFrame, found: DataFrame, id_col: str, text_col: st
             near = may_be(all_pairs(labelled.join(left_out, "token", "left_semi"), coarse_ones, least, block))
         near = written(near if tried is None else near.join(tried, ["u", "v"], "left_anti"), "near")
         nodes = near.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-        sets = written(whole_sets(docs, found, nodes, id_col, text_col, size), "sets")
-        new = written(_where(near, sets.withColumnRenamed("hashes", "fact"), lambda a, b: _similar(a, b, least), "<u8"), "links")
-        drop_written(sets)
-        links, tried = (new, near) if links is None else (links.union(new), tried.union(near))
+        for known in sets:
+            nodes = nodes.join(known, "node", "left_anti")
+        sets.append(written(whole_sets(docs, found, nodes, id_col, text_col, size), "sets"))
+        facts = reduce(DataFrame.union, sets).withColumnRenamed("hashes", "fact")
+        new = written(_where(near, facts, lambda a, b: _similar(a, b, least), "<u8"), "links")
+        tried = near if tried is None else tried.union(near)
         kept += [near, new]
-        if joined is not None:
-            drop_written(joined)
-        joined = components(links)
-    for df in kept:
+        # what earlier links have joined goes on as edges to the smallest node of each part
+        before, joined = joined, components(new if joined is None else new.union(joined.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+        if before is not None:
+            drop_written(before)
+    for df in kept + sets:
         drop_written(df)
     return joined

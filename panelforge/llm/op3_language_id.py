@@ -1,8 +1,9 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Training sums n-gram counts in each task and then in Spark by (language, bucket), over every labelled row. The
-log-probability matrix (buckets x languages) is broadcast; its size is bounded: where a table has so many languages that
-the matrix would pass MATRIX_LIMIT, buckets are halved until it fits. Scoring is a sparse product in numpy: the rows of
+log-probability matrix (buckets x languages) is broadcast; its size is bounded: of so many languages that it would pass
+MATRIX_LIMIT, a block at a time is made, shipped and scored, and each text carries the best sum so far and the mass of all
+others to the next block, so every language has its say and scores stay the same. Scoring is a sparse product in numpy: the rows of
 the matrix that the n-grams of a batch name are gathered and summed for each text. Log-probabilities are whole numbers
 of 2**-20, so sums are exact: they depend neither on the batch that a text stands in nor on how it is cut.
 
@@ -26,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket, in_batches, table, text_or_empty
+from .common import bucket, drop_written, fresh, in_batches, table, text_or_empty, written
 
 NAME = "op3_language_id"
 BUCKETS = 1 << 15
 ALPHA = 0.05
 UNKNOWN = "und"
-#: Most bytes of the broadcast matrix, and the fewest buckets that it may be cut to.
-MATRIX_LIMIT, FEWEST_BUCKETS = 64 << 20, 64
+#: Most bytes of a broadcast matrix, and the most names of languages that the driver holds.
+MATRIX_LIMIT, MOST_LANGUAGES = 64 << 20, 1_000_000
 #: Log-probabilities are multiples of one over this.
 _UNIT = 1 << 20
 #: Characters that are read together; a longer text is read in pieces.
@@ -157,8 +158,8 @@ class LanguageModel:
     log_prob: np.ndarray  # buckets x languages, in units
     prior: np.ndarray  # in units
 
-    def score(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """Language and posterior probability of each text."""
+    def sums(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probabilities of each text and language, and which texts have a letter."""
         total = np.zeros((len(texts), max(len(self.langs), 1)), np.int64)
         seen = np.zeros(len(texts), bool)
         for whose, found, letters in gram_groups(texts, len(self.log_prob)) if self.langs else ():
@@ -167,6 +168,11 @@ class LanguageModel:
                 total[whose[starts]] += np.add.reduceat(self.log_prob[found], starts, axis=0).astype(np.int64)
             seen[letters] = True
         total += self.prior.astype(np.int64) if self.langs else 0
+        return total, seen
+
+    def score(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """Language and posterior probability of each text."""
+        total, seen = self.sums(texts)
         best = total.argmax(axis=1)
         share = 1 / np.exp((total - total.max(axis=1, keepdims=True)) / _UNIT).sum(axis=1)
         return [self.langs[b] if s else UNKNOWN for b, s in zip(best, seen)], np.where(seen, share, 0.0)
@@ -177,22 +183,31 @@ def units(log_prob: np.ndarray) -> np.ndarray:
     return np.rint(log_prob * _UNIT).astype(np.int32)
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS, alpha: float = ALPHA) -> LanguageModel:
-    """Fit on all rows of ``docs`` with a language."""
-    if buckets & (buckets - 1):
-        raise ValueError("buckets must be a power of two")
-    rows = docs.where(F.col(lang_col).isNotNull()).select(text_or_empty(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    most = MATRIX_LIMIT // (4 * FEWEST_BUCKETS)
-    known = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy("lang").limit(most + 1).collect()}
-    if len(known) > most:
-        raise ValueError(f"more than {most} languages exceed the broadcast limit")
-    while buckets > FEWEST_BUCKETS and len(known) * buckets * 4 > MATRIX_LIMIT:
-        buckets //= 2
-    langs = sorted(known)
+@dataclass
+class LanguageBlocks:
+    """A model of more languages than one matrix holds: ``block(k)`` makes the matrix of the k-th stretch of names."""
+
+    counts: DataFrame  # lang, bucket, n
+    known: dict[str, int]
+    buckets: int
+    alpha: float
+    per_block: int
+
+    def __len__(self) -> int:
+        return -(-len(self.known) // self.per_block)
+
+    def block(self, k: int) -> LanguageModel:
+        langs = sorted(self.known)[k * self.per_block : (k + 1) * self.per_block]
+        rows = self.counts.where(F.col("lang").between(langs[0], langs[-1])) if langs else self.counts
+        return _model(rows, langs, self.known, self.buckets, self.alpha)
+
+
+def _model(counted: DataFrame, langs: list[str], known: dict[str, int], buckets: int, alpha: float) -> LanguageModel:
+    """The model of ``langs``, whose counts are in ``counted``."""
     at = {name: i for i, name in enumerate(langs)}
     counts = np.zeros((buckets, len(langs)))
     if langs:
-        sums = count_grams(rows, buckets).toArrow()  # at most buckets x languages rows, checked above
+        sums = counted.toArrow()  # at most buckets x languages rows, as many as a matrix may have
         column = np.array([at[x] for x in sums["lang"].to_pylist()], np.int64)
         counts[sums["bucket"].to_numpy(), column] = sums["n"].to_numpy()
     log_prob = np.log(counts + alpha) - np.log(counts.sum(axis=0) + alpha * buckets)
@@ -200,8 +215,59 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", bucke
     return LanguageModel(langs, np.ascontiguousarray(units(log_prob)), units(np.log(np.array([known[x] / total for x in langs]))))
 
 
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS, alpha: float = ALPHA) -> LanguageModel | LanguageBlocks:
+    """Fit on all rows of ``docs`` with a language."""
+    if buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two")
+    rows = docs.where(F.col(lang_col).isNotNull()).select(text_or_empty(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    known = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()}
+    if len(known) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} values of {lang_col}: that is no column of languages")
+    per_block = max(MATRIX_LIMIT // (4 * buckets), 1)
+    if len(known) > per_block:
+        return LanguageBlocks(written(count_grams(rows, buckets), "gram-counts"), known, buckets, alpha, per_block)
+    return _model(count_grams(rows, buckets), sorted(known), known, buckets, alpha)
+
+
+def _by_blocks(docs: DataFrame, model: LanguageBlocks, text_col: str) -> tuple[DataFrame, str, str]:
+    """``docs`` with the best language of all blocks and its score in new columns, and the names of these.
+
+    One scan for each block, which hands its rows on in a table, so a task never holds more than one matrix.
+    """
+    best_, lang_, mass_ = fresh("best"), fresh("lang"), fresh("mass")
+    rows = docs.withColumns({best_: F.lit(None).cast("long"), lang_: F.lit(None).cast("string"), mass_: F.lit(0.0)})
+    for k in range(len(model)):
+        held = docs.sparkSession.sparkContext.broadcast(model.block(k))
+
+        def batches(it: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            for batch in it:
+                block = held.value
+                total, seen = block.sums([x or "" for x in batch.column(text_col).to_pylist()])
+                own = total.max(axis=1)
+                before = batch.column(best_)
+                new_ = np.asarray(before.is_null())
+                old = np.where(new_, own, before.fill_null(0).to_numpy(zero_copy_only=False))
+                best = np.maximum(old, own)
+                mass = batch.column(mass_).to_numpy() * np.exp((old - best) / _UNIT) + np.exp((total - best[:, None]) / _UNIT).sum(axis=1)
+                at, names = total.argmax(axis=1), batch.column(lang_).to_pylist()
+                langs = [(block.langs[a] if f or o < w else n) if s else UNKNOWN for a, f, o, w, n, s in zip(at, new_, old, own, names, seen)]
+                mass = np.where(seen, mass, np.inf)
+                columns = {best_: pa.array(best), lang_: pa.array(langs, pa.string()), mass_: pa.array(mass)}
+                yield pa.RecordBatch.from_arrays([columns.get(n, c) for n, c in zip(batch.schema.names, batch.columns)], batch.schema.names)
+
+        after = written(in_batches(rows, batches, rows.schema), "languages")
+        held.destroy()
+        drop_written(rows)
+        rows = after
+    return rows.withColumn(mass_, 1 / F.col(mass_)).drop(best_), lang_, mass_
+
+
+def identify(docs: DataFrame, model: LanguageModel | LanguageBlocks, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    if isinstance(model, LanguageBlocks):
+        found, lang, score = _by_blocks(rows, model, "text")
+        return found.select("doc_id", F.col(lang).alias("lang_pred"), F.col(score).alias("score"))
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,12 +275,14 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
             names, score = held.value.score(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     return in_batches(rows, batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float, text_col: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, model: LanguageModel | LanguageBlocks, min_score: float, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text gets a learned language with ``min_score`` or more, with all their columns."""
+    if isinstance(model, LanguageBlocks):
+        found, lang, score = _by_blocks(docs, model, text_col)
+        return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= min_score)).drop(lang, score)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

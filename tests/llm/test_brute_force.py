@@ -181,12 +181,26 @@ def test_language_of_rare_letters_and_many_languages(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = op3_language_id.train(docs)
     assert model.score(["\U00032001"])[0][0] != "und" and len(model.langs) == 40
-    limit = op3_language_id.MATRIX_LIMIT
-    op3_language_id.MATRIX_LIMIT = 40 * 4 * 256
-    try:
-        assert len(op3_language_id.train(docs).log_prob) == 256
-    finally:
-        op3_language_id.MATRIX_LIMIT = limit
+
+
+def test_languages_in_blocks_score_as_in_one(spark, monkeypatch):
+    rng = random.Random(9)
+    words = {k: [f"w{chr(97 + rng.randrange(26))}{chr(97 + k % 26)}{chr(97 + rng.randrange(26))}" for _ in range(8)] for k in range(30)}
+    rows = [(i, " ".join(rng.choices(words[i % 30], k=12)), f"l{i % 30:02}", "x", 1.0) for i in range(240)]
+    rows += [(900, None, None, "x", 1.0), (901, "12 34", None, "x", 1.0), (902, rows[0][1], None, "x", 1.0), (902, rows[0][1], None, "x", 1.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, best string, mass double")
+    whole = op3_language_id.train(docs, buckets=1 << 10)
+    wanted = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in op3_language_id.identify(docs, whole).collect())
+    kept = sorted(map(tuple, op3_language_id.keep_identified(docs, whole, 0.5).collect()))
+    monkeypatch.setattr(op3_language_id, "MATRIX_LIMIT", 7 * 4 << 10)
+    blocks = op3_language_id.train(docs, buckets=1 << 10)
+    assert len(blocks) == 5
+    assert sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in op3_language_id.identify(docs, blocks).collect()) == wanted
+    found = op3_language_id.keep_identified(docs, blocks, 0.5)
+    assert found.columns == docs.columns and sorted(map(tuple, found.collect())) == kept
+    monkeypatch.setattr(op3_language_id, "MOST_LANGUAGES", 10)
+    with pytest.raises(ValueError, match="no column of languages"):
+        op3_language_id.train(docs)
 
 
 def test_language_score_does_not_depend_on_the_batch(spark, sf_dir):

@@ -127,16 +127,6 @@ def test_language_odd(docs, odd, empty):
     assert op3_language_id.identify(empty, model).count() == 0
 
 
-def test_language_pieces_do_not_change_counts(monkeypatch):
-    text = "Der schnelle braune Fuchs " * 50
-    whole = op3_language_id.grams([text], 1 << 12)[0]
-    monkeypatch.setattr(op3_language_id, "_PIECE", 10**9)
-    model = op3_language_id.LanguageModel(["a", "b"], np.random.default_rng(0).normal(size=(1 << 12, 2)), np.zeros(2))
-    one = model.score([text])
-    monkeypatch.setattr(op3_language_id, "_PIECE", 97)
-    assert len(whole) and model.score([text])[0] == one[0]
-
-
 def test_toxicity_accuracy(spark, sf_dir):
     found = op4_toxicity.query(spark, "/root/testdata/sf0.01").join(table(spark, "/root/testdata/sf0.01", "labels"), "doc_id").where("held_out").collect()
     assert np.mean([r["predicted"] == r["toxic"] for r in found]) >= 0.9

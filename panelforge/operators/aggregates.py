@@ -150,21 +150,39 @@ def group_digest(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n"), _digest("__hash").alias("digest"))
 
 
+def block_differences(universe: DataFrame, live: DataFrame, block: list[str], code: str) -> DataFrame:
+    """For each block: rows with a code on either side (n_universe, n_live), and arrays of the codes that only one side
+    has, null for blocks that do not differ.
+
+    In two phases. First each block's codes are summed up by hash, those of one side counted against those of the other:
+    that is one row for each block and task. Only blocks whose sums or counts differ are looked at code by code, so no code
+    of an equal block is shuffled or collected. Two 64-bit sums that agree by chance would hide a difference.
+    """
+    sides = universe.select(*block, F.col(code).cast("string").alias("__code"), F.lit(1).alias("__side"))
+    sides = sides.unionAll(live.select(*block, F.col(code).cast("string").alias("__code"), F.lit(-1).alias("__side")))
+    there = F.col("__code").isNotNull()
+    signed = [F.sum(F.when(there, F.col("__side") * F.xxhash64("__code", F.lit(k)).cast("decimal(28,0)")).otherwise(0)).alias(f"__h{k}") for k in range(2)]
+    counts = [F.count_if(there & (F.col("__side") == sign)).alias(name) for name, sign in (("n_universe", 1), ("n_live", -1))]
+    sums = sides.groupBy(*block).agg(*counts, *signed)
+    differing = sums.where((F.col("n_universe") != F.col("n_live")) | (F.col("__h0") != 0) | (F.col("__h1") != 0))
+    rows = sides.where(there).join(differing.select(*block), block, "left_semi")
+    only = rows.groupBy(*block, "__code").agg(F.min("__side").alias("low"), F.max("__side").alias("high")).where("low = high")
+    lists = [F.array_sort(F.collect_list(F.when(F.col("low") == sign, F.col("__code")))).alias(name) for name, sign in (("missing", 1), ("unexpected", -1))]
+    return sums.drop("__h0", "__h1").join(only.groupBy(*block).agg(*lists), block, "left")
+
+
 def block_audit(universe: DataFrame, live: DataFrame, block: list[str], code: str) -> DataFrame:
-    """For each block: universe and live counts, their difference, and ';'-joined missing and unexpected codes."""
+    """For each block: universe and live counts of different codes, their difference, and ';'-joined missing and unexpected
+    codes, which are collected for blocks that differ only."""
     sides = universe.select(*block, code, F.lit(1).alias("side")).unionAll(live.select(*block, code, F.lit(2).alias("side")))
     both = sides.groupBy(*block, code).agg(F.max((F.col("side") == 1).cast("int")).alias("u"), F.max((F.col("side") == 2).cast("int")).alias("l"))
+    counts = both.groupBy(*block).agg(F.sum("u").cast("long").alias("universe"), F.sum("l").cast("long").alias("live"), (F.sum("l") - F.sum("u")).cast("long").alias("delta"))
 
     def codes(condition: Column) -> Column:
         return F.array_join(F.array_sort(F.collect_list(F.when(condition, F.col(code).cast("string")))), ";")
 
-    return both.groupBy(*block).agg(
-        F.sum("u").cast("long").alias("universe"),
-        F.sum("l").cast("long").alias("live"),
-        (F.sum("l") - F.sum("u")).cast("long").alias("delta"),
-        codes((F.col("u") == 1) & (F.col("l") == 0)).alias("missing"),
-        codes((F.col("u") == 0) & (F.col("l") == 1)).alias("unexpected"),
-    )
+    lists = both.where("u <> l").groupBy(*block).agg(codes(F.col("u") == 1).alias("missing"), codes(F.col("l") == 1).alias("unexpected"))
+    return counts.join(lists, block, "left").na.fill("", ["missing", "unexpected"])
 
 
 def missing_vintages(df: DataFrame, vintage: str, required: list) -> DataFrame:

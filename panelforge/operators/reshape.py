@@ -152,3 +152,25 @@ def payload_rows(payloads: DataFrame, place: list[str], body: str, id_column: st
     bad = violations(out, "payload row", (F.col("__width") != 2) | F.col("id").isNull() | F.col("label").isNull(), [*place, "position"])
     twice = violations(out.where("id is not null").groupBy(*place, "id").agg(F.count("*").alias("n")), "duplicate id", F.col("n") > 1, [*place, "id"])
     return out.drop("__width"), sentinels, shape.unionByName(bad).unionByName(twice)
+
+
+def variant_rows(payloads: DataFrame, place: list[str], body: str, fields: dict[str, tuple[str, str]], known: list[str]) -> DataFrame:
+    """Fields of JSON payloads by path and type, read as variants, and what is wrong with each payload.
+
+    ``fields`` maps columns to (path, type). Every payload stays a row, with the whole value in ``payload``; ``problem`` is
+    'unreadable' where it is no JSON, names fields whose value is not of their type, or top-level fields beyond ``known``,
+    and is null if there is nothing to say.
+    """
+    df = payloads.withColumn("payload", F.try_parse_json(body))
+    whole = F.try_variant_get("payload", "$", "map<string,variant>")
+    columns, wrong = [], []
+    for name, (path, kind) in fields.items():
+        value = F.try_variant_get("payload", path, kind)
+        columns.append(value.alias(name))
+        there = F.try_variant_get("payload", path, "variant").isNotNull() & ~F.is_variant_null(F.try_variant_get("payload", path, "variant"))
+        wrong.append(F.when(there & value.isNull(), F.lit(f"{name} is no {'number' if kind in ('int', 'long', 'double') else kind}")))
+    extra = F.array_join(F.array_sort(F.array_except(F.map_keys(whole), F.array(*map(F.lit, known)))), ",")
+    wrong.append(F.when(extra != "", F.concat(F.lit("extra: "), extra)))
+    said = F.array_join(F.array_compact(F.array(*wrong)), "; ")
+    problem = F.when(F.col("payload").isNull(), "unreadable").when(said != "", said)
+    return df.select(*place, *columns, "payload", problem.alias("problem"))

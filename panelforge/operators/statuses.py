@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from .aggregates import block_differences
 from .contracts import violations
 
 # Statuses by vocabulary.
@@ -106,22 +107,19 @@ def unit_verdicts(universe: DataFrame, scores: DataFrame, block: list[str], code
 
     ``allowed`` (block, codes array) holds reviewed missing units; ``subset_blocks`` (block) the blocks of groups that
     may be scored in part; ``confirmed`` (block) those whose empty result was confirmed. Gives block, missing,
-    unexpected, verdict; a verdict that starts with "error" is a violation. A block is bounded by its hierarchy, so
-    its codes may be an array.
+    unexpected, verdict; a verdict that starts with "error" is a violation. Codes are compared by sums of hashes, and
+    looked at one by one for blocks that differ only; of these the codes of one side alone are an array.
     """
-    def codes(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*block).agg(F.array_sort(F.collect_set(code)).alias(name))
-
     none = F.array().cast("array<string>")
-    joined = codes(universe, "__u").join(codes(scores, "__s"), block, "full_outer")
+    joined = block_differences(universe, scores, block, code)
     joined = joined.join(allowed.select(*block, F.col("codes").alias("__a")), block, "left")
     joined = joined.join(subset_blocks.select(*block).distinct().withColumn("__subset", F.lit(True)), block, "left")
     if confirmed is not None:
         joined = joined.join(confirmed.select(*block).distinct().withColumn("__confirmed", F.lit(True)), block, "left")
     else:
         joined = joined.withColumn("__confirmed", F.lit(False))
-    u, s, a = (F.coalesce(c, none) for c in ("__u", "__s", "__a"))
-    joined = joined.withColumns({"missing": F.array_sort(F.array_except(u, s)), "unexpected": F.array_sort(F.array_except(s, u)), "__a": F.array_sort(F.array_distinct(a)), "__empty": F.size(s) == 0})
+    missing, unexpected, reviewed = (F.coalesce(c, none) for c in ("missing", "unexpected", "__a"))
+    joined = joined.withColumns({"missing": missing, "unexpected": unexpected, "__a": F.array_sort(F.array_distinct(reviewed)), "__empty": F.col("n_live") == 0})
     some, differs = F.size("missing") > 0, F.col("missing") != F.col("__a")
     subset = F.coalesce("__subset", F.lit(False)) & some & differs
     verdict = (

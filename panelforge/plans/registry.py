@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules whose functions register themselves with ``query``.
-MODULES = ("coverage_queries", "identity_queries", "log_queries", "text_queries", "pipeline_queries", "contract_queries", "scale_queries")
+MODULES = ("coverage_queries", "identity_queries", "log_queries", "text_queries", "pipeline_queries", "contract_queries", "scale_queries", "bundle_queries", "provenance_queries")
 _queries: dict[str, Callable] = {}
 _sql: dict[str, str] = {}
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
-from ..operators import reshape, statuses, windows
+from ..operators import pages, reshape, statuses, windows
 from .registry import query
 
 
@@ -165,3 +165,15 @@ def options_kept(read, spark):
     customers = read("customer").withColumn("value", F.col("c_custkey").cast("string"))
     kept = statuses.options_kept(customers, "c_name", "value", contains="R#00", values=[str(k) for k in range(700)])
     return kept.select("c_custkey", "c_name")
+
+
+@query("""WITH p AS (SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part)
+SELECT p_partkey, 0 AS "table", CAST(NULL AS INTEGER) AS parent_column, 0 AS "row", 0 AS "column", p_name AS text, '/p/' || p_partkey AS href FROM p
+UNION ALL SELECT p_partkey, 0, NULL, 0, 1, 'before' || chr(10) || p_type, NULL FROM p
+UNION ALL SELECT p_partkey, 1, 1, 0, 0, p_brand, NULL FROM p UNION ALL SELECT p_partkey, 1, 1, 1, 0, '<' || p_size || '>', NULL FROM p""")
+def nested_tables(read, spark):
+    """Pages with a table inside a cell of another, end tags left out: each cell has its own text only."""
+    inner = F.concat(F.lit("<table><tr><td>"), "p_brand", F.lit("<tr><td>&lt;"), F.col("p_size").cast("string"), F.lit("&gt;</table>"))
+    page = F.concat(F.lit('<TABLE class="a>b"><tr><td><a href="/p/'), F.col("p_partkey").cast("string"), F.lit('">'), "p_name", F.lit("</a></td><td colspan=2> before "), inner, F.lit("  "), "p_type", F.lit("</td></tr></TABLE>"))
+    cells = pages.table_cells(read("part").select("p_partkey", page.alias("html")), ["p_partkey"], "html")
+    return cells.select("p_partkey", "table", "parent_column", "row", "column", "text", "href")

@@ -7,7 +7,6 @@ files likewise. The column names ``src_rank``, ``line`` and ``log_line`` are tak
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -87,12 +86,17 @@ def ordinal() -> Column:
 def append_log(df: DataFrame, path: str, order: list[str] | None = None) -> None:
     """Append rows to a Parquet log, behind all that it holds, in the order of ``order``, or of the rows of ``df``.
 
-    One writer at a time may append.
+    One writer at a time may append; ``commits`` has logs for several. A log whose files do not store their order cannot be
+    added to, since nothing would tell which rows are later: fold it first.
     """
-    try:
-        before = df.sparkSession.read.parquet(path).agg(F.max(STORED)).first()[0]
-    except AnalysisException:  # no log there yet
-        before = None
+    spark, before = df.sparkSession, None
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(place) and any(s.getPath().getName().endswith(".parquet") for s in fs.listStatus(place)):
+        log = spark.read.option("mergeSchema", True).parquet(path)
+        n, stored, before = log.agg(F.count("*"), F.count(STORED), F.max(STORED)).first() if STORED in log.columns else (1, 0, None)
+        if stored < n:
+            raise ContractError([("log without its order", n - stored, [path])])
     rows = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
     line = F.monotonically_increasing_id() + F.lit(0 if before is None else before + 1)
     rows.withColumn(STORED, line).write.mode("append").parquet(path)

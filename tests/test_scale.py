@@ -214,3 +214,24 @@ def test_other_vintages_keep_their_files(spark, tmp_path):
     wanted = spark.createDataFrame([(2,)], "year long").where("year > 0")
     pruned = spark.read.parquet(folder).join(F.broadcast(wanted), "year")
     assert pruned.count() == 100 and "dynamicpruning" in plan(pruned).lower()
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_blocks_are_compared_by_sums_first(spark, seed):
+    rng = random.Random(seed)
+    sides = []
+    for _ in range(2):
+        rows = [(b, rng.choice(["1", "2", "3", None])) for b in range(12) for _ in range(rng.randrange(0, 5))]
+        sides.append(rows + [(b, c) for b in range(12, 16) for c in ("7", "8", "8")])
+    u, s = ({b: {c for x, c in rows if x == b and c is not None} for b in {x for x, _ in rows}} for rows in sides)
+    frames = [spark.createDataFrame(rows, "b int, c string") for rows in sides]
+    found = {r["b"]: r for r in aggregates.block_differences(*frames, ["b"], "c").collect()}
+    assert found.keys() == u.keys() | s.keys()
+    for b, r in found.items():
+        mine, theirs = u.get(b, set()), s.get(b, set())
+        assert (r["missing"] or [], r["unexpected"] or []) == (sorted(mine - theirs), sorted(theirs - mine))
+        assert (r["n_live"] == 0) == (not theirs) and (b < 12 or r["missing"] is None)
+    audit = {r["b"]: (r["universe"], r["live"], r["delta"], r["missing"], r["unexpected"]) for r in aggregates.block_audit(*(f.where("c is not null") for f in frames), ["b"], "c").collect()}
+    for b, (n, m, delta, missing, unexpected) in audit.items():
+        mine, theirs = u.get(b, set()), s.get(b, set())
+        assert (n, m, delta, missing, unexpected) == (len(mine), len(theirs), len(theirs) - len(mine), ";".join(sorted(mine - theirs)), ";".join(sorted(theirs - mine)))

@@ -25,8 +25,8 @@ import re
 import unicodedata
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -216,7 +216,7 @@ def _grid(rows: list[tuple[int, list]]) -> list[str]:
     starts = sorted({at for line in placed for at, _, _ in line})
     number = {c: i for i, c in enumerate(starts)}
     grid = [[(number[at], bisect_left(starts, at + columns), [(x, _width(x)) for x in lines]) for at, columns, lines in line] for line in placed]
-    widths = np.zeros(len(starts), np.int64)
+    widths = [0] * len(starts)
     wide = lambda lines: max((w for _, w in lines), default=0)
     for line in grid:
         for i, j, lines in line:
@@ -224,12 +224,11 @@ def _grid(rows: list[tuple[int, list]]) -> list[str]:
                 widths[i] = max(widths[i], wide(lines))
     for line in grid:
         for i, j, lines in line:
-            if j - i > 1 and (more := wide(lines) - int(widths[i:j].sum()) - 2 * (j - i - 1)) > 0:
+            if j - i > 1 and (more := wide(lines) - sum(widths[i:j]) - 2 * (j - i - 1)) > 0:
                 widths[j - 1] += more
     content = sum(1 + sum(len(x) - x.count(" ") for x, _ in lines) for line in grid for _, _, lines in line)
     for most in (None, *MOST_WIDTHS):
-        room = widths if most is None else np.minimum(widths, most)
-        ends = (np.cumsum(room + 2) - room - 2).tolist() if most != 0 else [0] * len(starts)
+        ends = [0, *accumulate((w if most is None else min(w, most)) + 2 for w in widths)] if most != 0 else [0] * len(starts)
         out = _lines(grid, ends, None if most == 0 else LAYOUT * content + 256)
         if out is not None:
             return out

@@ -93,6 +93,12 @@ def block_coverage(universe: DataFrame, log: DataFrame, block: list[str], ordina
     return joins.uncovered(universe, latest.where(F.col(status).isin(statuses.SUCCESS)), block, "block coverage")
 
 
+def _row_rules(panel: DataFrame, spec: PanelSpec, flag: str = "score_available") -> DataFrame:
+    """Blank ids, which a panel has from its universe, and scores out of range: one pass."""
+    fields, outside = [*spec.key, *spec.level_ids], con.out_of_range(list(spec.measures), *spec.bounds)
+    return con.row_rules(panel, spec.key, [("blank", con.blank_names(fields) != "", con.blank_names(fields)), ("range", F.col(flag) & (outside != ""), outside)])
+
+
 def _membership(scores: DataFrame, universe: DataFrame, key: list[str]) -> DataFrame:
     """Keys that occur twice on either side, and scores that the universe lacks: one aggregate."""
     both = agreement.balance({"universe": universe, "scores": scores}, key)
@@ -121,8 +127,8 @@ def build_release(
     folds = corrections.select(spec.vintage, F.col(levels[0]).alias("universe_group"), F.col(f"outcome_{levels[0]}").alias("outcome_group"))
     counts = panel.where("score_available").groupBy(spec.vintage, F.col(group).alias(group)).agg(F.count("*").alias("n"))
     found = con.union(
-        _membership(scores, universe, spec.key), con.not_blank(universe, [*spec.key, *levels], spec.key), disagreements,
-        release_coverage(counts, folds, controls, count_exceptions, spec.vintage, group), score_values(panel, spec, null_exceptions),
+        _membership(scores, universe, spec.key), _row_rules(panel, spec), disagreements, reviewed_nulls(panel, spec, null_exceptions),
+        release_coverage(counts, folds, controls, count_exceptions, spec.vintage, group),
         con.functional(universe, [spec.vintage, spec.hierarchy[0][0]], [spec.hierarchy[0][1]], "label of a group"),
     )
     coverage = agg.coverage(panel, [spec.vintage])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
@@ -12,7 +13,7 @@ from ..sources import tables, versions
 from ..sources.shared import shared_folder
 from ..spec import PanelSpec
 from . import pipelines
-from .coverage_queries import _PLACED, placed_orders
+from .coverage_queries import _PLACED
 from .pipeline_queries import _inputs, _release
 from .registry import query
 
@@ -154,3 +155,16 @@ def replaced_vintage(read, spark):
     tables.replace_vintages(orders.where("year = 1997").withColumn("o_custkey", F.col("o_custkey") * 2), folder, "year", ["o_orderkey"])
     kept = spark.read.parquet(folder).where(F.col("year").isin(1996, 1997))
     return kept.groupBy("year").agg(F.count("*").alias("orders"), F.sum("o_custkey").alias("customers"))
+
+
+@query("""SELECT count(*) AS rows, CAST(0 AS BIGINT) AS inside, CAST(0 AS BIGINT) AS between FROM orders""")
+def sorted_order(read, spark):
+    """Orders written by price: rows that do not follow in their file, and files that do not follow each other."""
+    folder = shared_folder(spark, "ordered")
+    tables.write_sorted(read("orders"), folder, ["o_totalprice", "o_orderkey"])
+    rows = spark.read.parquet(folder).select(F.struct("o_totalprice", "o_orderkey").alias("k"), F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
+    before = F.lag("k").over(Window.partitionBy("f").orderBy("i"))
+    files = rows.groupBy("f").agg(F.min("k").alias("low"), F.max("k").alias("high"))  # one row for each file
+    files = files.withColumn("last", F.lag("high").over(Window.orderBy("low")))
+    inside = rows.withColumn("before", before).agg(F.count("*").alias("rows"), F.count_if(F.col("before") >= F.col("k")).alias("inside"))
+    return inside.crossJoin(files.agg(F.count_if(F.col("last") >= F.col("low")).alias("between")))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, table, text_or_empty
+from .common import fresh, table, text_or_empty, written
 
 NAME = "op5_exact_dedup"
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -50,15 +50,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # together name the class that the byte comparison made
     heads = classes(docs, id_col, text_col).select("content_hash", _digest(), "keep_id", "group_size")
     rows = docs.select(F.col(id_col).alias("doc_id"), normalised(text_col).alias("body"))
-    rows = rows.select("doc_id", F.unhex(F.md5("body")).alias("content_hash"), _digest())
-    # of repeated rows with the smallest id exactly one stays; the id in the key spreads a large class over all tasks
-    same_row = Window.partitionBy("doc_id", "content_hash", "digest").orderBy(F.lit(0))
-    rows = rows.withColumn("nth", F.row_number().over(same_row))
-    return rows.join(heads, ["content_hash", "digest"]).select(
+    rows = rows.select("doc_id", F.unhex(F.md5("body")).alias("content_hash"), _digest(), F.monotonically_increasing_id().alias("tie"))
+    rows = written(rows, "digests")  # so that a row has one number only
+    # of repeated rows with the smallest id exactly one stays, found by a minimum, which no large class gathers
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "tie")
+    first = rows.groupBy("content_hash", "digest").agg(F.min_by("tie", order).alias("first"))
+    return rows.join(heads.join(first, ["content_hash", "digest"]), ["content_hash", "digest"]).select(
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
+        (F.col("tie") == F.col("first")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
         "content_hash",
     )

@@ -422,3 +422,11 @@ def test_html_pages(spark, sf_dir, empty):
 def test_slices():
     assert list(slices(["a" * 5, "b" * 5, "c" * 50, "d"], 10)) == [(0, 2), (2, 3), (3, 4)]
     assert list(slices([], 10)) == []
+
+
+def test_exact_dedup_of_many_equal_rows(spark):
+    rows = [(None, "same")] * 50 + [(5, "same ")] * 3 + [(6, "same")] + [(None, "alone")] * 4 + [(7, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found = op5_exact_dedup.exact_dedup(docs).collect()
+    kept = sorted((r["doc_id"] or -1, r["group_size"]) for r in found if r["kept"])
+    assert len(found) == len(rows) and kept == [(-1, 4), (5, 3), (6, 51), (7, 2)]

@@ -141,7 +141,9 @@ def payload_rows(payloads: DataFrame, place: list[str], body: str, id_column: st
     """
     parsed = payloads.select(*place, F.from_json(body, PAYLOAD).alias("p"))
     shape = violations(parsed, "payload shape", F.coalesce(F.col("p.columns") != F.array(F.lit(id_column), F.lit(label_column)), F.lit(True)) | F.col("p.rows").isNull(), place)
-    rows = parsed.select(*place, F.size("p.rows").alias("__n"), F.posexplode("p.rows").alias("position", "__row"))
+    # the size stands in a step of its own: taken beside the generator, each row would carry its whole response
+    sized = parsed.select(*place, F.size("p.rows").alias("__n"), F.col("p.rows").alias("__rows"))
+    rows = sized.select(*place, "__n", F.posexplode("__rows").alias("position", "__row"))
     nothing = F.size(F.filter("__row", lambda x: x.isNotNull())) == 0
     dropped = nothing & ((F.col("position") == F.col("__n") - 1) if sentinel == "last" else F.lit(True))
     sentinels = rows.groupBy(*place).agg(F.count_if(dropped).alias("sentinels"))

@@ -70,7 +70,7 @@ def walked_universe(read, spark):
         here = here.select(F.lit("2024").alias("year"), F.lit(level).alias("level"), "parent", _response("id", F.col("rows")).alias("body"))
         levels = here if levels is None else levels.unionAll(here)
         path.append(i)
-    levels = levels.withColumn("sha256", F.sha2("body", 256))
+    levels = tables.staged(levels.withColumn("sha256", F.sha2("body", 256)), shared_folder(spark, "walk"), "responses")
     # the review names the response that lists the district
     excluded = levels.where("level = 'district'").select("year", F.concat("parent", F.lit("/4")).alias("path"), F.col("sha256").alias("source_sha256"), F.col("body"))
     excluded = excluded.where(F.col("body").contains('["4",')).drop("body")

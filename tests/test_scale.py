@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.operators import aggregates, agreement, windows
+from panelforge.operators import aggregates, agreement, reshape, windows
 from panelforge.plans import pipelines
 from panelforge.sources import tables, versions
 from panelforge.spec import PanelSpec
@@ -235,3 +235,15 @@ def test_blocks_are_compared_by_sums_first(spark, seed):
     for b, (n, m, delta, missing, unexpected) in audit.items():
         mine, theirs = u.get(b, set()), s.get(b, set())
         assert (n, m, delta, missing, unexpected) == (len(mine), len(theirs), len(theirs) - len(mine), ";".join(sorted(mine - theirs)), ";".join(sorted(theirs - mine)))
+
+
+def test_rows_of_a_response_do_not_carry_it(spark):
+    """A response of many rows is exploded without a copy of the response on each of them."""
+    listed = ",".join(f'["{k}","n [{k}]"]' for k in range(1, 3001))
+    df = spark.createDataFrame([("a", f'{{"columns":["id","nm"],"rows":[{listed},[null,null]]}}')], "place string, body string")
+    found, sentinels, bad = reshape.payload_rows(df, ["place"], "body", "id")
+    for each in (found, sentinels, bad):
+        carried = re.findall(r"Generate posexplode\(.*?\), \[(.*?)\]", plan(each))
+        assert carried and all(re.fullmatch(r"place#\d+(, __n#\d+)?", c) for c in carried), carried
+    assert sorted(r["position"] for r in found.collect()) == list(range(3000))
+    assert [tuple(r) for r in sentinels.collect()] == [("a", 1)] and bad.count() == 0

@@ -175,5 +175,6 @@ def nested_tables(read, spark):
     """Pages with a table inside a cell of another, end tags left out: each cell has its own text only."""
     inner = F.concat(F.lit("<table><tr><td>"), "p_brand", F.lit("<tr><td>&lt;"), F.col("p_size").cast("string"), F.lit("&gt;</table>"))
     page = F.concat(F.lit('<TABLE class="a>b"><tr><td><a href="/p/'), F.col("p_partkey").cast("string"), F.lit('">'), "p_name", F.lit("</a></td><td colspan=2> before "), inner, F.lit("  "), "p_type", F.lit("</td></tr></TABLE>"))
-    cells = pages.table_cells(read("part").select("p_partkey", page.alias("html")), ["p_partkey"], "html")
+    parts = read("part").repartition("p_partkey")  # a small file of many pages is not left to the one task that reads it
+    cells = pages.table_cells(parts.select("p_partkey", page.alias("html")), ["p_partkey"], "html")
     return cells.select("p_partkey", "table", "parent_column", "row", "column", "text", "href")

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from panelforge.operators import pages
@@ -52,3 +53,16 @@ def test_pages_without_cells(spark):
     found = sorted((r["id"], r["text"], r["header"], r["column_span"]) for r in pages.table_cells(df, ["id"], "html").collect())
     assert found == [(5, "bare", False, 1), (6, "a", False, 1), (7, "y", True, 1)]
     assert pages.table_cells(df.where("id > 9"), ["id"], "html").count() == 0
+
+
+def test_pages_share_batches():
+    """Cells of several pages are one batch; a batch ends with the page that fills it."""
+    html = "<table><tr><td>a<td>b</table>"
+    batch = pa.RecordBatch.from_pydict({"id": list(range(5000)), "html": [html if i % 5 else "none" for i in range(5000)]})
+    found = list(pages.cell_batches(iter([batch, batch]), ["id"], "html"))
+    assert [b.num_rows for b in found] == [4096, 3904] * 2
+    ids = [i for b in found for i in b.column("id").to_pylist()]
+    assert ids == [i for i in range(5000) if i % 5 for _ in "ab"] * 2
+    assert {(c, t) for b in found for c, t in zip(b.column("column").to_pylist(), b.column("text").to_pylist())} == {(0, "a"), (1, "b")}
+    long = pa.RecordBatch.from_pydict({"id": [1, 2], "html": [html + "x" * pages.BATCH_CHARS] * 2})
+    assert [b.num_rows for b in pages.cell_batches(iter([long]), ["id"], "html")] == [2, 2]

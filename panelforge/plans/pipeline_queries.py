@@ -106,7 +106,9 @@ def table_manifest(read, spark):
     documents = tables["documents"].select("doc_id", "text", F.when(~moved, F.col("lang")).alias("lang"), "source", "n_chars", F.when(moved, F.col("lang")).alias("other"))
     tables["documents"] = tables["documents"].withColumn("other", F.lit(None).cast("string"))
     price = F.col("o_totalprice") + F.when(F.col("o_orderkey") % 1000 == 1, 0.01).otherwise(0.0)
-    later = {"orders": tables["orders"].withColumn("o_totalprice", price), "lineitem": tables["lineitem"].repartition(4), "documents": documents, "events": tables["events"].repartition(3)}
+    later = {"orders": tables["orders"].withColumn("o_totalprice", price), "documents": documents}
+    # dealt out by key, so that the number of tasks grows with the table
+    later |= {"lineitem": tables["lineitem"].repartition("l_orderkey", "l_linenumber"), "events": tables["events"].repartition("event_id")}
     first = manifests.table_manifest(tables)
     second = manifests.table_manifest(later).select("name", F.col("digest").alias("digest2"))
     return first.join(second, "name").select("name", "rows", (F.col("digest") == F.col("digest2")).alias("same"))

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from panelforge.operators import reshape
 from panelforge.operators.contracts import ContractError
-from panelforge.plans import bundle
+from panelforge.plans import bundle, registry
 from panelforge.sources import commits, logs
 from panelforge.streaming import blocks
 
@@ -147,3 +147,10 @@ def test_variant_rows_keep_what_they_cannot_read(spark):
     assert rows[1]["id"] is None and rows[1]["problem"] == "id is no number"
     assert rows[2]["problem"] == "extra: also,more" and rows[3]["problem"] == rows[4]["problem"] == "unreadable"
     assert rows[5]["id"] is None and rows[5]["problem"] is None
+
+
+def test_no_fixed_number_of_tasks_in_the_manifest(spark, sf_dir):
+    """Tables that are dealt out anew go to as many tasks as their size asks for."""
+    found = registry.queries()["table_manifest"](spark, sf_dir)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in text and "REPARTITION_BY_NUM" not in text

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
 from ..operators import joins, statuses
+from ..sources import tables
 from .coverage_queries import _PLACED, placed_orders
 from .registry import query
 
@@ -162,7 +163,8 @@ m AS (SELECT block, string_agg(CAST(u.n AS VARCHAR), ';' ORDER BY u.n) FILTER (s
 
 def _line_sides(read):
     """Every order as a block: seven line numbers expected, those of its items found."""
-    found = read("lineitem").select(F.col("l_orderkey").alias("block"), F.col("l_linenumber").cast("string").alias("code")).distinct()
+    items = read("lineitem").select(F.col("l_orderkey").alias("block"), F.col("l_linenumber").cast("string").alias("code"))
+    found = tables.dealt(items, ["block"]).distinct()
     expected = found.select("block").distinct().withColumn("code", F.explode(F.array(*(F.lit(str(k)) for k in range(1, 8)))))
     return expected, found
 

@@ -61,6 +61,17 @@ def replace_vintages(df: DataFrame, path: str, vintage: str, key: list[str]) ->
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(vintage).parquet(path)
 
 
+def dealt(df: DataFrame, key: list[str], rows: int = 250_000) -> DataFrame:
+    """``df`` dealt out by ``key`` once, about ``rows`` rows to a task, for a chain of groupings and joins by this key.
+
+    They need no other shuffle, and no task holds more groups as the table grows. Adaptive execution merges partitions by
+    their compressed bytes, of which narrow rows have so few that millions meet in one hash table; a number of partitions
+    that is given stays. Counts ``df`` first, which must be cheap. Rows of one key meet in one task.
+    """
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df.repartition(n, *key)
+
+
 def bucketed(df: DataFrame, key: list[str], buckets: int, folder: str, name: str) -> DataFrame:
     """``df`` written once as a table of ``buckets`` buckets by ``key``, one file each, and read back.
 

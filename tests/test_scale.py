@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelforge.operators import aggregates, agreement, reshape, windows
-from panelforge.plans import pipelines
+from panelforge.plans import pipelines, registry
 from panelforge.sources import tables, versions
 from panelforge.spec import PanelSpec
 
@@ -247,3 +247,12 @@ def test_rows_of_a_response_do_not_carry_it(spark):
         assert carried and all(re.fullmatch(r"place#\d+(, __n#\d+)?", c) for c in carried), carried
     assert sorted(r["position"] for r in found.collect()) == list(range(3000))
     assert [tuple(r) for r in sentinels.collect()] == [("a", 1)] and bad.count() == 0
+
+
+def test_dealt_rows_need_no_other_shuffle(spark, sf_dir):
+    """Parts grow in number with the table, and what groups or joins by the key stays in them."""
+    assert tables.dealt(spark.range(1000), ["id"], rows=10).rdd.getNumPartitions() == 100
+    assert tables.dealt(spark.range(0), ["id"]).count() == 0
+    for name in ("block_audit", "partial_units"):
+        text = plan(registry.queries()[name](spark, sf_dir))
+        assert "REPARTITION_BY_NUM" in text and "ENSURE_REQUIREMENTS" not in re.sub("BroadcastExchange.*", "", text), name

@@ -91,7 +91,8 @@ def published_release(read, spark):
 def _source(read, spark):
     """A bundle's source: the tree of orders, its run log with repeated runs, options listed twice, and the universe."""
     root = _tree(read, spark)
-    rows = trees.read_tables(spark, f"{root}/units", "*.parquet", _ROW)
+    # read once, since all tables of the bundle and their contracts are made of these rows and their paths
+    rows = tables.staged(trees.read_tables(spark, f"{root}/units", "*.parquet", _ROW), root, "rows")
     metadata = rows.select("year", "state", "unit", "block_dir", "block_page")
     members = F.explode(F.array(*(F.struct(F.lit(s).alias("slug"), F.lit(i).alias("ord"), (F.col("score") + i / 2).alias("score")) for i, s in enumerate(_SLUGS))))
     long = rows.select("year", "unit", "block_dir", members.alias("m")).select("year", "unit", "block_dir", "m.*")

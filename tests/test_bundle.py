@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from panelforge.operators import reshape
 from panelforge.operators.contracts import ContractError
-from panelforge.plans import bundle, registry
+from panelforge.plans import bundle, bundle_queries, registry
 from panelforge.sources import commits, logs
 from panelforge.streaming import blocks
 
@@ -154,3 +154,11 @@ def test_no_fixed_number_of_tasks_in_the_manifest(spark, sf_dir):
     found = registry.queries()["table_manifest"](spark, sf_dir)
     text = found._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_COL" in text and "REPARTITION_BY_NUM" not in text
+
+
+def test_blocks_of_a_source_are_read_once(spark, sf_dir):
+    """The tables of a bundle's source come from rows written once, not each from the tree and the paths of its files."""
+    source = bundle_queries._source(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark)
+    for df in (source.metadata, source.long, source.wide, source.universe):
+        assert df.inputFiles() and all("/rows/" in path for path in df.inputFiles())
+    assert source.metadata.count() == source.wide.count() == spark.read.parquet(f"{sf_dir}/orders.parquet").count()

@@ -161,10 +161,10 @@ _LINES = """WITH s AS (SELECT DISTINCT l_orderkey AS block, l_linenumber AS n FR
 m AS (SELECT block, string_agg(CAST(u.n AS VARCHAR), ';' ORDER BY u.n) FILTER (s.n IS NULL) AS missing, count(s.n) AS live FROM u LEFT JOIN s USING (block, n) GROUP BY block)"""
 
 
-def _line_sides(read):
-    """Every order as a block: seven line numbers expected, those of its items found."""
+def _line_sides(read, dealt: bool = False):
+    """Every order as a block: seven line numbers expected, those of its items found; if ``dealt``, parted by block."""
     items = read("lineitem").select(F.col("l_orderkey").alias("block"), F.col("l_linenumber").cast("string").alias("code"))
-    found = tables.dealt(items, ["block"]).distinct()
+    found = (tables.dealt(items, ["block"]) if dealt else items).distinct()
     expected = found.select("block").distinct().withColumn("code", F.explode(F.array(*(F.lit(str(k)) for k in range(1, 8)))))
     return expected, found
 
@@ -183,7 +183,7 @@ def partial_units(read, spark):
 
 @query(f"""{_LINES} SELECT block, CAST(7 AS BIGINT) AS universe, live, live - 7 AS delta, coalesce(missing, '') AS missing, '' AS unexpected FROM m""")
 def block_audit(read, spark):
-    expected, found = _line_sides(read)
+    expected, found = _line_sides(read, dealt=True)
     return agg.block_audit(expected, found, ["block"], "code")
 
 

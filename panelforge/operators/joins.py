@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import canonical_score, code_from_url, collapse_space, is_blank
+from ..sources.tables import staged
 from .contracts import key_text, violations
 
 
@@ -56,10 +57,20 @@ def reviewed_moves(disagreements: DataFrame, exclusions: DataFrame, vintage: str
 
 def canonical_headers(df: DataFrame, links: DataFrame, header: str, slug: str = "theme_slug") -> tuple[DataFrame, DataFrame]:
     """``df`` with the canonical slug of its header (white space collapsed), and violations for unknown headers."""
+    named = with_slugs(df, links, header, slug)
+    return named.drop("__header"), unknown_headers(named, slug)
+
+
+def with_slugs(df: DataFrame, links: DataFrame, header: str, slug: str = "theme_slug") -> DataFrame:
+    """``df`` with the canonical slug of its header, null if unknown, and the header as it was looked up in ``__header``."""
     ledger = links.select(collapse_space("theme_header").alias("__header"), F.col("theme_slug").alias("__slug"))
     joined = df.withColumn("__header", collapse_space(header)).join(ledger, "__header", "left")
-    unknown = violations(joined.where(F.col("__slug").isNull()).select("__header").distinct(), "unknown header", F.lit(True), ["__header"])
-    return joined.withColumn(slug, F.col("__slug")).drop("__header", "__slug"), unknown
+    return joined.withColumn(slug, F.col("__slug")).drop("__slug")
+
+
+def unknown_headers(named: DataFrame, slug: str = "theme_slug") -> DataFrame:
+    """Headers in the rows of ``with_slugs`` that have no slug, as violations."""
+    return violations(named.where(F.col(slug).isNull()).select("__header").distinct(), "unknown header", F.lit(True), ["__header"])
 
 
 def unit_key(vintage: str, url: str, code: str, levels: list[tuple[str, str]], name: str, parameter: str) -> Column:
@@ -97,21 +108,23 @@ def fill_codes(rows: DataFrame, universe: DataFrame, links: DataFrame, block: li
     return out.withColumn(code, F.coalesce("__found", code)).select(*rows.columns), bad
 
 
-def restore_by_signature(units: DataFrame, links: DataFrame, base: list[str], signature: str, targets: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+def restore_by_signature(units: DataFrame, links: DataFrame, base: list[str], signature: str, targets: dict[str, str], staging: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Restore identities by exact score vectors.
 
     ``units`` has one row per unit with ``base`` columns and a ``signature`` array of canonical scores; ``links`` has
     base, signature and the new values (``targets``: column of units -> column of links). The multiset of vectors
     must match: for each (base, signature) as many units as links. Equal units are paired with equal links by number,
-    and any pairing is right since they do not differ. Only units whose base and vector the ledger names are numbered;
-    all others pass by without a shuffle.
+    and any pairing is right since they do not differ. Only units whose base and vector the ledger names are numbered.
+    With a folder ``staging`` units are written there once with the mark that tells these apart, else each use finds it anew.
     """
     joined_signature = F.array_join(F.col(signature), "|", "null")
     pair = Window.partitionBy(*base, "__signature").orderBy(F.lit(0))
     left = units.withColumn("__signature", joined_signature)
     right = links.withColumn("__signature", joined_signature)
     named = [*base, "__signature"]
-    reviewed = left.join(right.select(*named).distinct(), named, "left_semi")
+    listed = right.select(*named).distinct().withColumn("__listed", F.lit(True))
+    marked = staged(left.join(listed, named, "left"), staging, "marked")
+    reviewed = marked.where("__listed")
     counts_left = reviewed.groupBy(*base, "__signature").agg(F.count("*").alias("units"))
     counts_right = right.groupBy(*base, "__signature").agg(F.count("*").alias("links"))
     compared = counts_right.join(counts_left, [*base, "__signature"], "left")
@@ -119,7 +132,7 @@ def restore_by_signature(units: DataFrame, links: DataFrame, base: list[str], si
     numbered = right.withColumn("__n", F.row_number().over(pair)).select(*base, "__signature", "__n", *(F.col(v).alias(f"__new_{k}") for k, v in targets.items()))
     out = reviewed.withColumn("__n", F.row_number().over(pair)).join(numbered, [*base, "__signature", "__n"], "left")
     out = out.withColumns({k: F.coalesce(F.col(f"__new_{k}"), F.col(k)) for k in targets}).select(*units.columns)
-    others = left.join(right.select(*named).distinct(), named, "left_anti").select(*units.columns)
+    others = marked.where("__listed is null").select(*units.columns)
     return others.unionAll(out), bad
 
 

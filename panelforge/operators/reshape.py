@@ -32,12 +32,29 @@ def long_to_wide(long: DataFrame, key: list[str], name: str, names: list[str], v
 
 def rebuilt_wide(metadata: DataFrame, long: DataFrame, key: list[str], name: str, names: list[str], values: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """A wide table rebuilt from metadata and long rows, and violations for keys that lack a measure or have one twice."""
-    wide = long_to_wide(long, key, name, names, values)
-    present = long.groupBy(*key).agg(F.count_distinct(F.when(F.col(name).isin(names), F.col(name))).alias("__n"))
-    bad = violations(metadata.select(*key).join(present, key, "left"), "measures missing", F.coalesce(F.col("__n"), F.lit(0)) != len(names), key, F.col("__n"))
-    twice = long.where(F.col(name).isin(names)).groupBy(*key, name).agg(F.count("*").alias("__rows"))
-    bad = bad.unionAll(violations(twice, "measure repeated", F.col("__rows") > 1, [*key, name], F.col("__rows")))
-    return metadata.join(wide, key, "left"), bad
+    measures = counted_measures(long, key, name, names, values)
+    wide = metadata.join(measures, key, "left")
+    return wide.drop("__rows"), incomplete_keys(wide, key, names).unionAll(repeated_measures(measures, key, name))
+
+
+def counted_measures(long: DataFrame, key: list[str], name: str, names: list[str], values: dict[str, str]) -> DataFrame:
+    """``long_to_wide`` with the rows of each measure, (name, n), in the array ``__rows``: one aggregate by key."""
+    first = [F.first(F.when(F.col(name) == n, F.col(c)), ignorenulls=True).alias(f"{n}_{s}") for n in names for s, c in values.items()]
+    found = long.groupBy(*key).agg(*first, *(F.count_if(F.col(name) == n).alias(f"__rows_{i}") for i, n in enumerate(names)))
+    rows = F.array(*(F.struct(F.lit(n).alias("name"), F.col(f"__rows_{i}").alias("n")) for i, n in enumerate(names)))
+    return found.withColumn("__rows", rows).drop(*(f"__rows_{i}" for i in range(len(names))))
+
+
+def incomplete_keys(wide: DataFrame, key: list[str], names: list[str]) -> DataFrame:
+    """Keys of a table with the ``__rows`` of ``counted_measures`` that lack a measure, as violations."""
+    n = F.when(F.col("__rows").isNotNull(), F.size(F.filter("__rows", lambda r: r["n"] > 0)))
+    return violations(wide, "measures missing", F.coalesce(n, F.lit(0)) != len(names), key, n)
+
+
+def repeated_measures(measures: DataFrame, key: list[str], name: str) -> DataFrame:
+    """Keys and measures of ``counted_measures`` with several rows, as violations."""
+    twice = measures.select(*key, F.explode(F.filter("__rows", lambda r: r["n"] > 1)).alias("__r")).select(*key, F.col("__r.name").alias(name), F.col("__r.n").alias("__n"))
+    return violations(twice, "measure repeated", F.lit(True), [*key, name], F.col("__n"))
 
 
 def changed_measures(before: DataFrame, after: DataFrame, key: list[str], name: str) -> DataFrame:

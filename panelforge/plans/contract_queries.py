@@ -70,7 +70,7 @@ def repaired_blocks(read, spark):
     linked = units.where("row_id % 100 = 1").withColumn("signature", fn.score_signature(["t1_score", "t2_score"]))
     vectors = linked.select("block", "signature", F.concat(F.lit("L"), "row_id").alias("new_code"), F.lit("").alias("new_url"))
     headers = spark.createDataFrame([("Head one", "t1"), ("Head two", "t2")], "theme_header string, theme_slug string")
-    out, bad = pipelines.repaired_blocks(metadata, long, units, vectors, headers, ["block"], ["t1_score", "t2_score"], "unit")
+    out, bad = pipelines.repaired_blocks(metadata, long, units, vectors, headers, ["block"], ["t1_score", "t2_score"], "unit", staging=shared_folder(spark, "repaired"))
     con.enforce(bad)
     return out["wide"].select("row_id", "unit", "t1_score", "t2_score")
 

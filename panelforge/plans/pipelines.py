@@ -262,24 +262,36 @@ def universe_contract(universe: DataFrame, metadata: DataFrame, key: list[str],
     return con.union(con.not_blank(universe, required, key), con.unique_key(universe, key), joins.orphans(metadata, universe, key)), agg.coverage(marked, [])
 
 
-def repaired_blocks(metadata: DataFrame, long: DataFrame, wide: DataFrame, vector_links: DataFrame, header_links: DataFrame, base: list[str], scores: list[str], parameter: str, code: str = "unit", url: str = "url", slug: str = "theme_slug", header: str = "theme_header", values: dict[str, str] | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+def repaired_blocks(metadata: DataFrame, long: DataFrame, wide: DataFrame, vector_links: DataFrame, header_links: DataFrame, base: list[str], scores: list[str], parameter: str, code: str = "unit", url: str = "url", slug: str = "theme_slug", header: str = "theme_header", values: dict[str, str] | None = None, staging: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """Repair and consolidate the rows of all blocks (P2): score vectors first, then codes from URLs, then headers.
 
     The order matters: headers are regrouped by unit, so units of one name need their codes before.
+
+    With a folder ``staging`` links, marked units, ids, long rows, measures and the wide table are written there once, and
+    each step, the contracts and the results read them from there. Rows meet by unit in parts of a fixed number of rows:
+    merged by their compressed bytes, millions of such narrow rows would be sorted and grouped in one task.
     """
-    signed = wide.withColumn("signature", fn.score_signature(scores))
-    restored, wrong = joins.restore_by_signature(signed, vector_links, base, "signature", {code: "new_code", url: "new_url"})
-    restored = restored.withColumn(code, fn.repaired_code(code, url, parameter))
-    ids = restored.select("row_id", F.col(code).alias("__code"), F.col(url).alias("__url"))
+    # written, links have a size that Spark knows, so small ones are broadcast before the rows are shuffled for them
+    vector_links, header_links = tables.staged(vector_links, staging, "vectors"), tables.staged(header_links, staging, "headers")
+    signed = wide.select("row_id", *base, code, url, fn.score_signature(scores).alias("signature"))
+    restored, wrong = joins.restore_by_signature(signed, vector_links, base, "signature", {code: "new_code", url: "new_url"}, staging)
+    restored = restored.withColumn("__decoded", fn.code_from_url(url, parameter))
+    ids = restored.select("row_id", fn.preferred_code(code, "__decoded").alias("__code"), F.col(url).alias("__url"))
+    ids = tables.staged(ids, staging, "ids")
+    key, n = ["row_id"], tables.parts(long)
 
     def identified(df: DataFrame) -> DataFrame:
-        return df.join(ids, "row_id").withColumns({code: F.col("__code"), url: F.col("__url")}).select(*df.columns)
+        kept = df.repartition(n, *key).join(ids.repartition(n, *key), key)
+        return kept.withColumns({code: F.col("__code"), url: F.col("__url")}).select(*df.columns)
 
     metadata, long = identified(metadata), identified(long)
-    long, unknown = joins.canonical_headers(long, header_links, header, slug)
-    slugs = sorted(s.removesuffix("_score") for s in scores)
-    rebuilt, missing = reshape.rebuilt_wide(metadata, long, ["row_id"], slug, slugs, values or {"score": "score"})
-    return {"metadata": metadata, "long": long, "wide": rebuilt}, con.union(wrong, unknown, missing)
+    long = tables.staged(joins.with_slugs(long, header_links, header, slug), staging, "long")
+    unknown, slugs = joins.unknown_headers(long, slug), sorted(s.removesuffix("_score") for s in scores)
+    measures = reshape.counted_measures(long.repartition(n, *key), key, slug, slugs, values or {"score": "score"})
+    measures = tables.staged(measures, staging, "measures")
+    rebuilt = tables.staged(metadata.join(measures.repartition(n, *key), key, "left"), staging, "wide")
+    missing = reshape.incomplete_keys(rebuilt, key, slugs).unionAll(reshape.repeated_measures(measures, key, slug))
+    return {"metadata": metadata, "long": long.drop("__header"), "wide": rebuilt.drop("__rows")}, con.union(wrong, unknown, missing)
 
 
 def indicators_from_pages(pages: DataFrame, page: list[str], html: str) -> tuple[DataFrame, DataFrame]:

@@ -68,8 +68,12 @@ def dealt(df: DataFrame, key: list[str], rows: int = 250_000) -> DataFrame:
     their compressed bytes, of which narrow rows have so few that millions meet in one hash table; a number of partitions
     that is given stays. Counts ``df`` first, which must be cheap. Rows of one key meet in one task.
     """
-    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
-    return df.repartition(n, *key)
+    return df.repartition(parts(df, rows), *key)
+
+
+def parts(df: DataFrame, rows: int = 250_000) -> int:
+    """The number of parts of about ``rows`` rows of ``df``, for tables that are to be dealt out by one key alike. Counts ``df``."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
 
 
 def bucketed(df: DataFrame, key: list[str], buckets: int, folder: str, name: str) -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from panelforge.functions import text as fn
 from panelforge.operators import aggregates, agreement, reshape, windows
 from panelforge.plans import pipelines, registry
 from panelforge.sources import tables, versions
@@ -255,3 +256,63 @@ def test_dealt_rows_need_no_other_shuffle(spark, sf_dir):
     assert tables.dealt(spark.range(0), ["id"]).count() == 0
     text = plan(registry.queries()["block_audit"](spark, sf_dir))
     assert "REPARTITION_BY_NUM" in text and "ENSURE_REQUIREMENTS" not in re.sub("BroadcastExchange.*", "", text)
+
+
+def repaired(spark, units, long, links, **more):
+    """The repair of ``units`` (row, block, unit, url, t1, t2) with ``long`` (row, header, score) and ``links`` (block, t1, t2, code)."""
+    wide = spark.createDataFrame(units, "row_id long, block int, unit string, url string, t1_score double, t2_score double")
+    rows = spark.createDataFrame(long, "row_id long, theme_header string, score double").withColumns({"unit": F.lit("old"), "url": F.lit("")})
+    linked = spark.createDataFrame(links, "block int, t1 double, t2 double, new_code string")
+    vectors = linked.select("block", fn.score_signature(["t1", "t2"]).alias("signature"), "new_code", F.lit("").alias("new_url"))
+    headers = spark.createDataFrame([("Head one", "t1"), ("Head two", "t2")], "theme_header string, theme_slug string")
+    return pipelines.repaired_blocks(wide.select("row_id", "unit", "url"), rows, wide, vectors, headers, ["block"], ["t1_score", "t2_score"], "unit", **more)
+
+
+def test_rows_of_a_repair_meet_in_parts_of_fixed_size(spark, tmp_path, monkeypatch):
+    """Every join and grouping by unit has as many parts as its rows need, and staged results need none again."""
+    units = [(k, k % 3, "old", "/card?unit=MTI=" if k == 5 else "", None if k == 6 else float(k % 4), 2.0) for k in range(10)]
+    units[9] = (9, None, "old", "", 1.0, 2.0)  # in no block: no link is for it
+    long = [(k, h, s) for k, _, _, _, a, b in units for h, s in ((" Head  one", a), ("Head two ", b))]
+    long.remove((3, "Head two ", 2.0))
+    long += [(4, "Head one", 0.5), (7, "Head three", 1.0), (99, "Head four", 1.0), (None, "Head one", 1.0)]
+    links = [(1, 1.0, 2.0, "L1"), (1, 3.0, 2.0, "L7"), (2, 0.0, 2.0, "L8"), (0, 0.0, 2.0, "L0"), (0, 1.0, 2.0, "none")]
+    links[4] = (0, 9.0, 2.0, "none")
+    monkeypatch.setattr(tables, "parts", lambda df, rows=0: 7)
+    plain, bad = repaired(spark, units, long, links)
+    placed = [int(n) for n in re.findall(r"Exchange hashpartitioning\(row_id#\w+, (\d+)\)", plan(plain["wide"]))]
+    assert placed and set(placed) == {7}, placed
+    staged, found = repaired(spark, units, long, links, staging=str(tmp_path / "staged"))
+    text = plan(staged["wide"])
+    assert "Exchange" not in text and "Aggregate" not in text
+    assert {"vectors", "headers", "marked", "ids", "long", "measures", "wide"} == set(os.listdir(tmp_path / "staged"))
+    codes = {k: "old" for k in range(10)} | {1: "L1", 7: "L7", 8: "L8", 0: "L0", 5: "12"}
+    for out, violated in ((plain, bad), (staged, found)):
+        rows = {r["row_id"]: r for r in out["wide"].collect()}
+        assert {k: r["unit"] for k, r in rows.items()} == codes
+        assert out["wide"].columns == ["row_id", "unit", "url", "t1_score", "t2_score"]
+        for k, _, _, _, a, b in units:
+            assert rows[k]["t1_score"] == a or k == 4 and rows[k]["t1_score"] == 0.5
+            assert rows[k]["t2_score"] == (None if k == 3 else b)
+        assert {(r["row_id"], r["unit"]) for r in out["long"].collect()} == set(codes.items())
+        assert sorted(tuple(r) for r in violated.collect()) == [
+            ("measure repeated", "4|t1", "2"), ("measures missing", "3", "1"),
+            ("signature multiset", "0|9|2", ""), ("unknown header", "Head three", ""),
+        ]
+
+
+def test_measures_by_one_aggregate(spark):
+    """Values and row counts of measures need one grouping; a measure that never occurs, blank names and blank keys count as stated."""
+    rows = [(1, "a", 1.0, "x"), (1, "b", None, "y"), (1, "b", 3.0, "z"), (2, "c", 4.0, "x"), (3, None, 5.0, "x"), (None, "a", 1.0, "x"), (None, "a", 1.0, "x")]
+    long = spark.createDataFrame(rows, "k int, slug string, v double, g string")
+    metadata = spark.createDataFrame([(1,), (2,), (3,), (4,)], "k int")
+    wide, bad = reshape.rebuilt_wide(metadata, long, ["k"], "slug", ["a", "b"], {"v": "v", "g": "g"})
+    assert wide.columns == ["k", "a_v", "a_g", "b_v", "b_g"]
+    found = {r["k"]: tuple(r)[1:] for r in wide.collect()}
+    assert found[1][:3] == (1.0, "x", 3.0) and found[1][3] in ("y", "z") and found.keys() == {1, 2, 3, 4}
+    assert {found[k] for k in (2, 3, 4)} == {(None,) * 4}
+    assert sorted(tuple(r) for r in bad.collect()) == [
+        ("measure repeated", "1|b", "2"), ("measure repeated", "<null>|a", "2"),
+        ("measures missing", "2", "0"), ("measures missing", "3", "0"), ("measures missing", "4", ""),
+    ]
+    text = plan(reshape.counted_measures(long.select("k", "slug", "v"), ["k"], "slug", ["a", "b"], {"v": "v"}))
+    assert len(re.findall(r"HashAggregate\(keys", text.split("Initial Plan")[-1])) == 2  # one partial, one final

@@ -278,7 +278,8 @@ def repaired_blocks(metadata: DataFrame, long: DataFrame, wide: DataFrame, vecto
     restored = restored.withColumn("__decoded", fn.code_from_url(url, parameter))
     ids = restored.select("row_id", fn.preferred_code(code, "__decoded").alias("__code"), F.col(url).alias("__url"))
     ids = tables.staged(ids, staging, "ids")
-    key, n = ["row_id"], tables.parts(long)
+    # few parts: beyond 200 of them Spark sorts the rows of a map task in memory before it shuffles them
+    key, n = ["row_id"], tables.parts(long, 1_000_000)
 
     def identified(df: DataFrame) -> DataFrame:
         kept = df.repartition(n, *key).join(ids.repartition(n, *key), key)
